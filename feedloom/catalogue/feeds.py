@@ -6,6 +6,7 @@ import datetime as dt
 import uuid
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from feedloom.catalogue.base import table
@@ -17,6 +18,7 @@ from feedloom.sinks import files as sink
 from feedloom.sources import feeds, files
 
 NOW = dt.datetime(2024, 9, 21, 18, 21)
+CONTENT = "http://purl.org/rss/1.0/modules/content/"
 PUBLISHED = "Tue, 17 Sep 2024 10:03:44 -0700"
 
 
@@ -40,20 +42,26 @@ def _entries(spark, d):
 
 
 def _as_feed(items):
-    """Each item as a feed document of its own, body in CDATA."""
+    """Lines of feed documents, one document per partition, bodies in CDATA."""
     escaped = F.replace("link", F.lit("&"), F.lit("&amp;"))
     element = lambda tag, value: F.concat(F.lit(f"<{tag}>"), value, F.lit(f"</{tag}>"))
     body = F.concat(F.lit("<![CDATA["), F.col("`content:encoded`"), F.lit("]]>"))
-    return items.select(F.concat(
-        F.lit('<rss version="2.0"><channel><title>all</title><item>'),
-        F.lit('<guid isPermaLink="false">'), "guid", F.lit("</guid>"),
+    lines = items.select(F.concat(
+        F.lit('<item><guid isPermaLink="false">'), "guid", F.lit("</guid>"),
         element("link", escaped), element("title", F.col("title")), element("description", F.col("description")),
         element("pubDate", F.col("pubDate")),
         F.array_join(F.transform("category", lambda c: element("category", c)), ""),
         element("content:encoded", body),
-        F.lit("</item></channel></rss>"),
+        F.lit("</item>"),
     ).alias("value"))
 
+    def wrap(batches):
+        yield pd.DataFrame({"value": [f'<rss version="2.0" xmlns:content="{CONTENT}"><channel><title>all</title>']})
+        yield from batches
+        yield pd.DataFrame({"value": ["</channel></rss>"]})
+
+    return lines.mapInPandas(wrap, "value string")
+
 
 def feed_xml(spark, d):
     """Pages landed as XML feeds and read back."""

@@ -15,7 +15,7 @@ def append(df: DataFrame, name: str) -> None:
     df.select(*(f"`{c}`" for c in columns)).write.insertInto(name)
 
 
-def insert_row(spark: SparkSession, name: str, **values) -> None:
+def insert_row(spark: SparkSession, name: str, /, **values) -> None:
     """One row; columns not named take their default."""
     columns = ", ".join(f"`{c}`" for c in values)
     markers = ", ".join(f":{c}" for c in values)
