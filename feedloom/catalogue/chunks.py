@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feedloom.catalogue.base import label_tags, posts, table
-from feedloom.functions.chunking import explode_chunks
+from feedloom.catalogue.base import label_tags, posts, table, wide_table
+from feedloom.functions.chunking import (
+    RECURSIVE_SIZE, TOKENS_SIZE, explode_chunks, recursive_chunks, sentence_chunks,
+)
+from feedloom.functions.text import word_count
 from feedloom.operators import vectors
 from feedloom.session import materialize
 
@@ -14,19 +17,37 @@ CONTEXT_K = 5
 
 
 def chunk_fixed(spark, d):
-    return explode_chunks(table(spark, d, "documents"), "text", ["doc_id"], "fixed")
+    return explode_chunks(wide_table(spark, d, "documents"), "text", ["doc_id"], "fixed")
 
 
 def chunk_paragraph(spark, d):
-    return explode_chunks(table(spark, d, "documents"), "text", ["doc_id"], "paragraph", separator="\n")
+    return explode_chunks(wide_table(spark, d, "documents"), "text", ["doc_id"], "paragraph", separator="\n")
 
 
 def chunk_recursive(spark, d):
-    return explode_chunks(table(spark, d, "documents"), "text", ["doc_id"], "recursive")
+    return explode_chunks(wide_table(spark, d, "documents"), "text", ["doc_id"], "recursive")
 
 
 def chunk_sentence(spark, d):
-    return explode_chunks(table(spark, d, "documents"), "text", ["doc_id"], "sentence")
+    return explode_chunks(wide_table(spark, d, "documents"), "text", ["doc_id"], "sentence")
+
+
+def _cover(chunks):
+    """Digest of all characters of the chunks but whitespace."""
+    return F.md5(F.regexp_replace(F.array_join(chunks, ""), r"[\s\x{A0}]+", ""))
+
+
+def chunk_recursive_cover(spark, d):
+    """Without overlap the chunks hold every visible character of the text once."""
+    docs = wide_table(spark, d, "documents").select("doc_id", recursive_chunks("text", overlap=0).alias("c"))
+    too_long = F.size(F.filter("c", lambda c: F.length(c) > RECURSIVE_SIZE)).cast("bigint")
+    return docs.select("doc_id", _cover("c").alias("body"), too_long.alias("too_long"))
+
+
+def chunk_sentence_cover(spark, d):
+    docs = wide_table(spark, d, "documents").select("doc_id", sentence_chunks("text", overlap=0).alias("c"))
+    too_long = F.size(F.filter("c", lambda c: word_count(c) > TOKENS_SIZE)).cast("bigint")
+    return docs.select("doc_id", _cover("c").alias("body"), too_long.alias("too_long"))
 
 
 def _centroid_hits(spark, d, k):
@@ -42,14 +63,14 @@ def cosine_topk(spark, d):
 
 
 def rag_context(spark, d):
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = wide_table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
     hits = vectors.hits_with_metadata(_centroid_hits(spark, d, CONTEXT_K), docs)
     return vectors.retrieval_context(hits, "text")
 
 
 def rag_top_article(spark, d):
     docs = posts(spark, d).select("id", "title", F.col("content_text").alias("content_source"), "content_text")
-    hits = _centroid_hits(spark, d, 1).withColumn("post_id", F.col("item_id"))
+    hits = materialize(_centroid_hits(spark, d, 1).withColumn("post_id", F.col("item_id")), "hits")
     return vectors.top_article(hits, docs, label_tags(spark, d)).select(
         "query_id", "id", "title", "content_text", "tags"
     )
@@ -92,6 +113,8 @@ QUERIES = {
     "chunk_paragraph": chunk_paragraph,
     "chunk_recursive": chunk_recursive,
     "chunk_sentence": chunk_sentence,
+    "chunk_recursive_cover": chunk_recursive_cover,
+    "chunk_sentence_cover": chunk_sentence_cover,
     "chunk_records": chunk_records,
     "cosine_topk": cosine_topk,
     "rag_context": rag_context,
@@ -116,6 +139,9 @@ def _hits(k: int) -> str:
     )"""
 
 
+_COVER = r"""
+    SELECT doc_id, md5(regexp_replace(text, '[\s\x{A0}]+', '', 'g')) AS body, CAST(0 AS BIGINT) AS too_long FROM documents"""
+
 SQL = {
     "chunk_fixed": r"""
         WITH t AS (
@@ -130,6 +156,8 @@ SQL = {
     "chunk_paragraph": """
         SELECT doc_id, CAST(generate_subscripts(p, 1) - 1 AS INTEGER) AS chunk_index, unnest(p) AS chunk_text
         FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents)""",
+    "chunk_recursive_cover": _COVER,
+    "chunk_sentence_cover": _COVER,
     "cosine_topk": _hits(TOP_K) + " SELECT query_id, item_id, round(score, 6) AS score, rank FROM hits",
     "rag_context": _hits(CONTEXT_K) + """
         SELECT query_id, string_agg(text, chr(10) ORDER BY rank) AS context

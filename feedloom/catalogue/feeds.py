@@ -9,7 +9,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import functions as F
 
-from feedloom.catalogue.base import table
+from feedloom.catalogue.base import table, wide_table
 from feedloom.catalogue.pages import VISIBLE, unescaped
 from feedloom.operators import entries as ent
 from feedloom.plans import feed_etl
@@ -24,7 +24,7 @@ PUBLISHED = "Tue, 17 Sep 2024 10:03:44 -0700"
 
 def _items(spark, d):
     """Pages as feed items; page language and protocol are the categories."""
-    return table(spark, d, "pages").select(
+    return wide_table(spark, d, "pages").select(
         F.col("page_id").cast("string").alias("guid"),
         F.col("url").alias("link"),
         F.concat(F.lit("Page "), "page_id").alias("title"),

@@ -10,17 +10,19 @@ from feedloom import catalog
 from feedloom.catalogue.base import posts, table
 from feedloom.ml import registry, training
 from feedloom.operators.marts import post_length
-from feedloom.operators.profile import evaluate
+from feedloom.operators.profile import regression_metrics
 from feedloom.schemas import JOB_METRICS, JOB_PARAMETERS, MODEL_RUNS, PREDICTIONS
 from feedloom.session import scratch_path
+from feedloom.sinks.tables import insert_select
 
 
 def _runs_wide(spark, d):
     """Each supplier as a run: how well 1,500 per unit predicts its prices."""
-    lines = table(spark, d, "lineitem").withColumn("guess", F.col("l_quantity") * 1500.0)
-    scores = evaluate(lines, "l_extendedprice", "guess", ["l_suppkey"])
-    ended = lines.groupBy("l_suppkey").agg(F.max("l_shipdate").alias("created_at"))
-    return scores.join(ended, "l_suppkey").withColumn("job_id", F.concat(F.lit("run-"), "l_suppkey"))
+    scores = regression_metrics(F.col("l_extendedprice"), F.col("l_quantity") * 1500.0)
+    return (
+        table(spark, d, "lineitem").groupBy(F.concat(F.lit("run-"), "l_suppkey").alias("job_id"))
+        .agg(F.max("l_shipdate").alias("created_at"), *scores)
+    )
 
 
 def _metrics(spark, d):
@@ -86,12 +88,13 @@ def batch_score(spark, d):
     scored = table(spark, d, "labels").select(
         F.col("doc_id").cast("string").alias("id"), F.lit(0.0).cast("float").alias("length_pred"), F.lit("earlier").alias("job_id")
     )
-    from feedloom.sinks.tables import insert_select
-
     insert_select(scored, names[PREDICTIONS])
     for _ in range(2):
         registry.score_new(spark, docs, names[PREDICTIONS], runs=names[MODEL_RUNS], metrics=names[JOB_METRICS])
-    return spark.table(names[PREDICTIONS]).select("id", "length_pred")
+    source = F.when(F.col("job_id") == "earlier", "earlier").otherwise("model")
+    return spark.table(names[PREDICTIONS]).select(
+        "id", source.alias("scored_by"), F.col("length_pred").isNotNull().alias("has_prediction")
+    )
 
 
 def classify_quality(spark, d):
@@ -125,6 +128,11 @@ _RUNS = """
     metrics AS (UNPIVOT wide ON r2, mae, mape INTO NAME metric_name VALUE metric_value)"""
 
 SQL = {
+    "batch_score": """
+        SELECT CAST(doc_id AS VARCHAR) AS id,
+               CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'earlier' ELSE 'model' END AS scored_by,
+               true AS has_prediction
+        FROM documents""",
     "metrics_long": _RUNS + """
         SELECT job_id, created_at, metric_name, round(CAST(metric_value AS DOUBLE), 2) AS metric_value FROM metrics""",
     "parameters_long": """

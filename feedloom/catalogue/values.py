@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feedloom.catalogue.base import table
+from feedloom.catalogue.base import table, wide_table
 from feedloom.functions import dates, text, values
 
 
@@ -51,7 +51,7 @@ def json_fields(spark, d):
 
 
 def text_functions(spark, d):
-    docs = table(spark, d, "documents")
+    docs = wide_table(spark, d, "documents")
     first_word = F.get(text.words("text"), F.lit(0))
     return docs.select(
         "doc_id",

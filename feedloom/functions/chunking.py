@@ -2,7 +2,8 @@
 
 Every strategy returns ``array<string>``; ``explode_chunks`` turns it into rows
 with a 0-based position. Fixed windows and paragraphs stay JVM-side; recursive
-and sentence packing run in Arrow batches.
+and sentence packing run in Arrow batches, marked non-deterministic so that
+Spark does not copy the call into a filter and run it twice.
 """
 
 from __future__ import annotations
@@ -30,11 +31,16 @@ def _check(size: int, overlap: int) -> None:
 def fixed_windows(text: Column | str, size: int = TOKENS_SIZE, overlap: int = TOKENS_OVERLAP) -> Column:
     """Windows of ``size`` words, each repeating the last ``overlap`` words."""
     _check(size, overlap)
-    tokens = words(text)
-    last = F.greatest(F.size(tokens) - overlap - 1, F.lit(0))
-    starts = F.sequence(F.lit(0), last, F.lit(size - overlap))
-    windows = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i + 1, F.lit(size)), " "))
-    return F.when(F.size(tokens) > 0, windows).otherwise(F.array().cast("array<string>"))
+
+    def windows(tokens: Column) -> Column:
+        last = F.greatest(F.size(tokens) - overlap - 1, F.lit(0))
+        starts = F.sequence(F.lit(0), last, F.lit(size - overlap))
+        cut = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i + 1, F.lit(size)), " "))
+        return F.when(F.size(tokens) > 0, cut).otherwise(F.array().cast("array<string>"))
+
+    # The one-element array binds the words, so a text is split once and not
+    # once per window.
+    return F.get(F.transform(F.array(words(text)), windows), F.lit(0))
 
 
 def paragraphs(text: Column | str, separator: str = "\n\n") -> Column:
@@ -103,7 +109,7 @@ def recursive_chunks(
     def run(batch: pd.Series) -> pd.Series:
         return batch.map(lambda t: None if t is None else split_recursive(t, size, overlap, separators))
 
-    return run(_col(text))
+    return run.asNondeterministic()(_col(text))
 
 
 _SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -137,7 +143,7 @@ def sentence_chunks(text: Column | str, size: int = TOKENS_SIZE, overlap: int =
     def run(batch: pd.Series) -> pd.Series:
         return batch.map(lambda t: None if t is None else pack_sentences(t, size, overlap))
 
-    return run(_col(text))
+    return run.asNondeterministic()(_col(text))
 
 
 STRATEGIES = {

@@ -29,9 +29,8 @@ def post_tags(posts: DataFrame, tags: DataFrame, k: int = TOP_TAGS) -> DataFrame
     labels = (
         tags.select("post_id", F.lower("term").alias("term"))
         .join(F.broadcast(top_tags(tags, k).select("term")), "term", "left_semi")
-        .distinct()
         .groupBy("post_id")
-        .agg(F.array_join(F.sort_array(F.collect_list("term")), ",").alias("labels"))
+        .agg(F.array_join(F.sort_array(F.collect_set("term")), ",").alias("labels"))
     )
     return _with_labels(posts, labels)
 

@@ -25,12 +25,10 @@ def newest(df: DataFrame, ts: str, tie: str, n: int = 10_000) -> DataFrame:
     newer = Window.orderBy(F.desc_nulls_last("d")).rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("c").over(newer), F.lit(0))
     # A day counts while fewer than n rows are newer than it.
-    cutoff = per_day.withColumn("before", before).filter(F.col("before") < n).agg(
-        F.min("d").alias("d"), F.count_if(F.col("d").isNull()).alias("undated")
-    )
-    oldest = cutoff.select(F.col("d").cast("timestamp_ntz")).scalar()
-    undated = cutoff.select(F.col("undated") > 0).scalar()
-    recent = df.filter((F.col(ts) >= oldest) | (F.col(ts).isNull() & undated))
+    cutoff = per_day.withColumn("before", before).filter(F.col("before") < n).agg(F.struct(
+        F.min("d").cast("timestamp_ntz").alias("oldest"), (F.count_if(F.col("d").isNull()) > 0).alias("undated")
+    )).scalar()
+    recent = df.filter((F.col(ts) >= cutoff["oldest"]) | (F.col(ts).isNull() & cutoff["undated"]))
     return recent.orderBy(F.desc_nulls_last(ts), F.asc(tie)).limit(n)
 
 

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from feedloom.session import scratch_path
+from feedloom.session import materialize, scratch_path
 
 # A batch of keys up to this many rows is broadcast against the stored table.
 BROADCAST_ROWS = 1_000_000
@@ -56,12 +57,10 @@ def delta_not_in(source: DataFrame, done: DataFrame, key: str) -> DataFrame:
     its right side; an anti join plus one NULL test scales with ``done``.
     """
     rest = delta(source, done, [key])
-    state = done.agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("nulls")
-    )
-    has_null = state.select(F.col("nulls") > 0).scalar()
-    any_row = state.select(F.col("n") > 0).scalar()
-    return rest.filter(~has_null & (F.col(key).isNotNull() | ~any_row))
+    state = done.agg(F.struct(
+        (F.count(F.lit(1)) > 0).alias("any_row"), (F.count_if(F.col(key).isNull()) > 0).alias("has_null")
+    )).scalar()
+    return rest.filter(~state["has_null"] & (F.col(key).isNotNull() | ~state["any_row"]))
 
 
 def new_rows(
@@ -135,23 +134,25 @@ def replace_groups(current: DataFrame, batch: DataFrame, group: list[str]) -> Da
 
 
 class BucketedTable:
-    """Parquet folder split by key hash, for upserts that touch few buckets.
-
-    An upsert reads and rewrites only the buckets its batch falls in. The merged
-    rows are written to the shared folder first, because a folder cannot be
-    overwritten while it is being read; a run that dies in between can simply be
-    repeated. Hot buckets are split over many files by the rebalance hint.
+    """Parquet folder split by key hash, for loads that mostly add.
+
+    A load first looks, by key columns only, for buckets that already hold keys
+    of the batch. Those few are merged and rewritten; everything else is
+    appended. Merged rows pass through the shared folder, because a folder
+    cannot be overwritten while it is being read. A run that dies half way can
+    be repeated: what it wrote is then found and replaced. The rebalance hint
+    splits a hot bucket over many files.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: str, group: list[str], buckets: int = 256):
         self.spark, self.path, self.schema = spark, path, schema
         self.group, self.buckets = group, buckets
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.group), F.lit(self.buckets)).cast("int")
+    def _bucketed(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("bucket", F.pmod(F.xxhash64(*self.group), F.lit(self.buckets)).cast("int"))
 
     def _stored(self) -> DataFrame:
-        schema = spark_schema(self.spark, f"{self.schema}, bucket int")
+        schema = StructType.fromDDL(f"{self.schema}, bucket int")
         if not _exists(self.spark, self.path):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self.path)
@@ -159,33 +160,48 @@ class BucketedTable:
     def read(self) -> DataFrame:
         return self._stored().drop("bucket")
 
-    def _commit(self, batch: DataFrame, merge) -> None:
-        incoming = scratch_path(self.spark, "incoming")
-        merged = scratch_path(self.spark, "merged")
-        batch.withColumn("bucket", self._bucket()).write.parquet(incoming)
-        staged = self.spark.read.parquet(incoming)
-        touched = [r.bucket for r in staged.select("bucket").distinct().collect()]
-        if not touched:
-            return
-        current = self._stored().filter(F.col("bucket").isin(touched))
-        merge(current, staged).write.parquet(merged)
+    def _write(self, rows: DataFrame, mode: str) -> None:
         (
-            self.spark.read.parquet(merged).hint("rebalance", "bucket")
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("bucket").parquet(self.path)
+            rows.hint("rebalance", "bucket").write.mode(mode)
+            .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.path)
         )
 
-    def upsert(self, batch: DataFrame, keys: list[str], order: list[str] | None = None) -> None:
-        self._commit(batch, lambda old, new: upsert_latest(old, new, keys, order))
-
-    def replace(self, batch: DataFrame) -> None:
-        self._commit(batch, lambda old, new: replace_groups(old, new, self.group))
-
+    def _commit(self, batch: DataFrame, keys: DataFrame, merge, settle) -> None:
+        """``batch`` rows by bucket; ``keys`` their key columns with the bucket."""
+        stored = self._stored()
+        on = keys.columns
+        hit = stored.select(*on).join(keys.distinct(), on, "left_semi").select("bucket").distinct()
+        touched = [r.bucket for r in hit.collect()]  # at most one number per bucket
+        if touched:
+            path = scratch_path(self.spark, "merged")
+            in_touched = F.col("bucket").isin(touched)
+            merge(stored.filter(in_touched), batch.filter(in_touched)).write.parquet(path)
+            self._write(self.spark.read.parquet(path), "overwrite")
+            batch = batch.filter(~in_touched)
+        self._write(settle(batch), "append")
 
-def spark_schema(spark: SparkSession, ddl: str):
-    from pyspark.sql.types import StructType
+    def upsert(self, batch: DataFrame, keys: list[str], order: list[str] | None = None) -> None:
+        """Last write wins per key; ``keys`` include the group columns."""
+        staged = materialize(self._bucketed(batch), "incoming")
+        self._commit(
+            staged, staged.select(*keys, "bucket"),
+            lambda old, new: upsert_latest(old, new, keys, order),
+            lambda new: last_per_key(new, keys, order or []),
+        )
 
-    return StructType.fromDDL(ddl)
+    def replace(self, batch: DataFrame, groups: DataFrame | None = None) -> None:
+        """All rows of the batch's groups give way to the batch. ``groups`` lists
+        those groups when that is cheaper than computing the batch; a batch that
+        meets no stored group is then computed and written once."""
+        if groups is None:
+            batch = materialize(batch, "incoming")
+            groups = batch
+        wanted = self._bucketed(groups.select(*self.group).distinct())
+        self._commit(
+            self._bucketed(batch), wanted,
+            lambda old, new: old.join(wanted.select(*self.group), self.group, "left_anti").unionByName(new),
+            lambda new: new,
+        )
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

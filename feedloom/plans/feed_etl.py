@@ -11,7 +11,7 @@ from feedloom.operators.entries import BUILDERS, parse_entries
 from feedloom.operators.filters import new_job_id
 from feedloom.operators.upsert import insert_if_absent
 from feedloom.schemas import STAGE_TABLES
-from feedloom.session import materialize
+from feedloom.session import materialize, spread
 
 
 def _place(root: str | None, layer: str) -> str | None:
@@ -45,7 +45,7 @@ def stage_entries(
     """
     job_id = job_id or new_job_id()
     now = ingest_timestamp or dt.datetime.now()
-    parsed = materialize(parse_entries(entries, job_id, now, date_mode), "parsed")
+    parsed = materialize(parse_entries(spread(entries), job_id, now, date_mode), "parsed")
     catalog.recreate_layer(spark, raw_layer, _place(root, raw_layer))
     if reject_layer:
         catalog.create_layer(spark, reject_layer, _place(root, reject_layer))

@@ -68,6 +68,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/feedloom/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt over all cores when a scan has fewer splits than cores, for
+    work that costs far more than its input (one big JSON array, a single row
+    group). Large inputs have splits enough and pass through untouched, as do
+    frames that are shuffled already."""
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
