@@ -13,7 +13,9 @@ from feedloom.ml.training import MAX_FEATURES, MODEL_NAME, NGRAM_RANGE, fit_leng
 from feedloom.operators.filters import new_job_id
 from feedloom.operators.upsert import delta
 from feedloom.schemas import JOB_METRICS, JOB_PARAMETERS, MODEL_RUNS, PREDICTIONS
+from feedloom.sinks.files import write_json_lines
 from feedloom.sinks.tables import append, insert_row
+from feedloom.sources.files import read_csv
 
 METRICS = ("r2", "mae", "mape")
 
@@ -104,3 +106,16 @@ def score_new(
         "created_at": F.lit(dt.datetime.now()).cast("timestamp_ntz"),
     })
     append(scored, predictions)
+
+
+def predict_texts(spark: SparkSession, texts: DataFrame, **best) -> DataFrame:
+    """Titles scored by the best model, each beside that model's run."""
+    model, run = load_best(spark, **best)
+    info = ("job_id", "metric_name", "metric_value", "model_path")
+    return predict(model, texts, texts.columns).withColumns({c: F.lit(run[c]) for c in info})
+
+
+def predict_files(spark: SparkSession, model_path: str, source: str, target: str, schema: str) -> None:
+    """CSV instances in, JSON lines with their prediction out."""
+    instances = read_csv(spark, source, schema)
+    write_json_lines(predict(PipelineModel.load(model_path), instances, instances.columns), target)
