@@ -16,6 +16,7 @@ from feedloom.schemas import JOB_METRICS, JOB_PARAMETERS, MODEL_RUNS, PREDICTION
 from feedloom.sinks.files import write_json_lines
 from feedloom.sinks.tables import append, insert_row
 from feedloom.sources.files import read_csv
+from feedloom.sources.tables import read_current
 
 METRICS = ("r2", "mae", "mape")
 
@@ -87,7 +88,7 @@ def run_training(
 def load_best(spark: SparkSession, runs: str = MODEL_RUNS.full_name, metrics: str = JOB_METRICS.full_name,
               name_contains: str = "post length"):
     """(model, its run row); the row is one line, read to find the model path."""
-    row = best_run(spark.table(metrics), spark.table(runs), name_contains).first()
+    row = best_run(read_current(spark, metrics), read_current(spark, runs), name_contains).first()
     if row is None:
         raise LookupError(f"no run named like {name_contains!r}")
     return PipelineModel.load(row.model_path), row
@@ -97,7 +98,7 @@ def score_new(
     spark: SparkSession, posts: DataFrame, predictions: str = PREDICTIONS.full_name, **best
 ) -> None:
     """Score posts without a prediction and append them."""
-    pending = delta(posts.select("id", "title"), spark.table(predictions), ["id"])
+    pending = delta(posts.select("id", "title"), read_current(spark, predictions), ["id"])
     if pending.isEmpty():
         return
     model, run = load_best(spark, **best)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from feedloom.session import materialize, scratch_path
+from feedloom.sources.tables import read_current
 
 # A batch of keys up to this many rows is broadcast against the stored table.
 BROADCAST_ROWS = 1_000_000
@@ -107,7 +108,7 @@ def insert_if_absent(
     NULL key go to the ``rejects`` table when one is named; without it they
     raise, as a keyed table would.
     """
-    stage = spark.table(table)
+    stage = read_current(spark, table)
     columns = stage.columns
     batch = batch.select(*(f"`{c}`" for c in columns))
     _, bad = split_null_keys(batch, keys)

@@ -12,6 +12,7 @@ from feedloom.operators.vectors import (
 from feedloom.schemas import CHUNK_RECORD, EMBEDDED_POSTS
 from feedloom.session import materialize, spread
 from feedloom.sinks.tables import insert_select
+from feedloom.sources.tables import read_current
 
 
 def vector_table(spark: SparkSession, path: str, buckets: int = 256) -> BucketedTable:
@@ -37,7 +38,7 @@ def embed_new_posts(
     The ids are fixed before the vectors are written; a run that dies between
     the two writes embeds the same posts again, which replaces their chunks.
     """
-    pending = materialize(delta(posts, spark.table(ledger), ["id"]), "pending")
+    pending = materialize(delta(posts, read_current(spark, ledger), ["id"]), "pending")
     if pending.isEmpty():
         return
     write_chunks(pending, vectors, embedder, **chunking)

@@ -14,6 +14,13 @@ def read_table(spark: SparkSession, name: str, columns: list[str] | None = None)
     return table.select(*columns) if columns else table
 
 
+def read_current(spark: SparkSession, name: str) -> DataFrame:
+    """The table as it is on disk now: a session remembers the file list of a
+    table, and a stream or another job may have added to it since."""
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def query(spark: SparkSession, text: str, args: dict[str, Any] | None = None, **frames: DataFrame) -> DataFrame:
     """SQL with ``:name`` parameters; frames are usable as ``{name}``."""
     return spark.sql(text, args=args, **frames)

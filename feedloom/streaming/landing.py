@@ -14,16 +14,21 @@ from pyspark.sql import DataFrame, SparkSession
 from feedloom.operators.upsert import BucketedTable, first_per_key, insert_if_absent
 from feedloom.plans.feed_etl import stage_entries
 from feedloom.plans.retrieval import write_chunks
-from feedloom.schemas import EMBEDDED_POSTS, FEED_ENTRY
+from feedloom.schemas import EMBEDDED_POSTS, FEED_ENTRY, STAGE_TABLES
 from feedloom.session import materialize
 from feedloom.sinks.tables import insert_select
+from feedloom.sources.tables import read_current
 
 
-def _run(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], once: bool):
+def _run(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], once: bool, tables=()):
+    """Batches run in a session of their own, so the caller's is told to look
+    again at the tables they filled."""
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
     query = (writer.trigger(availableNow=True) if once else writer).start()
     if once:
         query.awaitTermination()
+        for table in tables:
+            stream.sparkSession.catalog.refreshTable(table)
     return query
 
 
@@ -40,17 +45,18 @@ def insert_stream(stream: DataFrame, table: str, keys: list[str], checkpoint: st
     def each(batch: DataFrame, _: int) -> None:
         insert_if_absent(batch.sparkSession, table, batch, keys, order)
 
-    return _run(stream, checkpoint, each, once)
+    return _run(stream, checkpoint, each, once, [table])
 
 
-def stage_landed_entries(spark: SparkSession, path: str, checkpoint: str, once: bool = True, **etl):
+def stage_landed_entries(spark: SparkSession, path: str, checkpoint: str, once: bool = True,
+                         stage_layer: str = "stage", **etl):
     """Newly landed JSON entry files into the stage tables."""
     stream = read_landing(spark, path, FEED_ENTRY, "json", multiLine="true")
 
     def each(batch: DataFrame, _: int) -> None:
-        stage_entries(batch.sparkSession, batch, **etl)
+        stage_entries(batch.sparkSession, batch, stage_layer=stage_layer, **etl)
 
-    return _run(stream, checkpoint, each, once)
+    return _run(stream, checkpoint, each, once, [f"{stage_layer}.{t.name}" for t in STAGE_TABLES])
 
 
 def embed_landed_posts(stream: DataFrame, vectors: BucketedTable, embedder, checkpoint: str,
@@ -62,9 +68,9 @@ def embed_landed_posts(stream: DataFrame, vectors: BucketedTable, embedder, chec
         posts = materialize(first_per_key(batch, ["id"]), "posts")
         write_chunks(posts, vectors, embedder, **chunking)
         done = posts.select("id").distinct()
-        insert_select(done.join(batch.sparkSession.table(ledger).select("id"), "id", "left_anti"), ledger)
+        insert_select(done.join(read_current(batch.sparkSession, ledger).select("id"), "id", "left_anti"), ledger)
 
-    return _run(stream, checkpoint, each, once)
+    return _run(stream, checkpoint, each, once, [ledger])
 
 
 def distinct_stream(stream: DataFrame, keys: list[str], path: str, checkpoint: str,
