@@ -53,9 +53,10 @@ def chunk_sentence_cover(spark, d):
 def _centroid_hits(spark, d, k):
     """One query per label: the mean of its vectors, against all vectors."""
     items = table(spark, d, "embeddings")
-    return vectors.cosine_topk(
+    hits = vectors.cosine_topk(
         vectors.centroids(items, "label", "embedding"), items, k, "label", "vector", "vec_id", "embedding"
     )
+    return materialize(hits, "hits")
 
 
 def cosine_topk(spark, d):
@@ -70,8 +71,8 @@ def rag_context(spark, d):
 
 def rag_top_article(spark, d):
     docs = posts(spark, d).select("id", "title", F.col("content_text").alias("content_source"), "content_text")
-    hits = materialize(_centroid_hits(spark, d, 1).withColumn("post_id", F.col("item_id")), "hits")
-    return vectors.top_article(hits, docs, label_tags(spark, d)).select(
+    hits = _centroid_hits(spark, d, 1)
+    return vectors.top_article(hits.withColumn("post_id", F.col("item_id")), docs, label_tags(spark, d)).select(
         "query_id", "id", "title", "content_text", "tags"
     )
 

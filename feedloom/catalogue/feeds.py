@@ -9,10 +9,12 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import functions as F
 
+from feedloom import catalog
 from feedloom.catalogue.base import table, wide_table
 from feedloom.catalogue.pages import VISIBLE, unescaped
 from feedloom.operators import entries as ent
 from feedloom.plans import feed_etl
+from feedloom.schemas import FLAT_POSTS
 from feedloom.session import scratch_path
 from feedloom.sinks import files as sink
 from feedloom.sources import feeds, files
@@ -90,6 +92,18 @@ def flat_posts(spark, d):
     )
 
 
+def flat_stage(spark, d):
+    """Two feeds with the same pages, loaded twice: one row per link."""
+    layer = f"flat_{uuid.uuid4().hex[:12]}"
+    catalog.create_layer(spark, layer, scratch_path(spark, layer))
+    name = catalog.create_table(spark, FLAT_POSTS, f"{layer}.post")
+    entries = _entries(spark, d)
+    both = feeds.union_feeds(*(entries.withColumn("feed", F.lit(f)) for f in ("one", "two")))
+    for _ in range(2):
+        feed_etl.stage_flat_entries(spark, both.withColumn("at", F.col("id").cast("bigint")), ["feed", "at"], "job-1", NOW, name)
+    return spark.table(name).select("id", "url", "job_id", F.md5("content").alias("body"))
+
+
 def _parsed(spark, d):
     return ent.parse_entries(_entries(spark, d), "job-1", NOW)
 
@@ -146,13 +160,14 @@ def jsonl_round_trip(spark, d):
 def parquet_by_language(spark, d):
     folder = scratch_path(spark, "parquet")
     sink.write_parquet(table(spark, d, "documents"), folder, partition_by=["lang"])
-    return files.read_parquet(spark, folder).filter(F.col("lang") == "fr").select("doc_id", "source", "n_chars")
+    return files.read_parquet(spark, folder).select("doc_id", "lang", "source", F.md5("text").alias("body"))
 
 
 QUERIES = {
     "feed_xml": feed_xml,
     "entries_json": entries_json,
     "flat_posts": flat_posts,
+    "flat_stage": flat_stage,
     "etl_posts": etl_posts,
     "etl_tags": etl_tags,
     "etl_links": etl_links,
@@ -188,6 +203,9 @@ SQL = {
         SELECT CAST(page_id AS VARCHAR) AS id, url, epoch_us(TIMESTAMP '2024-09-17 17:03:44') AS published_micros,
                'job-1' AS job_id, url AS raw_link
         FROM pages""",
+    "flat_stage": """
+        SELECT CAST(page_id AS VARCHAR) AS id, url, 'job-1' AS job_id, md5(html) AS body FROM pages
+        QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id) = 1""",
     "etl_posts": f"""
         SELECT CAST(page_id AS VARCHAR) AS id, url AS link, 'Page ' || page_id AS title,
                {unescaped(unescaped(VISIBLE))} AS content_text, 'job-1' AS job_id,
@@ -204,5 +222,5 @@ SQL = {
         SELECT DISTINCT 'links', post_id, index || '|' || href FROM ({_LINKS})""",
     "csv_round_trip": "SELECT doc_id, md5(text) AS body, lang || ',' || source AS labels FROM documents",
     "jsonl_round_trip": "SELECT doc_id, md5(text) AS body, lang, n_chars FROM documents",
-    "parquet_by_language": "SELECT doc_id, source, n_chars FROM documents WHERE lang = 'fr'",
+    "parquet_by_language": "SELECT doc_id, lang, source, md5(text) AS body FROM documents",
 }

@@ -55,7 +55,6 @@ def text_functions(spark, d):
     first_word = F.get(text.words("text"), F.lit(0))
     return docs.select(
         "doc_id",
-        text.prefix("text", 2000).alias("head"),
         F.size(text.split_labels(text.replace_nbsp("text"))).cast("bigint").alias("comma_parts"),
         text.not_blank("text").alias("has_text"),
         text.remove_first("text", first_word).alias("without_first_word"),
@@ -105,8 +104,7 @@ SQL = {
         WITH w AS (
             SELECT *, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')[1] AS first_word FROM documents
         )
-        SELECT doc_id, substring(text, 1, 2000) AS head,
-               CAST(len(regexp_split_to_array(replace(text, chr(160), ' '), ',\s*')) AS BIGINT) AS comma_parts,
+        SELECT doc_id, CAST(len(regexp_split_to_array(replace(text, chr(160), ' '), ',\s*')) AS BIGINT) AS comma_parts,
                len(regexp_replace(text, '\s+', '', 'g')) > 0 AS has_text,
                regexp_replace(CASE WHEN instr(text, first_word) > 0
                     THEN substring(text, 1, instr(text, first_word) - 1) || substring(text, instr(text, first_word) + len(first_word))

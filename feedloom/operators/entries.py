@@ -67,7 +67,7 @@ def authors(parsed: DataFrame) -> DataFrame:
 
 def flat_posts(entries: DataFrame, job_id: str, ingest_timestamp: dt.datetime) -> DataFrame:
     """One flat row per entry beside its raw JSON, dates as instants
-    (``schemas.FLAT_POST``)."""
+    (``schemas.FLAT_POSTS``)."""
     return entries.select(
         "id", F.col("link").alias("url"), "title",
         parse_feed_date("published", "instant").alias("published_date"),

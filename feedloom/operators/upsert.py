@@ -167,13 +167,15 @@ class BucketedTable:
             .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.path)
         )
 
-    def _commit(self, batch: DataFrame, keys: DataFrame, merge, settle) -> None:
-        """``batch`` rows by bucket; ``keys`` their key columns with the bucket."""
+    def _commit(self, batch: DataFrame, keys: DataFrame, merge, settle, written: bool = True) -> None:
+        """``batch`` rows by bucket; ``keys`` their key columns with the bucket.
+        A batch not ``written`` yet is, once it is needed more than once."""
         stored = self._stored()
         on = keys.columns
         hit = stored.select(*on).join(keys.distinct(), on, "left_semi").select("bucket").distinct()
         touched = [r.bucket for r in hit.collect()]  # at most one number per bucket
         if touched:
+            batch = batch if written else materialize(batch, "incoming")
             path = scratch_path(self.spark, "merged")
             in_touched = F.col("bucket").isin(touched)
             merge(stored.filter(in_touched), batch.filter(in_touched)).write.parquet(path)
@@ -194,14 +196,14 @@ class BucketedTable:
         """All rows of the batch's groups give way to the batch. ``groups`` lists
         those groups when that is cheaper than computing the batch; a batch that
         meets no stored group is then computed and written once."""
-        if groups is None:
-            batch = materialize(batch, "incoming")
-            groups = batch
+        written = groups is None
+        if written:
+            groups = batch = materialize(batch, "incoming")
         wanted = self._bucketed(groups.select(*self.group).distinct())
         self._commit(
             self._bucketed(batch), wanted,
             lambda old, new: old.join(wanted.select(*self.group), self.group, "left_anti").unionByName(new),
-            lambda new: new,
+            lambda new: new, written,
         )
 
 

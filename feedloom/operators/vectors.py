@@ -23,6 +23,8 @@ MAX_TOP_K = 15
 BROADCAST_QUERIES = 2048
 BROADCAST_BYTES = 64 << 20
 TILE_ROWS = 256
+# Hits are ids, scores and ranks: some tens of bytes each.
+BROADCAST_HITS = 500_000
 # Scores are compared at this many decimals, so copies of a vector tie.
 SCORE_DECIMALS = 9
 
@@ -231,10 +233,17 @@ def centroids(items: DataFrame, group: str, vector: str) -> DataFrame:
     )
 
 
+def _small_side(df: DataFrame) -> DataFrame:
+    """Marked for broadcast when a count shows it is small enough. ``df`` should
+    be a written table, where the count costs next to nothing."""
+    few = df.limit(BROADCAST_HITS + 1).count() <= BROADCAST_HITS
+    return F.broadcast(df) if few else df
+
+
 def hits_with_metadata(hits: DataFrame, items: DataFrame, item_id: str = "id") -> DataFrame:
-    """Attach the item columns; hits are at most k per query, hence the small
-    side when the queries were broadcast."""
-    return items.withColumnRenamed(item_id, "item_id").join(hits, "item_id")
+    """Attach the item columns to written hits. Few hits are broadcast, so that
+    the items, texts and all, are scanned and not shuffled."""
+    return items.withColumnRenamed(item_id, "item_id").join(_small_side(hits), "item_id")
 
 
 def retrieval_context(hits: DataFrame, text: str = "chunk_text", sep: str = "\n") -> DataFrame:
@@ -243,12 +252,12 @@ def retrieval_context(hits: DataFrame, text: str = "chunk_text", sep: str = "\n"
 
 
 def top_article(hits: DataFrame, posts: DataFrame, tags: DataFrame, post_id: str = "post_id") -> DataFrame:
-    """The post behind each query's best hit, with its tags."""
+    """The post behind each query's best hit, with its tags; hits as written."""
     best = hits.filter(F.col("rank") == 1).select("query_id", F.col(post_id).alias("id"))
-    wanted = best.select("id").distinct()
+    wanted = _small_side(best.select("id"))
     some_tags = tags.join(wanted.withColumnRenamed("id", "post_id"), "post_id", "left_semi")
     some_posts = posts.join(wanted, "id", "left_semi")
-    return best.join(post_detail(some_posts, some_tags), "id")
+    return post_detail(some_posts, some_tags).join(best, "id")
 
 
 def compare_texts(pairs: DataFrame, left: str, right: str, keep: list[str], max_chars: int | None = None) -> DataFrame:

@@ -7,17 +7,31 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from feedloom import catalog
-from feedloom.operators.entries import BUILDERS, parse_entries
+from feedloom.operators.entries import BUILDERS, flat_posts, parse_entries
 from feedloom.operators.filters import new_job_id
-from feedloom.operators.upsert import insert_if_absent
-from feedloom.schemas import STAGE_TABLES
+from feedloom.operators.upsert import first_per_key, insert_if_absent
+from feedloom.schemas import FLAT_POSTS, STAGE_TABLES
 from feedloom.session import materialize, spread
 
 
+FEED_FIELDS = ("id", "link", "title", "summary", "published", "tags", "content")
+
+
 def _place(root: str | None, layer: str) -> str | None:
     return f"{root}/{layer}" if root else None
 
 
+def stage_flat_entries(
+    spark: SparkSession, entries: DataFrame, order: list[str], job_id: str | None = None,
+    ingest_timestamp: dt.datetime | None = None, table: str = FLAT_POSTS.full_name,
+) -> None:
+    """The flat generation of the same load: one entry per link, the first by
+    ``order`` (feed, position), then the entries whose id is new."""
+    unique = first_per_key(entries, ["link"], order).drop(*(c for c in order if c not in FEED_FIELDS))
+    rows = flat_posts(unique, job_id or new_job_id(), ingest_timestamp or dt.datetime.now())
+    insert_if_absent(spark, table, materialize(rows, "flat"), list(FLAT_POSTS.key), ["ingest_timestamp"])
+
+
 def set_up(spark: SparkSession, layer: str = "stage", buckets: int | None = None, root: str | None = None) -> None:
     """Stage layer and tables, bucketed on their keys when asked; ``root`` names
     the folder of the layer when it is not the session's warehouse."""

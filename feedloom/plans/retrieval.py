@@ -49,7 +49,7 @@ def search(questions: DataFrame, vectors: DataFrame, embedder, k: int = 5,
            query_id: str = "query_id", text: str = "question") -> DataFrame:
     """Best k chunks per question with their metadata."""
     asked = embedder.transform(questions.select(query_id, text).filter(F.length(F.trim(text)) > 0), text, "vector")
-    hits = cosine_topk(asked, vectors, k, query_id=query_id)
+    hits = materialize(cosine_topk(asked, vectors, k, query_id=query_id), "hits")
     found = hits_with_metadata(hits, vectors.select("id", "metadata"))
     return found.select("query_id", "rank", "score", F.col("item_id").alias("id"), "metadata.*")
 

@@ -92,9 +92,21 @@ EMBEDDED_POSTS = Table("genai", "embedded_posts", {
     "id": "string", "parsed_timestamp": "timestamp_ntz",
 }, key=("id",), defaults={"parsed_timestamp": NOW})
 
+# Entries kept as one flat table with the raw entry beside the fields.
+FLAT_POSTS = Table("feeds", "post", {
+    "id": "string", "url": "string", "title": "string", "published_date": "timestamp",
+    "content": "string", "summary": "string", "ingest_timestamp": "timestamp",
+    "job_id": "string", "raw_feed": "string",
+}, key=("id",))
+
+# Sample table.
+USERS = Table("sandbox", "users", {
+    "user_id": "int", "username": "string", "email": "string", "created_at": "timestamp_ntz",
+}, key=("user_id",))
+
 STAGE_TABLES = (POSTS, TAGS, LINKS, IMAGES, AUTHORS)
 ALL_TABLES = STAGE_TABLES + (
-    MODEL_RUNS, JOB_METRICS, JOB_PARAMETERS, PREDICTIONS, EMBEDDED_POSTS,
+    MODEL_RUNS, JOB_METRICS, JOB_PARAMETERS, PREDICTIONS, EMBEDDED_POSTS, FLAT_POSTS, USERS,
 )
 
 CHUNK_RECORD = """
@@ -103,8 +115,3 @@ CHUNK_RECORD = """
                     chunk_index:int, post_id:string, chunk_text:string>
 """
 
-# Feed generation kept as one flat table with the raw entry beside it.
-FLAT_POST = """
-    id string, url string, title string, published_date timestamp, content string,
-    summary string, ingest_timestamp timestamp, job_id string, raw_feed string
-"""
