@@ -78,13 +78,15 @@ def rag_top_article(spark, d):
 
 
 def chunk_records(spark, d):
-    """Documents to chunk records with hashed 768-dimensional vectors."""
+    """Documents to chunk records with hashed 768-dimensional vectors, cut in
+    fixed windows."""
     docs = posts(spark, d).select(
         F.col("id").cast("string"), F.lit("/doc").alias("link"), "title", "content_text",
         F.lit("2024-01-01").cast("timestamp_ntz").alias("published"),
     )
     embedder = vectors.HashingEmbedder.fit(docs, "content_text")
-    return vectors.chunk_records(docs, embedder)
+    records = vectors.chunk_records(docs, embedder, strategy="fixed")
+    return records.select("id", "metadata.*", F.size("values").alias("dimensions"))
 
 
 def text_search(spark, d):
@@ -154,6 +156,19 @@ SQL = {
         SELECT doc_id, CAST(pos / 250 AS INTEGER) AS chunk_index,
                array_to_string(w[pos + 1 : pos + 300], ' ') AS chunk_text
         FROM s""",
+    "chunk_records": r"""
+        WITH t AS (
+            SELECT doc_id, substring(text, 1, 80) AS title,
+                   list_filter(regexp_split_to_array(replace(text, chr(160), ' '), '\s+'), lambda x: x <> '') AS w FROM documents
+        ),
+        s AS (
+            SELECT *, unnest(generate_series(0, greatest(len(w) - 51, 0), 250)) AS pos FROM t WHERE len(w) > 0
+        )
+        SELECT doc_id || '_' || CAST(pos / 250 AS INTEGER) AS id, '/doc' AS link, title,
+               epoch_us(TIMESTAMP '2024-01-01') AS published_timestamp, CAST(pos / 250 AS INTEGER) AS chunk_index,
+               CAST(doc_id AS VARCHAR) AS post_id, array_to_string(w[pos + 1 : pos + 300], ' ') AS chunk_text,
+               CAST(768 AS INTEGER) AS dimensions
+        FROM s""",
     "chunk_paragraph": """
         SELECT doc_id, CAST(generate_subscripts(p, 1) - 1 AS INTEGER) AS chunk_index, unnest(p) AS chunk_text
         FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents)""",

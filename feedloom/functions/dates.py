@@ -39,29 +39,29 @@ def parse_feed_date(text: Column | str, mode: str = "wall", strict: bool = True)
     ``strict`` raises on malformed text, otherwise it turns NULL.
     """
     text = _col(text)
-    parse = F.to_timestamp if strict else F.try_to_timestamp
-    if mode in ("wall", "iso"):
-        body = _body(text)
-        if strict:
-            wall = F.to_timestamp_ntz(body, F.lit(_BODY))
-        else:
-            wall = F.try_to_timestamp(body, F.lit(_BODY)).cast("timestamp_ntz")
-        if mode == "wall":
-            return wall
-        off = _offset(text)
-        return F.concat(
-            F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss"),
-            F.substring(off, 1, 3), F.lit(":"), F.substring(off, 4, 2),
-        )
-    if mode in ("utc", "instant"):
-        whole = F.concat_ws(" ", _body(text), _offset(text))
-        whole = F.when(text.isNotNull(), whole)
-        fmt = f"{_BODY} Z"
-        instant = parse(whole, fmt) if strict else parse(whole, F.lit(fmt))
-        if mode == "instant":
-            return instant
-        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
-    raise ValueError(f"unknown mode {mode!r}")
+    if mode == "instant":
+        whole = F.when(text.isNotNull(), F.concat_ws(" ", _body(text), _offset(text)))
+        return F.to_timestamp(whole, f"{_BODY} Z") if strict else F.try_to_timestamp(whole, F.lit(f"{_BODY} Z"))
+    if mode not in ("wall", "utc", "iso"):
+        raise ValueError(f"unknown mode {mode!r}")
+    body, offset = _body(text), _offset(text)
+    if strict:
+        wall = F.to_timestamp_ntz(body, F.lit(_BODY))
+    else:
+        wall = F.try_to_timestamp(body, F.lit(_BODY)).cast("timestamp_ntz")
+    if mode == "wall":
+        return wall
+    if mode == "utc":
+        # Taking the written offset away needs no session zone, hence no guess
+        # about hours that a zone has twice or not at all.
+        number = lambda c: c.cast("int") if strict else c.try_cast("int")
+        hours = number(F.substring(offset, 1, 3))
+        minutes = number(F.concat(F.substring(offset, 1, 1), F.substring(offset, 4, 2)))
+        return wall - F.make_dt_interval(F.lit(0), hours, minutes)
+    return F.concat(
+        F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss"),
+        F.substring(offset, 1, 3), F.lit(":"), F.substring(offset, 4, 2),
+    )
 
 
 def day_text(ts: Column | str) -> Column:
@@ -78,5 +78,5 @@ def on_day_before(ts: Column | str, as_of: dt.date) -> Column:
 
 def epoch_micros(ts: Column | str) -> Column:
     """Microseconds since 1970, reading a zone-less timestamp as UTC."""
-    as_utc = F.convert_timezone(F.lit("UTC"), F.current_timezone(), _col(ts).cast("timestamp_ntz"))
-    return F.unix_micros(as_utc.cast("timestamp"))
+    since = _col(ts).cast("timestamp_ntz") - F.lit("1970-01-01").cast("timestamp_ntz")
+    return (since.cast("interval second").cast("decimal(20,6)") * 1_000_000).cast("bigint")

@@ -52,7 +52,8 @@ def length_pipeline(
         CountVectorizer(inputCol="grams", outputCol="features", vocabSize=max_features),
         LinearRegression(
             featuresCol="features", labelCol="word_count", predictionCol="length_pred",
-            solver="auto", regParam=reg_param,
+            # The closed form would build and factor a dense matrix of all grams.
+            solver="l-bfgs", regParam=reg_param,
         ),
     ])
 

@@ -30,8 +30,12 @@ def test_utc_mode_in_another_session_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
         assert one(spark, dates.parse_feed_date("x", "utc"), DATE) == dt.datetime(2024, 9, 17, 17, 3, 44)
-        stamp = dt.datetime(2024, 1, 1, 0, 0, 1)
-        assert one(spark, dates.epoch_micros("x"), stamp, "timestamp_ntz") == 1704067201000000
+        # 06:30 UTC is an hour that New York has twice on that day.
+        twice = "Sun, 03 Nov 2024 06:30:00 +0000"
+        assert one(spark, dates.parse_feed_date("x", "utc"), twice) == dt.datetime(2024, 11, 3, 6, 30)
+        for stamp, seconds in ((dt.datetime(2024, 1, 1, 0, 0, 1), 1704067201), (dt.datetime(2024, 11, 3, 6, 30), 1730615400),
+                               (dt.datetime(1969, 12, 31, 23, 59, 59), -1)):
+            assert one(spark, dates.epoch_micros("x"), stamp, "timestamp_ntz") == seconds * 1_000_000
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
