@@ -34,6 +34,16 @@ def train_test(df: DataFrame, key: str, test_tenths: int = TEST_TENTHS) -> tuple
     return df.filter(slot >= test_tenths), df.filter(slot < test_tenths)
 
 
+# Rows a task should have at least in an iterative fit, which pays for its tasks
+# once per iteration.
+FIT_ROWS = 10_000
+
+
+def for_fitting(written: DataFrame) -> DataFrame:
+    """Fewer partitions for small written data; larger data keeps its own."""
+    return written.coalesce(max(1, written.count() // FIT_ROWS))
+
+
 def length_pipeline(
     max_features: int = MAX_FEATURES, ngram_range: tuple[int, int] = NGRAM_RANGE, reg_param: float = 0.01
 ) -> Pipeline:
@@ -65,7 +75,7 @@ def fit_length(
     data = data.select(key, F.coalesce("title", F.lit("")).alias("title"), F.col("word_count").cast("double"))
     data = materialize(data.na.drop(subset=["word_count"]), "training")
     train, test = train_test(data, key)
-    model = length_pipeline(max_features, ngram_range).fit(train)
+    model = length_pipeline(max_features, ngram_range).fit(for_fitting(train))
     scored = model.transform(test).select("word_count", "length_pred")
     return model, evaluate(scored, "word_count", "length_pred")
 
@@ -97,7 +107,7 @@ def fit_classifier(
         ]
     features.append(VectorAssembler(inputCols=numeric + hot, outputCol="features"))
     prepared = Pipeline(stages=features).fit(train)
-    ready = materialize(prepared.transform(train).select(label, "features"), "features")
+    ready = for_fitting(materialize(prepared.transform(train).select(label, "features"), "features"))
     measure = MulticlassClassificationEvaluator(metricName="logLoss", labelCol=label)
     best, best_loss = None, float("inf")
     for reg in (0.0, 0.01, 0.1):
