@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.llm import packing, simhash, simple8b
+from pyspark.sql import functions as F
+
+from feedloom.llm import ann, decontaminate, licenses, lpf, packing, quality, rollup, simhash, simple8b, toxicity
 from feedloom.llm.common import table
-from feedloom.session import ship_package
+from feedloom.session import scratch_path, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,17 +23,63 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op3_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest(table(spark, folder, "embeddings"), F.col("id") % 100 == 0)
+
+
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op5_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return lpf.digests(table(spark, folder, "documents"))
+
+
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return rollup.corpus_totals(table(spark, folder, "documents"), table(spark, folder, "labels"), scratch_path(spark, "rollup"))
+
+
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return simple8b.round_trip(table(spark, folder, "documents"))
 
 
+def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 _QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
+    "op3_nearest": op3_nearest,
+    "op4_quality": op4_quality,
+    "op5_repeats": op5_repeats,
+    "op6_decontamination": op6_decontamination,
+    "op7_token_counts": op7_token_counts,
+    "op8_toxicity": op8_toxicity,
     "op9_token_ids": op9_token_ids,
+    "op10_licenses": op10_licenses,
 }
 
-_SQL: dict[str, str] = {}
+_NEAREST_SQL = """
+    WITH v AS (SELECT DISTINCT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+               WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL)) = 0
+                 AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    d AS (SELECT q.vec_id AS query_id, c.vec_id, min(sqrt(list_sum(list_transform(range(1, len(q.e) + 1),
+                lambda i: (q.e[i] - c.e[i]) * (q.e[i] - c.e[i]))))) AS score
+          FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0 GROUP BY ALL)
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM d QUALIFY rank <= 10
+"""
+
+_SQL: dict[str, str] = {"op3_nearest": _NEAREST_SQL, "op10_licenses": licenses.scan_sql()}
 
 
 def _shipped(query: Query) -> Query:
