@@ -22,8 +22,8 @@ from feedloom.session import materialize
 
 #: Labelled documents of each label that the model is fitted on at most: those with
 #: the smallest hash of their id, without texts above TRAINING_BYTES.
-TRAINING_ROWS = 4_000
-TRAINING_BYTES = 1 << 16
+TRAINING_ROWS = 1_500
+TRAINING_BYTES = 1 << 14
 #: Words that the model knows at most: those that tell the labels apart best.
 LEXICON = 2_000
 PREDICTED_FROM = 0.7
@@ -125,7 +125,7 @@ class Tagger:
     def marginals(self, x: np.ndarray, first: np.ndarray) -> np.ndarray:
         return self._chain().marginals(self.odds(x, first), first) if len(x) else np.empty(0)
 
-    def fit(self, x: np.ndarray, first: np.ndarray, y: np.ndarray, rounds: int = 150, rate: float = 0.15, l2: float = 1e-3) -> None:
+    def fit(self, x: np.ndarray, first: np.ndarray, y: np.ndarray, rounds: int = 80, rate: float = 0.2, l2: float = 1e-3) -> None:
         """Maximum likelihood of the tags y, by Adam on expected minus seen counts."""
         if not len(x):
             return
