@@ -10,7 +10,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +23,11 @@ from feedloom.session import materialize
 #: the smallest hash of their id, without texts above TRAINING_BYTES.
 TRAINING_ROWS = 1_500
 TRAINING_BYTES = 1 << 14
-#: Words that the model knows at most: those that tell the labels apart best.
+#: Words and beginnings of words that the model knows at most: those that tell the
+#: labels apart best.
 LEXICON = 2_000
+#: Lengths of beginnings, in bytes.
+PREFIXES = (4, 5, 6)
 PREDICTED_FROM = 0.7
 TAGGED_FROM = 0.5
 _MARKS = b".,;:!?\"'()[]{}<>*#$%&|~`^_-+=/\\"
@@ -34,8 +36,33 @@ _TOKEN = re.compile(rb"[^\x20\x09-\x0d]+")
 
 
 def tokens_of(text: bytes) -> list[bytes]:
-    """Lower-case tokens between white space, without marks at their ends."""
-    return list(map(bytes.strip, text.lower().split(), repeat(_MARKS)))
+    """Lower-case (A-Z) tokens between white space."""
+    return text.lower().split()
+
+
+def units_of(token: bytes) -> list[bytes]:
+    """What the model may know of a token: the word without marks at its ends, and
+    its beginnings, which are shared by words that were never seen."""
+    word = token.strip(_MARKS)
+    return [word, *(word[:k] + b"*" for k in PREFIXES if len(word) > k)] if word else []
+
+
+class _Numbers(dict):
+    """Token to the number of the first known unit of it, or 0; emptied when full."""
+
+    def __init__(self, units: list[bytes], limit: int = 300_000) -> None:
+        super().__init__()
+        self.known, self.limit = {u: i + 1 for i, u in enumerate(units)}, limit
+
+    def __missing__(self, token: bytes) -> int:
+        number = min((self.known[u] for u in units_of(token) if u in self.known), default=0)
+        if len(self) >= self.limit:
+            self.clear()
+        self[token] = number
+        return number
+
+    def __reduce__(self):
+        return _Numbers, (list(self.known), self.limit)
 
 
 class Chain:
@@ -96,17 +123,17 @@ class Chain:
 
 
 class Tagger:
-    """Words known to the model, their weights, and the chain."""
+    """Units known to the model, the first ones first, their weights, and the chain."""
 
-    def __init__(self, words: list[bytes]) -> None:
-        self.number = {w: i + 1 for i, w in enumerate(words)}  # 0: any other word
-        self.own, self.before, self.behind = (np.zeros(len(words) + 1) for _ in range(3))
+    def __init__(self, units: list[bytes]) -> None:
+        self.number = _Numbers(units)
+        self.own, self.before, self.behind = (np.zeros(len(units) + 1) for _ in range(3))
         self.bias, self.start = -6.0, 0.0
         self.change = np.array([[0.99, 0.01], [0.9, 0.1]])
         self.scale = np.array([-5.0, 1.0, 1.0])  # of the document's score
 
     def numbers(self, tokens: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.number.get, tokens, repeat(0)), np.int64, len(tokens))
+        return np.fromiter(map(self.number.__getitem__, tokens), np.int64, len(tokens))
 
     def _neighbours(self, x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         before = np.append(0, x[:-1])
@@ -189,32 +216,34 @@ class Tagger:
         return 1 / (1 + np.exp(-np.clip(self.scale[0] + evidence @ self.scale[1:], -30, 30)))
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _unit_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = (Counter(), Counter())
     for batch in batches:
         for y, text in zip(batch.column("y").to_pylist(), byte_texts(batch)):
-            counts[y].update(set(tokens_of(text)))
-    words = list(counts[0].keys() | counts[1].keys())
+            counts[y].update({u for token in set(tokens_of(text)) for u in units_of(token)})
+    units = list(counts[0].keys() | counts[1].keys())
     yield pa.RecordBatch.from_arrays(
-        [pa.array(words, pa.binary()), pa.array([counts[0][w] for w in words], pa.int64()),
-         pa.array([counts[1][w] for w in words], pa.int64())], ["word", "plain", "toxic"])
-
-
-def _covering(words: list[bytes], docs: list[tuple[int, np.ndarray]]) -> set[int]:
-    """Numbers (from 1) of the words that explain the toxic documents: again and
-    again the word with the most toxic documents not yet explained, less those plain
-    documents that have it. Words that only go along with others are not taken."""
-    toxic = [set(np.unique(x).tolist()) - {0} for y, x in docs if y]
-    plain = Counter(w for y, x in docs if not y for w in np.unique(x).tolist() if w)
-    chosen: set[int] = set()
+        [pa.array(units, pa.binary()), pa.array([counts[0][u] for u in units], pa.int64()),
+         pa.array([counts[1][u] for u in units], pa.int64())], ["unit", "plain", "toxic"])
+
+
+def _covering(docs: list[tuple[int, set[int]]]) -> list[int]:
+    """Numbers of the units that explain the toxic documents: again and again the
+    one with the most toxic documents not yet explained, less three times what the
+    plain documents' share with it would make. Units that only go along with others
+    are not taken."""
+    toxic = [units for y, units in docs if y]
+    plain = Counter(u for y, units in docs if not y for u in units)
+    weight = 3 * len(toxic) / max(1, len(docs) - len(toxic))
+    chosen: list[int] = []
     least = max(2, len(toxic) // 200)
     while toxic:
-        counts = Counter(w for doc in toxic for w in doc)
-        gain, word = max(((n - 3 * plain[w], -w) for w, n in counts.items()), default=(0, 0))
+        counts = Counter(u for units in toxic for u in units)
+        gain, unit = max(((n - weight * plain[u], -u) for u, n in counts.items()), default=(0, 0))
         if gain < least:
             break
-        chosen.add(-word)
-        toxic = [doc for doc in toxic if -word not in doc]
+        chosen.append(-unit)
+        toxic = [units for units in toxic if -unit not in units]
     return chosen
 
 
@@ -224,12 +253,12 @@ def train(
 ) -> Tagger:
     """A tagger from document labels outside the held-out fold.
 
-    Labels name documents, not tokens. Token tags follow from them: words that
-    explain why the toxic documents of the sample are labelled so are tagged in
+    Labels name documents, not tokens. Token tags follow from them: words or
+    beginnings of words that explain why the toxic documents of the sample are labelled so are tagged in
     those documents. The sample has at most ``rows`` documents of each label,
-    without texts of more than ``most_bytes``; counts of its words are made on the
-    executors, and its word numbers, but no texts, come to the driver. Without both
-    labels the tagger knows no words and scores every document the same, 0.
+    without texts of more than ``most_bytes``; counts of its units are made on the
+    executors, and unit numbers, but no texts, come to the driver. Without both
+    labels the tagger knows nothing and scores every document the same, 0.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
     known = known.where(F.col("y").isin(0, 1) & ~held_out("doc_id", parts, part)).distinct()
@@ -244,23 +273,30 @@ def train(
     tagger.scale = np.array([-30.0, 0.0, 0.0])
     if len(totals) < 2:
         return tagger
-    counts = sample.select("y", "text").mapInArrow(_word_counts, "word binary, plain long, toxic long").groupBy("word").agg(
+    counts = sample.select("y", "text").mapInArrow(_unit_counts, "unit binary, plain long, toxic long").groupBy("unit").agg(
         F.sum("plain").alias("plain"), F.sum("toxic").alias("toxic"))
     rate = (F.col("toxic") + 0.5) / (totals[1] + 1.0)
     gain = F.col("toxic") * F.log(rate / ((F.col("plain") + 0.5) / (totals[0] + 1.0)))
-    top = counts.where((F.col("toxic") >= 2) & (F.octet_length("word") > 0)).select("word", gain.alias("gain")).where("gain > 0")
-    words = [bytes(r.word) for r in top.orderBy(F.desc("gain"), "word").limit(lexicon).collect()]
-    tagger = Tagger(words)
-
-    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = [tagger.numbers(tokens_of(t)).astype(np.int32).tobytes() for t in byte_texts(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(lists, pa.binary())], ["y", "x"])
-
-    rows_ = sample.orderBy(F.xxhash64("doc_id"), "doc_id").select("y", "text").mapInArrow(numbered, "y int, x binary").toLocalIterator()
-    seqs = [(r.y, np.frombuffer(r.x, np.int32).astype(np.int64)) for r in rows_]
-    explaining = np.zeros(len(words) + 1)
-    explaining[sorted(_covering(words, seqs))] = 1.0
+    top = counts.where(F.col("toxic") >= 2).select("unit", gain.alias("gain")).where("gain > 0")
+    units = [bytes(r.unit) for r in top.orderBy(F.desc("gain"), F.octet_length("unit"), "unit").limit(lexicon).collect()]
+
+    def collected(numbers) -> list[tuple[int, np.ndarray]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                lists = [np.asarray(numbers(tokens_of(t)), np.int32).tobytes() for t in byte_texts(batch)]
+                yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(lists, pa.binary())], ["y", "x"])
+
+        ordered = sample.orderBy(F.xxhash64("doc_id"), "doc_id", "y").select("y", "text")
+        return [(r.y, np.frombuffer(r.x, np.int32).astype(np.int64)) for r in ordered.mapInArrow(run, "y int, x binary").toLocalIterator()]
+
+    known_units = {u: i for i, u in enumerate(units)}
+    sets = collected(lambda tokens: sorted({known_units[u] for token in set(tokens) for u in units_of(token) if u in known_units}))
+    first_units = _covering([(y, set(x.tolist())) for y, x in sets])
+    order = first_units + sorted(set(range(len(units))) - set(first_units))
+    tagger = Tagger([units[i] for i in order])
+    seqs = collected(tagger.numbers)
+    explaining = np.zeros(len(units) + 1)
+    explaining[1:len(first_units) + 1] = 1.0
     x = np.concatenate([s for _, s in seqs])
     bounds = np.cumsum([0] + [len(s) for _, s in seqs])
     first = np.zeros(len(x), bool)
