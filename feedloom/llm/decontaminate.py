@@ -24,10 +24,10 @@ from feedloom.llm.common import byte_texts, ids_and_texts
 #: A passage counts if at most this share of the item's words is edited.
 EDITS = 0.2
 RECALL = 0.995
-#: Sampled places of a walk. At EDITS, a sampled place agrees with a probability of
-#: AGREEMENT or more (measured in tests); both give the number of walks for RECALL.
-SAMPLED = 2
-AGREEMENT = 0.3
+#: Sampled places of a walk. At EDITS, all of them agree with a probability of
+#: AGREEMENT or more (measured in tests), which gives the number of walks for RECALL.
+SAMPLED = 1
+AGREEMENT = 0.1
 #: Items are handled in groups of about this many bytes, one pass over the
 #: documents for each group; what a pass sends to the tasks follows this bound.
 GROUP_BYTES = 4 << 20
@@ -40,8 +40,8 @@ def words_of(text: bytes) -> list[bytes]:
     return [w for w in map(bytes.strip, text.lower().split(), repeat(_MARKS)) if w]
 
 
-def walks(recall: float = RECALL, agreement: float = AGREEMENT, sampled: int = SAMPLED) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - agreement**sampled))
+def walks(recall: float = RECALL, agreement: float = AGREEMENT) -> int:
+    return math.ceil(math.log(1 - recall) / math.log(1 - agreement))
 
 
 class Embedding:

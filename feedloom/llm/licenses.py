@@ -27,6 +27,8 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal."),
 )
 THRESHOLD = 0.8
+#: Room for rounding in the size bounds; the dice itself decides.
+_SLACK = 1e-9
 
 
 def normalized_words(text: str) -> list[str]:
@@ -73,7 +75,7 @@ def scan(
     known = [(name, bigrams(normalized_words(text))) for name, text in templates]
     known = [(name, grams) for name, grams in known if grams]
     every = sorted({g for _, grams in known for g in grams})
-    least = min((len(g) for _, g in known), default=0) * threshold / (2 - threshold)
+    least = min((len(g) for _, g in known), default=0) * threshold / (2 - threshold) - _SLACK
     lines = ids_and_texts(docs, id_col, text_col).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     words = _once(lines, _words(F.col("line")), "words").where((F.size("words") > 1) & (F.size("words") - 1 >= least))
     pairs = F.transform(F.sequence(F.lit(1), F.size("words") - 1), lambda i: F.concat_ws(
@@ -83,7 +85,7 @@ def scan(
 
     def dice(template: list[str]) -> Column:
         m, n = len(template), F.size("grams")
-        bounded = (n * (2 - threshold) >= m * threshold) & (n * threshold <= m * (2 - threshold))
+        bounded = (n * (2 - threshold) + _SLACK >= m * threshold) & (n * threshold - _SLACK <= m * (2 - threshold))
         shared = F.size(F.array_intersect("grams", F.array(*map(F.lit, template))))
         return F.when(bounded, F.lit(2.0) * shared / (n + F.lit(m)))
 
