@@ -1,6 +1,6 @@
 """Every operator as a query over the given tables, most with the equal SQL.
 
-Stand-ins: ``documents`` are posts (title = first 80 characters, words or
+Stand-ins: ``documents`` are posts (title = first line, words or
 source/lang as tags), ``pages`` hold post HTML, ``events`` and ``lineitem`` give
 (post, term) pairs and volume, ``embeddings`` are chunk vectors, ``labels`` the
 ids already processed.

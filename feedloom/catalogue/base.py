@@ -2,26 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions.text import words
-from feedloom.session import spread
-
-
-def wide_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of texts, dealt over all cores when it has few splits."""
-    return spread(table(spark, folder, name))
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def first_line(text: str) -> Column:
+    return F.substring_index(text, "\n", 1)
+
+
 def posts(spark: SparkSession, folder: str) -> DataFrame:
     """documents as posts."""
-    return wide_table(spark, folder, "documents").select(
-        F.col("doc_id").alias("id"), F.substring("text", 1, 80).alias("title"),
+    return table(spark, folder, "documents").select(
+        F.col("doc_id").alias("id"), first_line("text").alias("title"),
         F.col("text").alias("content_text"), "source", "lang",
     )
 
@@ -30,7 +28,7 @@ def word_tags(spark: SparkSession, folder: str) -> DataFrame:
     """Each distinct word of a document as a tag of it. The words are made
     distinct inside the row, which keeps (term, post_id) a key without a
     shuffle."""
-    docs = wide_table(spark, folder, "documents")
+    docs = table(spark, folder, "documents")
     return docs.select(
         F.col("doc_id").alias("post_id"), F.explode(F.array_distinct(words("text"))).alias("term")
     )

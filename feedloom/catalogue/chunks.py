@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feedloom.catalogue.base import label_tags, posts, table, wide_table
+from feedloom.catalogue.base import label_tags, posts, table
 from feedloom.functions.chunking import (
     RECURSIVE_SIZE, TOKENS_SIZE, explode_chunks, recursive_chunks, sentence_chunks,
 )
@@ -17,19 +17,19 @@ CONTEXT_K = 5
 
 
 def chunk_fixed(spark, d):
-    return explode_chunks(wide_table(spark, d, "documents"), "text", ["doc_id"], "fixed")
+    return explode_chunks(table(spark, d, "documents"), "text", ["doc_id"], "fixed")
 
 
 def chunk_paragraph(spark, d):
-    return explode_chunks(wide_table(spark, d, "documents"), "text", ["doc_id"], "paragraph", separator="\n")
+    return explode_chunks(table(spark, d, "documents"), "text", ["doc_id"], "paragraph", separator="\n")
 
 
 def chunk_recursive(spark, d):
-    return explode_chunks(wide_table(spark, d, "documents"), "text", ["doc_id"], "recursive")
+    return explode_chunks(table(spark, d, "documents"), "text", ["doc_id"], "recursive")
 
 
 def chunk_sentence(spark, d):
-    return explode_chunks(wide_table(spark, d, "documents"), "text", ["doc_id"], "sentence")
+    return explode_chunks(table(spark, d, "documents"), "text", ["doc_id"], "sentence")
 
 
 def _cover(chunks):
@@ -39,13 +39,13 @@ def _cover(chunks):
 
 def chunk_recursive_cover(spark, d):
     """Without overlap the chunks hold every visible character of the text once."""
-    docs = wide_table(spark, d, "documents").select("doc_id", recursive_chunks("text", overlap=0).alias("c"))
+    docs = table(spark, d, "documents").select("doc_id", recursive_chunks("text", overlap=0).alias("c"))
     too_long = F.size(F.filter("c", lambda c: F.length(c) > RECURSIVE_SIZE)).cast("bigint")
     return docs.select("doc_id", _cover("c").alias("body"), too_long.alias("too_long"))
 
 
 def chunk_sentence_cover(spark, d):
-    docs = wide_table(spark, d, "documents").select("doc_id", sentence_chunks("text", overlap=0).alias("c"))
+    docs = table(spark, d, "documents").select("doc_id", sentence_chunks("text", overlap=0).alias("c"))
     too_long = F.size(F.filter("c", lambda c: word_count(c) > TOKENS_SIZE)).cast("bigint")
     return docs.select("doc_id", _cover("c").alias("body"), too_long.alias("too_long"))
 
@@ -63,8 +63,15 @@ def cosine_topk(spark, d):
     return _centroid_hits(spark, d, TOP_K).withColumn("score", F.round("score", 6))
 
 
+def cosine_topk_all(spark, d):
+    """Every vector as a query against all of them."""
+    items = table(spark, d, "embeddings")
+    hits = vectors.cosine_topk(items, items, 3, "vec_id", "embedding", "vec_id", "embedding")
+    return hits.withColumn("score", F.round("score", 6))
+
+
 def rag_context(spark, d):
-    docs = wide_table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
     hits = vectors.hits_with_metadata(_centroid_hits(spark, d, CONTEXT_K), docs)
     return vectors.retrieval_context(hits, "text")
 
@@ -120,6 +127,7 @@ QUERIES = {
     "chunk_sentence_cover": chunk_sentence_cover,
     "chunk_records": chunk_records,
     "cosine_topk": cosine_topk,
+    "cosine_topk_all": cosine_topk_all,
     "rag_context": rag_context,
     "rag_top_article": rag_top_article,
     "text_search": text_search,
@@ -158,7 +166,7 @@ SQL = {
         FROM s""",
     "chunk_records": r"""
         WITH t AS (
-            SELECT doc_id, substring(text, 1, 80) AS title,
+            SELECT doc_id, string_split(text, chr(10))[1] AS title,
                    list_filter(regexp_split_to_array(replace(text, chr(160), ' '), '\s+'), lambda x: x <> '') AS w FROM documents
         ),
         s AS (
@@ -174,6 +182,12 @@ SQL = {
         FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents)""",
     "chunk_recursive_cover": _COVER,
     "chunk_sentence_cover": _COVER,
+    "cosine_topk_all": """
+        WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+        scored AS (SELECT q.vec_id AS query_id, e.vec_id AS item_id, round(list_cosine_similarity(q.v, e.v), 9) AS score FROM e q, e)
+        SELECT query_id, item_id, round(score, 6) AS score,
+               CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS INTEGER) AS rank
+        FROM scored QUALIFY rank <= 3""",
     "cosine_topk": _hits(TOP_K) + " SELECT query_id, item_id, round(score, 6) AS score, rank FROM hits",
     "rag_context": _hits(CONTEXT_K) + """
         SELECT query_id, string_agg(text, chr(10) ORDER BY rank) AS context
@@ -183,7 +197,7 @@ SQL = {
             SELECT doc_id AS post_id, unnest([source, lang]) AS term FROM documents
             WHERE doc_id IN (SELECT doc_id FROM labels)
         )
-        SELECT query_id, doc_id AS id, substring(text, 1, 80) AS title, text AS content_text,
+        SELECT query_id, doc_id AS id, string_split(text, chr(10))[1] AS title, text AS content_text,
                (SELECT string_agg(term, ', ' ORDER BY term) FROM tags WHERE post_id = doc_id) AS tags
         FROM hits JOIN documents ON doc_id = item_id""",
     "doc_compare": r"""

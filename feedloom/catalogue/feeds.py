@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from feedloom import catalog
-from feedloom.catalogue.base import table, wide_table
+from feedloom.catalogue.base import table
 from feedloom.catalogue.pages import VISIBLE, unescaped
 from feedloom.operators import entries as ent
 from feedloom.plans import feed_etl
@@ -26,7 +26,7 @@ PUBLISHED = "Tue, 17 Sep 2024 10:03:44 -0700"
 
 def _items(spark, d):
     """Pages as feed items; page language and protocol are the categories."""
-    return wide_table(spark, d, "pages").select(
+    return table(spark, d, "pages").select(
         F.col("page_id").cast("string").alias("guid"),
         F.col("url").alias("link"),
         F.concat(F.lit("Page "), "page_id").alias("title"),
@@ -153,8 +153,8 @@ def csv_round_trip(spark, d):
 def jsonl_round_trip(spark, d):
     folder = scratch_path(spark, "jsonl")
     sink.write_json_lines(table(spark, d, "documents"), folder)
-    back = files.read_json_lines(spark, folder, "doc_id bigint, text string, lang string, n_chars bigint")
-    return back.select("doc_id", F.md5("text").alias("body"), "lang", "n_chars")
+    back = files.read_json_lines(spark, folder, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    return back.select("doc_id", F.md5("text").alias("body"), "lang", "source", "n_chars")
 
 
 def parquet_by_language(spark, d):
@@ -221,6 +221,6 @@ SQL = {
         UNION ALL
         SELECT DISTINCT 'links', post_id, index || '|' || href FROM ({_LINKS})""",
     "csv_round_trip": "SELECT doc_id, md5(text) AS body, lang || ',' || source AS labels FROM documents",
-    "jsonl_round_trip": "SELECT doc_id, md5(text) AS body, lang, n_chars FROM documents",
+    "jsonl_round_trip": "SELECT doc_id, md5(text) AS body, lang, source, n_chars FROM documents",
     "parquet_by_language": "SELECT doc_id, lang, source, md5(text) AS body FROM documents",
 }

@@ -82,7 +82,7 @@ def upsert_bucketed(spark, d):
 
 def dedupe_keep_first(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text", "source")
-    return upsert.first_per_key(docs, ["text"], ["doc_id"])
+    return upsert.first_by_value(docs, "text", "doc_id")
 
 
 def dedupe_pages(spark, d):

@@ -155,7 +155,7 @@ tags AS (
 
 SQL = {
     "post_length": r"""
-        SELECT doc_id AS id, substring(text, 1, 80) AS title,
+        SELECT doc_id AS id, string_split(text, chr(10))[1] AS title,
                CAST(len(regexp_split_to_array(text, '\s+')) AS BIGINT) AS word_count
         FROM documents""",
     "post_count": "SELECT count(*) AS n FROM documents",
@@ -188,7 +188,7 @@ SQL = {
             SELECT doc_id AS post_id, unnest([source, lang]) AS term FROM documents
             WHERE doc_id IN (SELECT doc_id FROM labels)
         )
-        SELECT d.doc_id AS id, substring(d.text, 1, 80) AS title, d.text AS content_text, t.tags
+        SELECT d.doc_id AS id, string_split(d.text, chr(10))[1] AS title, d.text AS content_text, t.tags
         FROM documents d LEFT JOIN (
             SELECT post_id, string_agg(term, ', ' ORDER BY term) AS tags FROM tags GROUP BY post_id
         ) t ON d.doc_id = t.post_id""",

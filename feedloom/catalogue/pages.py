@@ -4,29 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feedloom.catalogue.base import wide_table
-from feedloom.functions.html import parts_of_html
+from feedloom.catalogue.base import table
+from feedloom.functions.html import author_bio, parts_of_html
 from feedloom.functions.values import lenient_int
 
 
 def html_text(spark, d):
-    parsed = wide_table(spark, d, "pages").select("page_id", parts_of_html("html", "text").alias("p"))
+    parsed = table(spark, d, "pages").select("page_id", parts_of_html("html", "text").alias("p"))
     return parsed.select("page_id", F.col("p.text").alias("content_text"))
 
 
 def html_links(spark, d):
-    parsed = wide_table(spark, d, "pages").select("page_id", parts_of_html("html", "links").alias("p"))
+    parsed = table(spark, d, "pages").select("page_id", parts_of_html("html", "links").alias("p"))
     return parsed.select("page_id", F.inline("p.links")).na.drop(subset=["href"])
 
 
 def html_paragraphs(spark, d):
-    parsed = wide_table(spark, d, "pages").select("page_id", parts_of_html("html", "paragraphs").alias("p"))
+    parsed = table(spark, d, "pages").select("page_id", parts_of_html("html", "paragraphs").alias("p"))
     return parsed.select("page_id", F.posexplode("p.paragraphs").alias("index", "paragraph"))
 
 
 def html_page_paragraphs(spark, d):
     """All paragraphs of a page joined by a blank line."""
-    parsed = wide_table(spark, d, "pages").select("page_id", parts_of_html("html", "paragraphs").alias("p"))
+    parsed = table(spark, d, "pages").select("page_id", parts_of_html("html", "paragraphs").alias("p"))
     return parsed.select("page_id", F.array_join("p.paragraphs", "\n\n").alias("content"))
 
 
@@ -35,7 +35,7 @@ def html_images(spark, d):
     one with a relative width."""
     page = F.expr("""concat('<div><p>', p_name, '</p><img src="/img/', p_partkey, '.png" width="', p_size,
         '" height="', p_retailprice, '"><img alt="none"><img src="/b/', p_partkey, '" width="100%"></div>')""")
-    parsed = wide_table(spark, d, "part").select("p_partkey", parts_of_html(page, "images").alias("p"))
+    parsed = table(spark, d, "part").select("p_partkey", parts_of_html(page, "images").alias("p"))
     rows = parsed.select("p_partkey", F.inline("p.images")).na.drop(subset=["src"])
     return rows.withColumns({"width": lenient_int("width"), "height": lenient_int("height")})
 
@@ -46,8 +46,9 @@ def html_authors(spark, d):
     page = F.expr("""concat('<p>Intro</p><h3>About the Authors</h3><p><img src="/a/', c_custkey, '.png"><strong>',
         c_name, '</strong> works in <b>', c_mktsegment, '</b> &amp; likes ', c_name, '.</p><p>No name</p><div><p><strong>x</strong>',
         '<img src="y"></p></div><p><strong>No image</strong> here</p><p><img src="/z.png"><strong> Z </strong>end</p>')""")
-    parsed = wide_table(spark, d, "customer").select("c_custkey", parts_of_html(page, "authors").alias("p"))
-    return parsed.select("c_custkey", F.inline("p.authors")).na.drop(subset=["name", "image"])
+    parsed = table(spark, d, "customer").select("c_custkey", parts_of_html(page, "authors").alias("p"))
+    rows = parsed.select("c_custkey", F.inline("p.authors")).na.drop(subset=["name", "image"])
+    return rows.withColumn("bio", author_bio())
 
 
 QUERIES = {

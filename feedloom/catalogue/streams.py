@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from feedloom import catalog
-from feedloom.catalogue.base import table
+from feedloom.catalogue.base import first_line, table
 from feedloom.operators.vectors import HashingEmbedder
 from feedloom.plans.retrieval import vector_table
 from feedloom.schemas import EMBEDDED_POSTS, Table
@@ -55,7 +55,7 @@ def stream_embed(spark, d):
     index = vector_table(spark, scratch_path(spark, "vectors"), buckets=8)
     docs = landing.read_landing(spark, d, "doc_id bigint, text string", pathGlobFilter="documents.parquet")
     posts = docs.select(
-        F.col("doc_id").cast("string").alias("id"), F.lit("/doc").alias("link"), F.substring("text", 1, 80).alias("title"),
+        F.col("doc_id").cast("string").alias("id"), F.lit("/doc").alias("link"), first_line("text").alias("title"),
         F.lit("2024-01-01").cast("timestamp_ntz").alias("published"), F.col("text").alias("content_text"),
     )
     landing.embed_landed_posts(posts, index, embedder, scratch_path(spark, "checkpoint"), ledger, strategy="fixed")

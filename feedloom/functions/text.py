@@ -18,7 +18,7 @@ def word_count(text: Column | str) -> Column:
 
 
 def words(text: Column | str) -> Column:
-    return F.filter(F.split(_col(text), r"\s+"), lambda w: w != "")
+    return F.array_remove(F.split(_col(text), r"\s+"), "")
 
 
 def replace_nbsp(text: Column | str) -> Column:

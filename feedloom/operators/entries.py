@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.dates import parse_feed_date
-from feedloom.functions.html import parts_of_html
+from feedloom.functions.html import author_bio, parts_of_html
 from feedloom.functions.values import explode_tags, first_value, lenient_int
 from feedloom.operators.filters import drop_null, with_lineage
 from feedloom.schemas import AUTHORS, IMAGES, LINKS, POSTS, TAGS
@@ -62,7 +62,8 @@ def links(parsed: DataFrame) -> DataFrame:
 
 
 def authors(parsed: DataFrame) -> DataFrame:
-    return _shape(drop_null(_part_rows(parsed, "authors"), ["name", "image"]), AUTHORS)
+    rows = drop_null(_part_rows(parsed, "authors"), ["name", "image"])
+    return _shape(rows.withColumn("bio", author_bio()), AUTHORS)
 
 
 def flat_posts(entries: DataFrame, job_id: str, ingest_timestamp: dt.datetime) -> DataFrame:

@@ -23,21 +23,13 @@ def post_tags(posts: DataFrame, tags: DataFrame, k: int = TOP_TAGS) -> DataFrame
     """Posts that carry at least one of the k top tags, with those tags as one
     sorted comma list. Case variants count as the same tag.
 
-    The labels of a post are gathered as bits of one number, a bit per top tag:
-    tasks combine them before the only shuffle, which moves one small row per
-    post and task however many tags a post has. Texts are never grouped.
+    Tasks gather each post's set of labels before the only shuffle, which moves
+    one small row per post and task however many tags a post has; a set holds k
+    labels at most. Texts are never grouped.
     """
-    if k > 63:
-        raise ValueError("at most 63 labels")
-    names = top_tags(tags, k).agg(F.sort_array(F.collect_list("term")).alias("names"))
-    places = names.select(F.posexplode("names").alias("place", "term"))
-    carried = (
-        tags.select("post_id", F.lower("term").alias("term")).join(F.broadcast(places), "term")
-        .groupBy("post_id").agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("bits"))
-        .withColumn("names", names.scalar())
-    )
-    labels = F.filter("names", lambda _, i: F.bit_get("bits", i) == 1)
-    return _with_labels(posts, carried.select("post_id", F.array_join(labels, ",").alias("labels")))
+    carried = tags.select("post_id", F.lower("term").alias("term")).join(top_tags(tags, k).select("term"), "term", "left_semi")
+    labels = carried.groupBy("post_id").agg(F.array_join(F.sort_array(F.collect_set("term")), ",").alias("labels"))
+    return _with_labels(posts, labels)
 
 
 def post_tags_by_raw_term(posts: DataFrame, tags: DataFrame, k: int = TOP_TAGS) -> DataFrame:
@@ -49,7 +41,7 @@ def post_tags_by_raw_term(posts: DataFrame, tags: DataFrame, k: int = TOP_TAGS)
     )
     repeated = (
         tags.select("post_id", F.lower("term").alias("term"))
-        .join(F.broadcast(top), "term")
+        .join(top, "term")
         .groupBy("post_id", "term").agg(F.sum("places").cast("int").alias("n"))
         .groupBy("post_id")
         .agg(F.sort_array(F.collect_list(F.struct("term", "n"))).alias("t"))

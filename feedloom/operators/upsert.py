@@ -7,17 +7,13 @@ each task as a single row. Deltas move key columns only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from feedloom.session import materialize, scratch_path
+from feedloom.session import delete_path, materialize, scratch_path
 from feedloom.sources.tables import read_current
 
-# A batch of keys up to this many rows is broadcast against the stored table.
-BROADCAST_ROWS = 1_000_000
-BROADCAST_BYTES_PER_ROW = 256
-
 
 def row_hash(df: DataFrame) -> Column:
     """Content hash that settles order among otherwise equal rows."""
@@ -34,6 +30,13 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str] | None = None
     return pick_per_key(df, keys, [F.col(o).asc() for o in order or []] + [row_hash(df).asc()])
 
 
+def first_by_value(df: DataFrame, value: str, order: str) -> DataFrame:
+    """Keep the row with the least ``order`` (unique) of each long ``value``. Only
+    digests and order values are grouped; the rows themselves are not sorted."""
+    firsts = df.groupBy(F.sha2(F.col(value).cast("binary"), 256)).agg(F.min(order).alias(order)).select(order)
+    return df.join(firsts, order, "left_semi")
+
+
 def last_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return pick_per_key(df, keys, [F.col(o).desc() for o in order] + [row_hash(df).asc()])
 
@@ -64,36 +67,18 @@ def delta_not_in(source: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return rest.filter(~state["has_null"] & (F.col(key).isNotNull() | ~state["any_row"]))
 
 
-def new_rows(
-    stage: DataFrame,
-    batch: DataFrame,
-    keys: list[str],
-    order: list[str] | None = None,
-    small_batch: bool = False,
-) -> DataFrame:
+def new_rows(stage: DataFrame, batch: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """Batch rows to insert: first of each key, absent from ``stage``.
 
-    With ``small_batch`` (the caller has checked the size) the stored table is
-    only scanned: its keys meet the broadcast batch keys, and the few hits are
-    taken away from the batch. Otherwise both sides shuffle on the key once.
+    The stored keys that the batch has are found first, which lets Spark scan the
+    stored table and broadcast a small batch, and only those few are taken away
+    from the batch.
     """
     fresh = first_per_key(split_null_keys(batch, keys)[0], keys, order)
-    stored = stage.select(*keys)
-    if not small_batch:
-        return fresh.join(stored, keys, "left_anti")
-    hits = stored.join(F.broadcast(batch.select(*keys).distinct()), keys, "left_semi")
+    hits = stage.select(*keys).join(batch.select(*keys), keys, "left_semi")
     return fresh.join(hits, keys, "left_anti")
 
 
-def is_small(batch: DataFrame, keys: list[str]) -> bool:
-    """Whether the key columns are proven to fit a broadcast."""
-    width = F.lit(0)
-    for k in keys:
-        width = width + F.coalesce(F.length(F.col(k).cast("string")), F.lit(0))
-    size = batch.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
-    return size.n <= BROADCAST_ROWS and size.b <= BROADCAST_ROWS * BROADCAST_BYTES_PER_ROW
-
-
 def insert_if_absent(
     spark: SparkSession,
     table: str,
@@ -104,21 +89,28 @@ def insert_if_absent(
 ) -> None:
     """Append the batch rows whose key is new; stored rows never change.
 
-    Safe to repeat: a second run of the same batch adds nothing. Rows with a
-    NULL key go to the ``rejects`` table when one is named; without it they
-    raise, as a keyed table would.
+    Safe to repeat: a second run of the same batch adds nothing, neither rows nor
+    rejects. Rows with a NULL key go to the ``rejects`` table when one is named;
+    without it they raise, as a keyed table would. The batch is written once and
+    read from there, whatever stands above it.
     """
     stage = read_current(spark, table)
     columns = stage.columns
-    batch = batch.select(*(f"`{c}`" for c in columns))
-    _, bad = split_null_keys(batch, keys)
-    if rejects:
+    seen = Observation()
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    observed = batch.select(*(F.col(f"`{c}`").cast(stage.schema[c].dataType).alias(c) for c in columns)).observe(seen, F.count_if(null_key).alias("bad"))
+    batch = materialize(observed, "batch")
+    if seen.get["bad"]:
+        if not rejects:
+            raise ValueError(f"{table}: NULL in key {keys}")
+        bad = split_null_keys(batch, keys)[1].withColumn("_row", row_hash(batch))
+        kept = read_current(spark, rejects)
+        known = kept.select(row_hash(kept.select(*columns)).alias("_row"))
         # insertInto leaves the target unchanged for an empty frame.
-        bad.write.insertInto(rejects)
-    elif not bad.isEmpty():
-        raise ValueError(f"{table}: NULL in key {keys}")
-    rows = new_rows(stage, batch, keys, order, small_batch=is_small(batch, keys))
-    rows.select(*(f"`{c}`" for c in columns)).write.insertInto(table)
+        bad.join(known, "_row", "left_anti").dropDuplicates(["_row"]).select(*(f"`{c}`" for c in columns)).write.insertInto(rejects)
+    new_rows(stage, batch, keys, order).select(*(f"`{c}`" for c in columns)).write.insertInto(table)
 
 
 def upsert_latest(current: DataFrame, batch: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
@@ -179,7 +171,13 @@ class BucketedTable:
             path = scratch_path(self.spark, "merged")
             in_touched = F.col("bucket").isin(touched)
             merge(stored.filter(in_touched), batch.filter(in_touched)).write.parquet(path)
-            self._write(self.spark.read.parquet(path), "overwrite")
+            merged = self.spark.read.schema(stored.schema).parquet(path)
+            left = {r.bucket for r in merged.select("bucket").distinct().collect()}
+            self._write(merged, "overwrite")
+            # A bucket that the merge left empty is not overwritten: it goes.
+            for bucket in set(touched) - left:
+                delete_path(self.spark, f"{self.path}/bucket={bucket}")
+            delete_path(self.spark, path)
             batch = batch.filter(~in_touched)
         self._write(settle(batch), "append")
 

@@ -15,16 +15,15 @@ from feedloom.functions.dates import epoch_micros
 from feedloom.functions.text import chunk_id, join_ranked, replace_nbsp
 from feedloom.operators.marts import post_detail
 from feedloom.operators.topk import top_per_group
+from feedloom.session import materialize
 
 DIMENSIONS = 768
-MAX_TOP_K = 15
-
-# Queries up to these bounds are broadcast; more take the tiled join.
-BROADCAST_QUERIES = 2048
-BROADCAST_BYTES = 64 << 20
-TILE_ROWS = 256
-# Hits are ids, scores and ranks: some tens of bytes each.
-BROADCAST_HITS = 500_000
+
+# Queries that one scan of the items takes at most; each tile of them is sent to the
+# tasks once, so what is sent is bounded whatever the number of queries.
+TILE_QUERIES = 2048
+TILE_BYTES = 64 << 20
+PACKED_ROWS = 256
 # Scores are compared at this many decimals, so copies of a vector tie.
 SCORE_DECIMALS = 9
 
@@ -98,15 +97,6 @@ def _hits_schema(queries: DataFrame, corpus: DataFrame, query_id: str, item_id:
     return f"query_id {types[0]}, item_id {types[1]}, score double"
 
 
-def _result(query_ids, item_ids, scores, schema: pa.Schema) -> pa.RecordBatch:
-    parts = (
-        np.concatenate(query_ids) if query_ids else np.array([]),
-        np.concatenate(item_ids) if item_ids else np.array([]),
-        np.concatenate(scores) if scores else np.array([]),
-    )
-    return pa.RecordBatch.from_arrays([pa.array(p, t) for p, t in zip(parts, schema.types)], schema=schema)
-
-
 def _arrow_schema(ddl: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -125,102 +115,86 @@ def cosine_topk(
 ) -> DataFrame:
     """Exact k nearest items per query: (query_id, item_id, score, rank).
 
-    Every task keeps k candidates per query of what it has read and ranks them
-    by (score, id); only those are shuffled, never the pairs.
+    Queries are taken in tiles of bounded size, one scan of the items per tile.
+    Every task keeps k candidates per query of all it has read, ranked by
+    (score, id); only those are shuffled, never the pairs. A tile's candidates
+    are written before the next one starts, so one tile is held at a time.
     """
     ddl = _hits_schema(queries, corpus, query_id, item_id)
     wanted = queries.select(F.col(query_id).alias("q"), F.col(query_vector).alias("v")).na.drop()
     items = corpus.select(F.col(item_id).alias("id"), F.col(item_vector).alias("v")).na.drop()
-    head = wanted.limit(BROADCAST_QUERIES + 1).toArrow()
-    if head.num_rows <= BROADCAST_QUERIES and head.nbytes <= BROADCAST_BYTES:
-        candidates = _topk_broadcast(head, items, k, ddl)
-    else:
-        candidates = _topk_tiled(wanted, items, k, ddl)
+    candidates = items.sparkSession.createDataFrame([], ddl)
+    for ids, vectors in _query_tiles(wanted):
+        found = materialize(_topk_scan(ids, vectors, items, k, ddl), "hits")
+        candidates = candidates.unionByName(top_per_group(found, ["query_id"], "score", "item_id", k).drop("rank"))
     return top_per_group(candidates, ["query_id"], "score", "item_id", k)
 
 
-def _topk_broadcast(head: pa.Table, items: DataFrame, k: int, ddl: str) -> DataFrame:
-    head = head.combine_chunks()
-    if not head.num_rows:
-        return items.sparkSession.createDataFrame([], ddl)
-    ids = np.asarray(head.column(0).to_pylist())
-    vectors = _matrix(head.column(1).chunk(0))
+def _query_tiles(wanted: DataFrame):
+    """(ids, unit vectors) of some queries at a time, read partition by partition."""
+    ids, vectors, size = [], [], 0
+    for row in _pack(wanted).toLocalIterator(prefetchPartitions=True):
+        matrix = np.frombuffer(row.vectors).reshape(len(row.ids), -1)
+        if ids and (len(ids) + len(row.ids) > TILE_QUERIES or size + matrix.nbytes > TILE_BYTES):
+            yield np.asarray(ids), np.concatenate(vectors)
+            ids, vectors, size = [], [], 0
+        ids += row.ids
+        vectors.append(matrix)
+        size += matrix.nbytes
+    if ids:
+        yield np.asarray(ids), np.concatenate(vectors)
+
+
+def _pack(df: DataFrame) -> DataFrame:
+    """Rows (q, v) to rows of up to PACKED_ROWS queries: ids, unit vectors."""
+    ddl = f"ids array<{dict(df.dtypes)['q']}>, vectors binary"
+    schema = _arrow_schema(ddl)
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, PACKED_ROWS):
+                part = batch.slice(at, PACKED_ROWS)
+                cells = [part.column(0).to_pylist()], [_matrix(part.column(1)).tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, schema.types)], schema=schema)
+
+    return df.mapInArrow(run, ddl)
+
+
+def _topk_scan(ids: np.ndarray, vectors: np.ndarray, items: DataFrame, k: int, ddl: str) -> DataFrame:
+    """k candidates per query of one tile from every task."""
     shared = items.sparkSession.sparkContext.broadcast((ids, vectors))
     schema = _arrow_schema(ddl)
 
     def run(batches):
         query_ids, vectors = shared.value
         slab = max(1, (4 << 20) // len(query_ids))
-        kept = [(np.array([]), None)] * len(query_ids)
+        scores = [np.empty(0)] * len(query_ids)
+        names = [None] * len(query_ids)
+        worst = np.full(len(query_ids), -np.inf)
         for batch in batches:
             item_ids = np.asarray(batch.column(0).to_pylist())
             matrix = _matrix(batch.column(1))
             for at in range(0, len(item_ids), slab):
                 part = item_ids[at:at + slab]
                 sims = np.round(vectors @ matrix[at:at + slab].T, SCORE_DECIMALS)
-                for i, row in enumerate(sims):
-                    scores, names = kept[i]
-                    scores = np.concatenate((scores, row)) if names is not None else row
-                    names = np.concatenate((names, part)) if names is not None else part
-                    best = _best(scores, names, k)
-                    kept[i] = (scores[best], names[best])
-        done = [(query_ids[i:i + 1].repeat(len(s)), n, s) for i, (s, n) in enumerate(kept) if n is not None]
+                # A query is touched only where an item reaches its k-th score.
+                for i in np.flatnonzero(sims.max(axis=1) >= worst):
+                    near = np.flatnonzero(sims[i] >= worst[i])
+                    found = np.concatenate((scores[i], sims[i, near]))
+                    who = part[near] if names[i] is None else np.concatenate((names[i], part[near]))
+                    best = _best(found, who, k)
+                    scores[i], names[i] = found[best], who[best]
+                    if len(best) == k:
+                        worst[i] = scores[i][-1]
+        done = [i for i, n in enumerate(names) if n is not None]
         if done:
-            yield _result(*map(list, zip(*done)), schema)
+            cells = (query_ids[done].repeat([len(names[i]) for i in done]), np.concatenate([names[i] for i in done]),
+                     np.concatenate([scores[i] for i in done]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, schema.types)], schema=schema)
 
     return items.mapInArrow(run, ddl)
 
 
-def _pack(df: DataFrame, key: str, names: tuple[str, str]) -> DataFrame:
-    """Rows to tiles of up to TILE_ROWS rows: (tile ids, flat unit vectors)."""
-    id_type = dict(df.dtypes)[key]
-    ddl = f"{names[0]} array<{id_type}>, {names[1]} array<double>"
-    schema = _arrow_schema(ddl)
-
-    def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, TILE_ROWS):
-                part = batch.slice(at, TILE_ROWS)
-                flat = _matrix(part.column(1)).ravel()
-                ids = part.column(0).to_pylist()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([ids], schema.types[0]), pa.array([flat], schema.types[1])], schema=schema,
-                )
-
-    return df.mapInArrow(run, ddl)
-
-
-def _topk_tiled(wanted: DataFrame, items: DataFrame, k: int, ddl: str) -> DataFrame:
-    """Many queries: both sides are packed into tiles; each query tile is sent
-    to every group of item tiles, and each meeting of two tiles is one matrix
-    product that yields k candidates per query."""
-    spark = items.sparkSession
-    groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    left = _pack(wanted, "q", ("q_ids", "q_vec")).select(
-        "q_ids", "q_vec", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g")
-    )
-    right = _pack(items, "id", ("i_ids", "i_vec")).select(
-        "i_ids", "i_vec", F.pmod(F.xxhash64("i_ids"), F.lit(groups)).cast("int").alias("g")
-    )
-    schema = _arrow_schema(ddl)
-
-    def run(batches):
-        for batch in batches:
-            for row in range(batch.num_rows):
-                q_ids, i_ids = (np.asarray(batch.column(c)[row].as_py()) for c in (0, 2))
-                q, v = (
-                    batch.column(c)[row].values.to_numpy(zero_copy_only=False).reshape(len(n), -1)
-                    for c, n in ((1, q_ids), (3, i_ids))
-                )
-                done = []
-                for i, sims in enumerate(np.round(q @ v.T, SCORE_DECIMALS)):
-                    best = _best(sims, i_ids, k)
-                    done.append((q_ids[i:i + 1].repeat(len(best)), i_ids[best], sims[best]))
-                yield _result(*map(list, zip(*done)), schema)
-
-    return left.join(right, "g").select("q_ids", "q_vec", "i_ids", "i_vec").mapInArrow(run, ddl)
-
-
 def centroids(items: DataFrame, group: str, vector: str) -> DataFrame:
     """Mean vector per group, by partial aggregation in the JVM."""
     from pyspark.ml.functions import array_to_vector
@@ -233,17 +207,10 @@ def centroids(items: DataFrame, group: str, vector: str) -> DataFrame:
     )
 
 
-def _small_side(df: DataFrame) -> DataFrame:
-    """Marked for broadcast when a count shows it is small enough. ``df`` should
-    be a written table, where the count costs next to nothing."""
-    few = df.limit(BROADCAST_HITS + 1).count() <= BROADCAST_HITS
-    return F.broadcast(df) if few else df
-
-
 def hits_with_metadata(hits: DataFrame, items: DataFrame, item_id: str = "id") -> DataFrame:
-    """Attach the item columns to written hits. Few hits are broadcast, so that
-    the items, texts and all, are scanned and not shuffled."""
-    return items.withColumnRenamed(item_id, "item_id").join(_small_side(hits), "item_id")
+    """Attach the item columns to written hits; their size is known, so that few hits
+    are broadcast and the items, texts and all, are scanned and not shuffled."""
+    return items.withColumnRenamed(item_id, "item_id").join(hits, "item_id")
 
 
 def retrieval_context(hits: DataFrame, text: str = "chunk_text", sep: str = "\n") -> DataFrame:
@@ -254,7 +221,7 @@ def retrieval_context(hits: DataFrame, text: str = "chunk_text", sep: str = "\n"
 def top_article(hits: DataFrame, posts: DataFrame, tags: DataFrame, post_id: str = "post_id") -> DataFrame:
     """The post behind each query's best hit, with its tags; hits as written."""
     best = hits.filter(F.col("rank") == 1).select("query_id", F.col(post_id).alias("id"))
-    wanted = _small_side(best.select("id"))
+    wanted = best.select("id").distinct()
     some_tags = tags.join(wanted.withColumnRenamed("id", "post_id"), "post_id", "left_semi")
     some_posts = posts.join(wanted, "id", "left_semi")
     return post_detail(some_posts, some_tags).join(best, "id")

@@ -10,7 +10,7 @@ from feedloom.operators.vectors import (
     chunk_records, cosine_topk, hits_with_metadata, retrieval_context, top_article,
 )
 from feedloom.schemas import CHUNK_RECORD, EMBEDDED_POSTS
-from feedloom.session import materialize, spread
+from feedloom.session import materialize
 from feedloom.sinks.tables import insert_select
 from feedloom.sources.tables import read_current
 
@@ -23,7 +23,7 @@ def vector_table(spark: SparkSession, path: str, buckets: int = 256) -> Bucketed
 def write_chunks(posts: DataFrame, vectors: BucketedTable, embedder, **chunking) -> None:
     """Replace all chunks of these posts. ``posts`` is read twice, for its ids
     and for its texts, so it should be a table or a written batch."""
-    records = chunk_records(spread(posts), embedder, **chunking)
+    records = chunk_records(posts, embedder, **chunking)
     vectors.replace(
         records.withColumn("post_id", F.col("metadata.post_id")), posts.select(F.col("id").alias("post_id"))
     )

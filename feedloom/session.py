@@ -73,23 +73,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what this application wrote with ``scratch_path``; for the end of
     a job, when no frame reads from it any more."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
-    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt over all cores when a scan has fewer splits than cores, for
-    work that costs far more than its input (one big JSON array, a single row
-    group). Large inputs have splits enough and pass through untouched, as do
-    frames that are shuffled already."""
-    plan = df._jdf.queryExecution().executedPlan()
-    if plan.nodeName() == "AdaptiveSparkPlan":
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    delete_path(spark, _scratch_root(spark))
 
 
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:

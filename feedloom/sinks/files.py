@@ -38,7 +38,17 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     flat_columns(df).write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
-def query_text(df: DataFrame, limit: int = 1000) -> str:
-    """The first ``limit`` rows as CSV text, for a caller that shows a result."""
-    rows = flat_columns(df).limit(limit).select(F.to_csv(F.struct("*")).alias("line")).collect()
-    return "\n".join([",".join(df.columns), *(r.line for r in rows)])
+def write_query_csv(df: DataFrame, path: str) -> str:
+    """The whole result of a query as CSV files below ``path``; the path back."""
+    write_csv(df, path)
+    return path
+
+
+def preview(df: DataFrame, rows: int) -> str:
+    """Up to ``rows`` rows as CSV text, for a caller that shows a result. Says in a
+    last line when the result has more; the whole is ``write_query_csv``'s."""
+    flat = flat_columns(df)
+    head = flat.limit(rows + 1).select(F.to_csv(F.struct("*"), {"quote": '"', "escape": '"'}).alias("line")).collect()
+    names = ['"' + c.replace('"', '""') + '"' if any(x in c for x in ',"\n\r') else c for c in flat.columns]
+    more = [f"# more than {rows} rows"] if len(head) > rows else []
+    return "\n".join([",".join(names), *(r.line for r in head[:rows]), *more])

@@ -75,10 +75,13 @@ def test_job_artifact_is_replaced_by_a_retry(spark, tmp_path):
     assert got == {("a", 1), ("b", 2)}
 
 
-def test_query_text(spark):
-    df = src.inline_rows(spark, [(1, "a,b"), (2, 'say "x"')], "id int, v string")
-    assert sink.query_text(df) == 'id,v\n1,"a,b"\n2,"say \\"x\\""'
-    assert sink.query_text(df, limit=1).count("\n") == 1
+def test_query_as_csv(spark, tmp_path):
+    df = src.inline_rows(spark, [(1, "a,b"), (2, 'say "x"')], "id int, `v,w` string")
+    assert sink.preview(df, 5) == 'id,"v,w"\n1,"a,b"\n2,"say ""x"""'
+    assert sink.preview(df, 1) == 'id,"v,w"\n1,"a,b"\n# more than 1 rows'
+    many = spark.range(3000).selectExpr("id", "concat('q\"', id) AS v")
+    back = spark.read.option("header", True).option("escape", '"').csv(sink.write_query_csv(many, str(tmp_path / "q")))
+    assert back.count() == 3000 and back.filter("v = concat('q\"', id)").count() == 3000
 
 
 @pytest.fixture

@@ -25,11 +25,10 @@ def test_insert_if_absent_is_idempotent(spark, stage, rows):
         assert rows(spark.table(stage), "id") == [(1, "old"), (2, "a")]
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_new_rows_paths_agree(spark, rows, small):
+def test_new_rows(spark, rows):
     old = kv(spark, *((i, "old") for i in range(0, 100, 3)))
     batch = kv(spark, *((i % 60, f"{i:03d}") for i in range(120)), (None, "n"))
-    got = rows(upsert.new_rows(old, batch, ["id"], ["v"], small_batch=small), "id")
+    got = rows(upsert.new_rows(old, batch, ["id"], ["v"]), "id")
     assert got == [(i, f"{i:03d}") for i in range(60) if i % 3]
 
 
@@ -38,7 +37,8 @@ def test_null_keys(spark, stage, rows):
     with pytest.raises(ValueError):
         upsert.insert_if_absent(spark, stage, batch, ["id"])
     catalog.clone_empty(spark, stage, f"{stage}_rejects")
-    upsert.insert_if_absent(spark, stage, batch, ["id"], rejects=f"{stage}_rejects")
+    for _ in range(2):  # rejects are kept once
+        upsert.insert_if_absent(spark, stage, batch, ["id"], rejects=f"{stage}_rejects")
     assert rows(spark.table(stage)) == [(1, "a")]
     assert rows(spark.table(f"{stage}_rejects")) == [(None, "x")]
 
@@ -91,3 +91,18 @@ def test_bucketed_table(spark, rows, tmp_path):
     table.upsert(spark.createDataFrame([("p2", 1, "x"), ("p2", 1, "y"), ("p77", 0, "z")], shape), ["post", "chunk"], ["v"])
     got = rows(table.read(), "post", "chunk")
     assert ("p2", 1, "y") in got and ("p2", 0, "old") in got and ("p77", 0, "z") in got and len(got) == 30
+
+
+def test_group_replaced_by_nothing_leaves_nothing(spark, rows, tmp_path):
+    shape = "post string, chunk int, v string"
+    table = upsert.BucketedTable(spark, str(tmp_path / "b"), shape, ["post"], buckets=64)
+    table.replace(spark.createDataFrame([("p1", 0, "old"), ("p1", 1, "old"), ("p2", 0, "old")], shape))
+    for _ in range(2):
+        table.replace(spark.createDataFrame([], shape), spark.createDataFrame([("p1",)], "post string"))
+        assert rows(table.read()) == [("p2", 0, "old")]
+
+
+def test_first_by_value(spark, rows):
+    df = spark.createDataFrame([(3, "a"), (1, "a"), (2, None), (4, None), (5, "b")], "id int, text string")
+    kept = upsert.first_by_value(df, "text", "id")
+    assert rows(kept, "id") == [(1, "a"), (2, None), (5, "b")]

@@ -29,8 +29,8 @@ def test_topk_equals_brute_force(spark, monkeypatch, tiled):
     items[5] = 0
     queries = np.vstack([items[:20], rng.normal(size=(10, 8))])
     if tiled:
-        monkeypatch.setattr(vectors, "BROADCAST_QUERIES", 5)
-        monkeypatch.setattr(vectors, "TILE_ROWS", 64)
+        monkeypatch.setattr(vectors, "TILE_QUERIES", 5)
+        monkeypatch.setattr(vectors, "PACKED_ROWS", 3)
     got = vectors.cosine_topk(
         frame(spark, queries, "query_id", "vector"), frame(spark, items, "id", "values").repartition(7), 6
     )
@@ -44,7 +44,7 @@ def test_topk_equals_brute_force(spark, monkeypatch, tiled):
 @pytest.mark.parametrize("tiled", [False, True])
 def test_fewer_items_than_k_and_string_ids(spark, monkeypatch, tiled):
     if tiled:
-        monkeypatch.setattr(vectors, "BROADCAST_QUERIES", 0)
+        monkeypatch.setattr(vectors, "TILE_QUERIES", 1)
     items = spark.createDataFrame([("b", [1.0, 0.0]), ("a", [1.0, 0.0]), ("c", None)], "id string, values array<float>")
     asked = spark.createDataFrame([("q", [2.0, 0.0])], "query_id string, vector array<double>")
     got = vectors.cosine_topk(asked, items, 5).orderBy("rank").collect()
