@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import gc
+import time
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,3 +33,13 @@ def held_out(id_col: str, parts: int, part: int) -> Column:
 def byte_texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """The texts of a batch as UTF-8 bytes, without decoding them."""
     return batch.column(name).cast(pa.binary()).to_pylist()
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that are no longer used. It does so
+    when the driver collects its garbage, which a mostly idle driver may put off for
+    half an hour."""
+    for _ in range(2):  # a frame may hold another one's last reference
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)

@@ -12,21 +12,21 @@ previous factors.
 from __future__ import annotations
 
 import uuid
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import byte_texts, ids_and_texts
-from feedloom.session import materialize, scratch_path
+from feedloom.llm.common import byte_texts, ids_and_texts, release
+from feedloom.session import delete_path, materialize, scratch_path
 
 LENGTH = 50
 ANCHOR = 16
 _REACH = LENGTH - ANCHOR  # bytes beside an anchor that a window with it can cover
+_SPAN = ANCHOR + 2 * _REACH
+_PART = "h long, c long, id long, starts binary"
 _SEGMENT = 1 << 20
 _BLOB = 2 << 20
 #: Surroundings of one anchor that are sorted in memory at most. An anchor with more
@@ -114,28 +114,39 @@ def _blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[dict], byte
             yield some, b"".join(texts), np.cumsum([0] + [len(t) for t in texts])
 
 
+def _per_key(ids: np.ndarray, *keys: np.ndarray) -> tuple[list[np.ndarray], list[pa.Array]]:
+    """Distinct (keys, id) as one row per key: the keys, its smallest id, and only
+    where there are more its largest id and all of them."""
+    order = np.lexsort((ids, *keys[::-1]))
+    ids, keys = ids[order], [k[order] for k in keys]
+    changed = np.ones(len(ids), bool)
+    changed[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    fresh = changed.copy()
+    fresh[1:] |= ids[1:] != ids[:-1]
+    ids, keys, changed = ids[fresh], [k[fresh] for k in keys], changed[fresh]
+    starts = np.flatnonzero(changed)
+    ends = np.append(starts[1:], len(ids))
+    several = (ends - starts) > 1
+    more = [ids[a:b].tobytes() if s else None for a, b, s in zip(starts.tolist(), ends.tolist(), several.tolist())]
+    top = pa.array(ids[ends - 1] if len(ids) else ids, mask=~several)
+    return [k[starts] for k in keys], [pa.array(ids[starts]), top, pa.array(more, pa.binary())]
+
+
+def _owners(bounds: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return np.searchsorted(bounds, place, side="right") - 1
+
+
 def _ids_per_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct (anchor, document) as one row per anchor and blob: its smallest
-    document, and only where there are more its largest and all of them."""
+    """(h, id, top, more): which documents have an anchor."""
     for rows, blob, bounds in _blobs(batches):
         place, h = anchors(blob, bounds)
-        ids = np.array([r["id"] for r in rows], np.int64)[np.searchsorted(bounds, place, side="right") - 1]
-        order = np.lexsort((ids, h))
-        h, ids = h[order], ids[order]
-        fresh = np.append(True, (h[1:] != h[:-1]) | (ids[1:] != ids[:-1]))[:len(h)]
-        h, ids = h[fresh], ids[fresh]
-        starts = np.flatnonzero(np.append(True, h[1:] != h[:-1])[:len(h)])
-        ends = np.append(starts[1:], len(h))
-        several = (ends - starts) > 1
-        more = [ids[a:b].tobytes() if s else None for a, b, s in zip(starts.tolist(), ends.tolist(), several.tolist())]
-        top = pa.array(ids[ends - 1] if len(ids) else ids, mask=~several)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(h[starts].view(np.int64)), pa.array(ids[starts]), top, pa.array(more, pa.binary())],
-            ["h", "id", "top", "more"])
+        ids = np.array([r["id"] for r in rows], np.int64)[_owners(bounds, place)]
+        (h,), columns = _per_key(ids, h.view(np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(h), *columns], ["h", "id", "top", "more"])
 
 
 def _each_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (…, id, more) to one row per document."""
+    """Rows (id, more, …) to one row per document."""
     for batch in batches:
         more = batch.column("more").to_pylist()
         ids = [np.frombuffer(m, np.int64) if m else [i] for i, m in zip(batch.column("id").to_pylist(), more)]
@@ -146,139 +157,205 @@ def _each_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(flat.astype(np.int64))] + [batch.column(n).take(pa.array(rows)) for n in names], ["id", *names])
 
 
-def _around(blob: bytes, bounds: np.ndarray, place: int, row: int) -> tuple[int, int]:
-    return max(int(bounds[row]), place - _REACH), min(int(bounds[row + 1]), place + ANCHOR + _REACH)
+def _mix(h: np.ndarray, words: np.ndarray) -> np.ndarray:
+    h = (h ^ words) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ h >> np.uint64(29)
+
+
+def _codes(words: np.ndarray, place: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """A hash of the bytes low to high around each anchor, and of where it lies in
+    them. Words of eight bytes tile them; words that would stick out move inside."""
+    code = _mix(np.full(len(place), 0x243F6A8885A308D3, np.uint64), ((place - low) * 256 + high - place).astype(np.uint64))
+    for at in (*range(-_REACH, LENGTH - 8, 8), LENGTH - 8):
+        code = _mix(code, words[np.clip(place + at, low, high - 8)])
+    return code ^ code >> np.uint64(32)
+
+
+def _tagged(values: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Numbers of different rows of a blob made different."""
+    return _mix(values.view(np.uint64), (rows.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def _asked(rows: list[dict], name: str) -> np.ndarray:
+    parts = [np.frombuffer(r[name] or b"", np.int64) for r in rows]
+    owners = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    return _tagged(np.concatenate(parts), owners)
 
 
-def _code(text: bytes, left: int) -> int:
-    """Of an anchor's surroundings, with the number of bytes before the anchor."""
-    return xxhash.xxh64_intdigest(text, left) - (1 << 63)
+class _Places:
+    """The anchors of a blob with their surroundings, in arrays."""
 
+    def __init__(self, blob: bytes, bounds: np.ndarray) -> None:
+        self.place, h = anchors(blob, bounds)
+        self.h, self.row = h.view(np.int64), _owners(bounds, self.place)
+        self.bytes, self.bounds = np.frombuffer(blob, np.uint8), bounds
 
-def _wanted(rows: list[dict], blob: bytes, bounds: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
-    """(row, anchor, place, from, to) of the anchors named in the rows' ``keys``."""
-    place, h = anchors(blob, bounds)
-    cut = np.searchsorted(place, bounds)
-    for r, row in enumerate(rows):
-        mine = slice(cut[r], cut[r + 1])
-        keys = h[mine].view(np.int64)
-        named = np.isin(keys, np.frombuffer(row["keys"], np.int64))
-        for p, key in zip(place[mine][named].tolist(), keys[named].tolist()):
-            yield (r, key, p, *_around(blob, bounds, p, r))
+    def only(self, kept: np.ndarray) -> None:
+        self.place, self.h, self.row = self.place[kept], self.h[kept], self.row[kept]
+
+    def measure(self) -> None:
+        self.low = np.maximum(self.bounds[self.row], self.place - _REACH)
+        self.high = np.minimum(self.bounds[self.row + 1], self.place + LENGTH)
+        self.code = _codes(_words8(self.bytes), self.place, self.low, self.high).view(np.int64)
 
 
 def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h, c, id, more): which documents have an anchor with the surroundings c."""
+    """(h, c, id, more): which documents have a shared anchor with the surroundings c."""
     for rows, blob, bounds in _blobs(batches):
-        found: dict[tuple[int, int], set[int]] = defaultdict(set)
-        for r, key, p, a, b in _wanted(rows, blob, bounds):
-            found[key, _code(blob[a:b], p - a)].add(rows[r]["id"])
-        ids = [sorted(s) for s in found.values()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in found], pa.int64()), pa.array([k[1] for k in found], pa.int64()),
-             pa.array([i[0] for i in ids], pa.int64()),
-             pa.array([np.array(i, np.int64).tobytes() if len(i) > 1 else None for i in ids], pa.binary())],
-            ["h", "c", "id", "more"])
+        found = _Places(blob, bounds)
+        found.only(np.isin(_tagged(found.h, found.row), _asked(rows, "keys")))
+        found.measure()
+        ids = np.array([r["id"] for r in rows], np.int64)[found.row]
+        (h, c), (first, _, more) = _per_key(ids, found.h, found.code)
+        yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(c), first, more], ["h", "c", "id", "more"])
 
 
 def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h, c, id, left, around) of the surroundings asked for, once per document."""
+    """(h, c, id, low, high, around) of the surroundings asked for, once per document:
+    ``around`` are LENGTH - ANCHOR bytes before an anchor, the anchor and as many
+    behind it, of which those from ``low`` to ``high`` are of the text."""
     for rows, blob, bounds in _blobs(batches):
-        codes = [set(np.frombuffer(r["codes"], np.int64).tolist()) for r in rows]
-        out: dict[tuple[int, int, int], tuple[int, bytes]] = {}
-        for r, key, p, a, b in _wanted(rows, blob, bounds):
-            code = _code(blob[a:b], p - a)
-            if code in codes[r]:
-                out[key, code, rows[r]["id"]] = p - a, blob[a:b]
-        columns = [[k[i] for k in out] for i in range(3)]
+        found = _Places(blob, bounds)
+        found.only(np.isin(_tagged(found.h, found.row), _asked(rows, "keys")))
+        found.measure()
+        named = _tagged(found.code, found.row)
+        kept = np.flatnonzero(np.isin(named, _asked(rows, "codes")))
+        kept = kept[np.unique(named[kept], return_index=True)[1]]
+        place, low, high = found.place[kept], found.low[kept], found.high[kept]
+        columns = place[:, None] + np.arange(-_REACH, LENGTH)
+        inside = (columns >= low[:, None]) & (columns < high[:, None])
+        around = np.where(inside, found.bytes[np.clip(columns, 0, max(len(blob) - 1, 0))], 0).astype(np.uint8)
+        offsets = np.arange(len(kept) + 1, dtype=np.int32) * _SPAN
+        ids = np.array([r["id"] for r in rows], np.int64)[found.row[kept]]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.int64()) for c in columns]
-            + [pa.array([v[0] for v in out.values()], pa.int32()), pa.array([v[1] for v in out.values()], pa.binary())],
-            ["h", "c", "id", "left", "around"])
+            [pa.array(found.h[kept]), pa.array(found.code[kept]), pa.array(ids),
+             pa.array((low - place + _REACH).astype(np.int32)), pa.array((high - place + _REACH).astype(np.int32)),
+             pa.Array.from_buffers(pa.binary(), len(kept), [None, pa.py_buffer(offsets), pa.py_buffer(around)])],
+            ["h", "c", "id", "low", "high", "around"])
 
 
 def previous_smaller(values: np.ndarray) -> np.ndarray:
     """For each place the nearest place before it with a smaller value, or -1. All
     places jump at once over what is known to be no smaller."""
     at = np.arange(len(values)) - 1
+    open_ = np.arange(len(values))
     while True:
-        open_ = np.flatnonzero((at >= 0) & (values[np.maximum(at, 0)] >= values))
+        open_ = open_[(at[open_] >= 0) & (values[np.maximum(at[open_], 0)] >= values[open_])]
         if not len(open_):
             return at
         at[open_] = at[at[open_]]
 
 
-def _ranks(blob: bytes) -> np.ndarray:
-    """The rank of each place's LENGTH bytes, by prefix doubling from 8 over 16 and
-    32; places too near the end have 0 there."""
-    x = np.frombuffer(blob, np.uint8)
-    rank, size = np.unique(_words8(x), return_inverse=True)[1].astype(np.int64) + 1, 8
-    while size < LENGTH:
-        step = min(size, LENGTH - size)
-        ahead = np.append(rank[step:], np.zeros(step, np.int64))[:len(rank)]
-        rank = np.unique(rank * (len(rank) + 2) + ahead, return_inverse=True)[1].astype(np.int64) + 1
-        size += step
-    return rank
-
-
-def repeated_windows(texts: list[bytes], ids: list[int]) -> list[np.ndarray]:
-    """Per text the starts of the windows that a text with a smaller id has too.
-
-    The suffixes that begin a whole window are put in the order of their LENGTH
-    bytes; the previous and the next one with a smaller id are the only ones that
-    can share the longest prefix with an earlier text."""
-    bounds = np.cumsum([0] + [len(t) for t in texts])
-    rank = _ranks(b"".join(texts))
-    counts = np.maximum(np.diff(bounds) - LENGTH + 1, 0)
-    owner = np.repeat(np.arange(len(texts)), counts)
-    place = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
-    at = bounds[owner] + place
-    order = np.argsort(rank[at], kind="stable")
-    doc, ranks = np.array(ids, np.int64)[owner][order], rank[at][order]
+def _shared_most(sides: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Per row the longest beginning that it shares with another row of its group:
+    that with one of its neighbours in suffix order."""
+    n, width = sides.shape
+    padded = np.zeros((n, -(-width // 8) * 8), np.uint8)
+    padded[:, :width] = sides
+    words = padded.view(">u8").astype(np.uint64)
+    order = np.lexsort((*words.T[::-1], group))
+    same = np.ones((max(n - 1, 0), width + 1), bool)
+    np.equal(sides[order[1:]], sides[order[:-1]], out=same[:, :width])
+    same[:, width] = False
+    common = np.where(group[order[1:]] == group[order[:-1]], same.argmin(axis=1), -1)
+    most = np.full(n, -1)
+    most[order[1:]] = common
+    most[order[:-1]] = np.maximum(most[order[:-1]], common)
+    return most
+
+
+def earlier_windows(around: np.ndarray, low: np.ndarray, high: np.ndarray, ids: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, start): the windows of surroundings that a row with a smaller id has too,
+    ``start`` counted from the anchor.
+
+    Suffixes behind the anchor and reversed prefixes before it are sorted within an
+    anchor; what a row shares with its neighbours bounds how far any common window
+    can reach to either side. The windows within these bounds are put in order of
+    their LENGTH bytes, and in that order the previous and the next one of a smaller
+    id are the only ones that can share the longest prefix with an earlier text.
+    """
+    right = _shared_most(around[:, _REACH + ANCHOR:], group)
+    left = _shared_most(around[:, _REACH - 1::-1] if _REACH else around[:, :0], group)
+    # A window takes ``used`` bytes before the anchor and _REACH - used behind it.
+    least = np.maximum(_REACH - right, _REACH + LENGTH - high)
+    most = np.minimum(left, _REACH - low)
+    count = np.where((right < 0) | (left < 0), 0, np.maximum(most - least + 1, 0))
+    row = np.repeat(np.arange(len(around)), count)
+    used = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + least[row]
+    flat = np.ascontiguousarray(around).reshape(-1)
+    words, at = _words8(flat), row * _SPAN + _REACH - used
+    places = (*range(0, LENGTH - 8, 8), LENGTH - 8)
+    key = np.zeros(len(at), np.uint64)
+    for k in places:
+        key = _mix(key, words[at + k])
+
+    def differs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.logical_or.reduce([words[a + k] != words[b + k] for k in places]) if len(a) else np.zeros(0, bool)
+
+    order = np.argsort(key, kind="stable")
+    tied = np.flatnonzero(key[order[1:]] == key[order[:-1]])
+    if differs(at[order[tied]], at[order[tied + 1]]).any():  # different bytes with one key: the full order
+        order = np.lexsort(tuple(words[at + k] for k in places))
+    doc, ordered = ids[row][order], at[order]
     before = previous_smaller(doc)
     behind = len(doc) - 1 - previous_smaller(doc[::-1])[::-1]  # len(doc): none
-    earlier = (before >= 0) & (ranks[np.maximum(before, 0)] == ranks)
-    earlier |= (behind < len(doc)) & (ranks[np.minimum(behind, len(doc) - 1)] == ranks)
+    some = np.flatnonzero(before >= 0)
+    earlier = np.zeros(len(at), bool)
+    earlier[some] = ~differs(ordered[some], ordered[before[some]])
+    some = np.flatnonzero((behind < len(doc)) & ~earlier)
+    earlier[some] = ~differs(ordered[some], ordered[behind[some]])
     flags = np.zeros(len(at), bool)
     flags[order] = earlier
-    return [place[a:b][flags[a:b]] for a, b in zip((np.cumsum(counts) - counts).tolist(), np.cumsum(counts).tolist())]
+    return row[flags], -used[flags]
 
 
 def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by anchor; whole anchors are taken together up to some number."""
-    def judged(rows: list[tuple]) -> pa.RecordBatch:
-        starts = repeated_windows([r[4] for r in rows], [r[2] for r in rows])
-        kept = [(r, (s - r[3]).astype(np.int32)) for r, s in zip(rows, starts) if len(s)]
+    def judged(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        h, c, ids, low, high, around = (np.concatenate([p[i] for p in parts]) for i in range(6))
+        row, start = earlier_windows(around, low, high, ids, np.cumsum(np.append(0, h[1:] != h[:-1])))
+        first = np.flatnonzero(np.append(True, row[1:] != row[:-1])[:len(row)])
+        kept, cells = row[first], np.split(start.astype(np.int8), first[1:])
         return pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r, _ in kept], pa.int64()) for i in range(3)]
-            + [pa.array([s.tobytes() for _, s in kept], pa.binary())], ["h", "c", "id", "starts"])
+            [pa.array(h[kept]), pa.array(c[kept]), pa.array(ids[kept]),
+             pa.array([s.tobytes() for s in cells] if len(kept) else [], pa.binary())], ["h", "c", "id", "starts"])
 
-    rows: list[tuple] = []
+    parts, size = [], 0
     for batch in batches:
-        for row in zip(*(batch.column(n).to_pylist() for n in ("h", "c", "id", "left", "around"))):
-            if len(rows) >= _CHUNK and row[0] != rows[-1][0]:
-                yield judged(rows)
-                rows = []
-            rows.append(row)
-    if rows:
-        yield judged(rows)
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(n).to_numpy() for n in ("h", "c", "id", "low", "high")]
+        around = np.frombuffer(b"".join(batch.column("around").to_pylist()), np.uint8).reshape(-1, _SPAN)
+        # Cut behind the last whole anchor of the batch once there is enough.
+        h = columns[0]
+        edges = np.flatnonzero(h[1:] != h[:-1]) + 1
+        if parts and parts[-1][0][-1] != h[0]:
+            edges = np.append(0, edges)
+        if size + len(h) >= _CHUNK and len(edges):
+            cut = int(edges[-1])
+            yield judged([*parts, (*(x[:cut] for x in columns), around[:cut])])
+            parts, size = [], 0
+            columns, around = [x[cut:] for x in columns], around[cut:]
+        parts.append((*columns, around))
+        size += len(around)
+    if parts:
+        yield judged(parts)
 
 
 def _crowded(contents: DataFrame) -> DataFrame:
-    """The same result for anchors with very many surroundings: every window is a
-    row, and the smallest id of equal windows is found by an aggregation."""
-    starts = F.sequence(F.lit(0), F.greatest(F.octet_length("around") - LENGTH, F.lit(0)))
-    windows = contents.where(F.octet_length("around") >= LENGTH).select("h", "c", "id", "left", "around", F.explode(starts).alias("s")).select(
-        "h", "c", "id", "left", "s", F.sha2(F.substring("around", F.col("s") + 1, F.lit(LENGTH)), 256).alias("w"))
+    """The same for anchors with very many surroundings: every window is a row, and
+    the smallest id of equal windows is found by an aggregation."""
+    starts = F.sequence(F.col("low"), F.col("high") - LENGTH)
+    windows = contents.select("h", "c", "id", "around", F.explode(starts).alias("s")).select(
+        "h", "c", "id", "s", F.sha2(F.substring("around", F.col("s") + 1, F.lit(LENGTH)), 256).alias("w"))
     least = windows.groupBy("w").agg(F.min("id").alias("least"))
-    repeated = windows.join(least, "w").where("least < id")
-    return repeated.select("h", "c", "id", (F.col("s") - F.col("left")).alias("s")).groupBy("h", "c", "id").agg(
-        F.sort_array(F.collect_set("s")).alias("list"))
+    return windows.join(least, "w").where("least < id").groupBy("h", "c", "id").agg(
+        F.collect_set(F.col("s") - _REACH).alias("list")).mapInArrow(_packed_lists, _PART)
 
 
 def _packed_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        lists = [np.array(x, np.int32).tobytes() for x in batch.column("list").to_pylist()]
+        lists = [np.array(x, np.int8).tobytes() for x in batch.column("list").to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [batch.column("h"), batch.column("c"), batch.column("id"), pa.array(lists, pa.binary())], ["h", "c", "id", "starts"])
 
@@ -306,37 +383,49 @@ _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows with their decisions to spans and kept bytes."""
     for rows, blob, bounds in _blobs(batches):
-        marks = np.zeros(len(blob) + 1, np.int32)  # +1 where a removed window begins, -1 behind it
-        full, part = [], []
-        for row in rows:
-            full.append({(h, c) for h, c in zip(row["full_h"] or [], row["full_c"] or [])})
-            part.append({(h, c): np.frombuffer(s, np.int32) for h, c, s in zip(row["part_h"] or [], row["part_c"] or [], row["part_s"] or [])})
-            row["keys"] = np.array((row["full_h"] or []) + (row["part_h"] or []), np.int64).tobytes()
-        for r, key, p, a, b in _wanted(rows, blob, bounds):
-            if b - a < LENGTH:
-                continue
-            code = key, _code(blob[a:b], p - a)
-            if code in full[r]:
-                marks[a] += 1
-                marks[b] -= 1
-            elif code in part[r]:
-                starts = part[r][code] + p
-                np.add.at(marks, starts, 1)
-                np.add.at(marks, starts + LENGTH, -1)
-        gone = np.cumsum(marks[:-1]) > 0
-        spans, kept = [], []
         raw = np.frombuffer(blob, np.uint8)
+        gone = np.zeros(len(blob), bool)
+        if any(r["whole"] or r["part"] for r in rows):
+            found = _Places(blob, bounds)
+            found.only(np.array([bool(r["whole"] or r["part"]) for r in rows])[found.row])
+            found.measure()
+            named = _tagged(found.code, found.row)
+            whole = np.isin(named, _asked(rows, "whole"))
+            begins, ends = [found.low[whole]], [found.high[whole]]
+            # Windows of surroundings of which only some are repeated.
+            asked, starts = _asked(rows, "part"), [np.frombuffer(s, np.int8) for r in rows for s in r["starts"] or []]
+            if len(asked):
+                order = np.argsort(asked)
+                at = np.minimum(np.searchsorted(asked[order], named), len(asked) - 1)
+                hit = np.flatnonzero(asked[order][at] == named)
+                lists = [starts[k] for k in order[at[hit]].tolist()]
+                first = np.repeat(found.place[hit], [len(s) for s in lists]) + (np.concatenate(lists) if lists else np.empty(0, np.int8))
+                begins.append(first)
+                ends.append(first + LENGTH)
+            marks = np.bincount(np.concatenate(begins), minlength=len(blob) + 1) - np.bincount(np.concatenate(ends), minlength=len(blob) + 1)
+            gone = np.cumsum(marks[:-1]) > 0
+        spans, kept = [], []
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
             mine = gone[a:b]
+            if not mine.any():
+                spans.append([])
+                kept.append(blob[a:b])
+                continue
             edges = np.flatnonzero(np.diff(np.concatenate([[False], mine, [False]]).astype(np.int8))).reshape(-1, 2)
             spans.append([{"start": s, "end": e} for s, e in edges.tolist()])
-            kept.append(raw[a:b][~mine].tobytes() if len(edges) else blob[a:b])
+            kept.append(raw[a:b][~mine].tobytes())
         ids = [None if r["id"] == _LAST else r["id"] for r in rows]
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(np.diff(bounds), pa.int64()), pa.array(spans, _SPANS), pa.array(kept, pa.binary())],
             ["doc_id", "n_bytes", "spans", "kept"])
 
 
+def _packed_decisions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        longs = [pa.array([np.array(x, np.int64).tobytes() for x in batch.column(n).to_pylist()], pa.binary()) for n in ("whole", "part")]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), *longs, batch.column("starts")], ["id", "whole", "part", "starts"])
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> DataFrame:
     """(doc_id, n_bytes, spans, kept) for every row of ``docs``.
 
@@ -380,39 +469,42 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keep = long.where("first = id").groupBy(F.col("id").alias("k_id")).agg(F.collect_set("sha").alias("k_shas")).repartition(buckets, "k_id")
     name = f"first_texts_{uuid.uuid4().hex}"
     rows.repartition(buckets, "id").join(keep, (F.col("id") == F.col("k_id")) & F.array_contains("k_shas", F.col("sha")), "left_semi").select(
-        "id", "text").write.bucketBy(buckets, "id").option("path", scratch_path(spark, "texts")).saveAsTable(name)
+        "id", "text").write.option("compression", "zstd").bucketBy(buckets, "id").option("path", scratch_path(spark, "texts")).saveAsTable(name)
     texts = spark.table(name)
 
-    by_anchor = Window.partitionBy("h")
+    release(spark)
+    by_anchor, by_kind = Window.partitionBy("h"), Window.partitionBy("h", "c")
     keyed = texts.mapInArrow(_ids_per_key, "h long, id long, top long, more binary")
     shared = keyed.withColumn("least", F.min("id").over(by_anchor)).withColumn(
         "most", F.max(F.coalesce("top", "id")).over(by_anchor)).where("least < most").select("h", "id", "more")
-    shared = materialize(shared.mapInArrow(_each_id, "id long, h long"), "anchors")
-
-    asked = texts.join(_keys_by_document(shared, "h"), "id")
-    around = materialize(asked.mapInArrow(_surroundings, "h long, c long, id long, more binary"), "around")
-    firsts_of = around.groupBy("h", "c").agg(F.min("id").alias("first"))
-    firsts_of = materialize(firsts_of.withColumn("least", F.min("first").over(by_anchor)).withColumn(
-        "kinds", F.count(F.lit(1)).over(by_anchor)), "kinds")
-    around = around.mapInArrow(_each_id, "id long, h long, c long")
-    full = around.join(firsts_of.select("h", "c", "first"), ["h", "c"]).where("first < id").select("id", "h", "c")
-
-    several = firsts_of.where("kinds > 1").select(F.col("first").alias("id"), "h", "c", "kinds")
-    contents = texts.join(_keys_by_document(several, "h", "c"), "id").mapInArrow(
-        _contents, "h long, c long, id long, left int, around binary")
-    many = firsts_of.where(F.col("kinds") > group).select("h").distinct()
-    contents = materialize(contents, "contents")
-    few = contents.join(many, "h", "left_anti").repartition("h").sortWithinPartitions("h").mapInArrow(
-        _sorted_groups, "h long, c long, id long, starts binary")
-    crowded = _crowded(contents.join(many, "h", "left_semi")).mapInArrow(_packed_lists, "h long, c long, id long, starts binary")
-    part = few.unionByName(crowded)
-
-    decisions = full.withColumn("starts", F.lit(None).cast("binary")).unionByName(part.select("id", "h", "c", "starts"))
-    whole = F.col("starts").isNull()
-    decided = materialize(decisions.groupBy("id").agg(
-        F.collect_list(F.when(whole, F.col("h"))).alias("full_h"), F.collect_list(F.when(whole, F.col("c"))).alias("full_c"),
-        F.collect_list(F.when(~whole, F.struct("h", "c", "starts"))).alias("part")).select(
-        "id", "full_h", "full_c", F.col("part.h").alias("part_h"), F.col("part.c").alias("part_c"), F.col("part.starts").alias("part_s")), "decided")
+    place = scratch_path(spark, "anchors")
+    shared.mapInArrow(_each_id, "id long, h long").write.parquet(place)
+    shared = spark.read.schema("id long, h long").parquet(place)
+    release(spark)
+
+    # One shuffle by anchor serves its kinds of surroundings and the anchor itself.
+    around = texts.join(_keys_by_document(shared, "h"), "id").mapInArrow(_surroundings, "h long, c long, id long, more binary")
+    kinds = around.repartition("h").withColumn("first", F.min("id").over(by_kind)).withColumn(
+        "kind", F.dense_rank().over(by_anchor.orderBy("c"))).withColumn("kinds", F.max("kind").over(by_anchor)).drop("kind")
+    kinds = materialize(kinds, "kinds")
+    delete_path(spark, place)
+    release(spark)
+    whole = kinds.mapInArrow(_each_id, "id long, h long, c long, first long, kinds int").where("first < id").select("id", "c")
+    several = kinds.where("kinds > 1 AND first = id").select("id", "h", "c", "kinds").distinct()
+
+    def contents(pairs: DataFrame) -> DataFrame:
+        return texts.join(_keys_by_document(pairs, "h", "c"), "id").mapInArrow(
+            _contents, "h long, c long, id long, low int, high int, around binary")
+
+    few = contents(several.where(F.col("kinds") <= group)).repartition("h").sortWithinPartitions("h").mapInArrow(_sorted_groups, _PART)
+    part = few.unionByName(_crowded(contents(several.where(F.col("kinds") > group))))
+    decisions = whole.withColumn("starts", F.lit(None).cast("binary")).unionByName(part.select("id", "c", "starts"))
+    full = F.col("starts").isNull()
+    decided = decisions.groupBy("id").agg(
+        F.collect_list(F.when(full, F.col("c"))).alias("whole"), F.collect_list(F.when(~full, F.struct("c", "starts"))).alias("part")).select(
+        "id", "whole", F.col("part.c").alias("part"), F.col("part.starts").alias("starts"))
+    decided = materialize(decided.mapInArrow(_packed_decisions, "id long, whole binary, part binary, starts array<binary>"), "decided")
+    release(spark)
     result = texts.join(decided, "id", "left").mapInArrow(_removed, _RESULT)
     return result.unionByName(copies).unionByName(short)
 
