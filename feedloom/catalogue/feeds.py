@@ -18,6 +18,7 @@ from feedloom.schemas import FLAT_POSTS
 from feedloom.session import scratch_path
 from feedloom.sinks import files as sink
 from feedloom.sources import feeds, files
+from feedloom.sources.tables import query
 
 NOW = dt.datetime(2024, 9, 21, 18, 21)
 CONTENT = "http://purl.org/rss/1.0/modules/content/"
@@ -157,6 +158,62 @@ def jsonl_round_trip(spark, d):
     return back.select("doc_id", F.md5("text").alias("body"), "lang", "source", "n_chars")
 
 
+def _json_arrays(df, folder):
+    """One JSON array per written file."""
+    lines = df.select(F.to_json(F.struct(*(f"`{c}`" for c in df.columns))).alias("value"))
+
+    def wrap(batches):
+        opening = "["
+        for batch in batches:
+            if len(batch):
+                yield pd.DataFrame({"value": [opening + batch["value"].iloc[0], *("," + batch["value"].iloc[1:])]})
+                opening = ","
+        yield pd.DataFrame({"value": ["]" if opening == "," else "[]"]})
+
+    lines.mapInPandas(wrap, "value string").write.text(folder)
+
+
+def entries_array(spark, d):
+    """Entries landed as a JSON array per file."""
+    folder = scratch_path(spark, "arrays")
+    _json_arrays(_entries(spark, d), folder)
+    flat = feeds.flat_entries(feeds.read_entries(spark, folder), "job-1")
+    return flat.select("id", "title", "link", "published_timestamp", "job_id", F.md5("post_source").alias("body"))
+
+
+def jsonl_inferred(spark, d):
+    """JSON lines with inferred types through a table."""
+    folder, name = scratch_path(spark, "jsonl"), f"inferred_{uuid.uuid4().hex[:12]}"
+    sink.write_json_lines(table(spark, d, "documents"), folder)
+    catalog.create_layer(spark, name, scratch_path(spark, name))
+    return files.load_json_lines(spark, folder, f"{name}.documents").select(
+        "doc_id", F.md5("text").alias("body"), "lang", "source", "n_chars")
+
+
+def csv_inferred(spark, d):
+    """Types of a CSV file found by reading it."""
+    folder = scratch_path(spark, "csv")
+    sink.write_csv(table(spark, d, "part"), folder)
+    return files.read_csv(spark, folder)
+
+
+def sql_to_csv(spark, d):
+    """The whole result of a query as CSV, read back."""
+    docs = table(spark, d, "documents")
+    result = query(spark, "SELECT doc_id, text, n_chars * 2 AS twice FROM {docs} WHERE lang <> :lang", {"lang": "en"}, docs=docs)
+    back = files.read_csv(spark, sink.write_query_csv(result, scratch_path(spark, "query")), "doc_id bigint, text string, twice bigint")
+    return back.select("doc_id", F.md5("text").alias("body"), "twice")
+
+
+def feeds_skip_bad(spark, d):
+    """Feeds of which one file breaks off: its last item is left out."""
+    folder = scratch_path(spark, "feed")
+    _as_feed(_items(spark, d)).write.text(folder)
+    broken = F.lit("<rss><channel><item><guid>broken</guid><title>no end")
+    spark.range(1).select(broken.alias("value")).write.mode("append").text(folder)
+    return feeds.read_feeds(spark, folder, on_error="skip").select("id", "link", F.md5(F.get("content", F.lit(0))["value"]).alias("body"))
+
+
 def parquet_by_language(spark, d):
     folder = scratch_path(spark, "parquet")
     sink.write_parquet(table(spark, d, "documents"), folder, partition_by=["lang"])
@@ -175,6 +232,11 @@ QUERIES = {
     "csv_round_trip": csv_round_trip,
     "jsonl_round_trip": jsonl_round_trip,
     "parquet_by_language": parquet_by_language,
+    "entries_array": entries_array,
+    "jsonl_inferred": jsonl_inferred,
+    "csv_inferred": csv_inferred,
+    "sql_to_csv": sql_to_csv,
+    "feeds_skip_bad": feeds_skip_bad,
 }
 
 _TAGS = """
@@ -222,5 +284,11 @@ SQL = {
         SELECT DISTINCT 'links', post_id, index || '|' || href FROM ({_LINKS})""",
     "csv_round_trip": "SELECT doc_id, md5(text) AS body, lang || ',' || source AS labels FROM documents",
     "jsonl_round_trip": "SELECT doc_id, md5(text) AS body, lang, source, n_chars FROM documents",
+    "jsonl_inferred": "SELECT doc_id, md5(text) AS body, lang, source, n_chars FROM documents",
+    "csv_inferred": "SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
+    "sql_to_csv": "SELECT doc_id, md5(text) AS body, n_chars * 2 AS twice FROM documents WHERE lang <> 'en'",
+    "feeds_skip_bad": "SELECT CAST(page_id AS VARCHAR) AS id, url AS link, md5(html) AS body FROM pages",
     "parquet_by_language": "SELECT doc_id, lang, source, md5(text) AS body FROM documents",
 }
+
+SQL["entries_array"] = SQL["entries_json"]

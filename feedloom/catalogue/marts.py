@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from functools import reduce
 
 from pyspark.sql import functions as F
 
+from feedloom import catalog
 from feedloom.catalogue.base import label_tags, posts, table, word_tags
 from feedloom.functions.dates import day_text, on_day_before
 from feedloom.operators import marts, topk
 from feedloom.operators.filters import lookup, lookup_many
 from feedloom.operators.profile import evaluate, table_profile
+from feedloom.plans import datasets
+from feedloom.session import scratch_path
+from feedloom.sources.files import read_csv
 from feedloom.sources.tables import daily_dates, query
 
 TABLES = (
@@ -109,6 +114,35 @@ def profile_all(spark, d):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def _views(spark, d):
+    """The two mart views over stage tables of posts and tags; (stage, mart) layers."""
+    run = uuid.uuid4().hex[:12]
+    stage, mart = f"stage_{run}", f"ml_{run}"
+    for layer in (stage, mart):
+        catalog.create_layer(spark, layer, scratch_path(spark, layer))
+    posts(spark, d).select("id", "title", "content_text").write.saveAsTable(f"{stage}.posts")
+    word_tags(spark, d).write.saveAsTable(f"{stage}.tags")
+    datasets.refresh_views(spark, stage, mart)
+    return mart
+
+
+def mart_views(spark, d):
+    """Both views as a user reads them."""
+    mart = _views(spark, d)
+    length = spark.table(f"{mart}.post_length").select("title", F.col("word_count").cast("string").alias("value"))
+    tags = spark.table(f"{mart}.post_tags").select(F.col("id").cast("string").alias("title"), F.col("labels").alias("value"))
+    return length.withColumn("view", F.lit("post_length")).unionByName(tags.withColumn("view", F.lit("post_tags")))
+
+
+def training_export(spark, d):
+    """The exported training set of labels, read back from CSV."""
+    folder = scratch_path(spark, "training")
+    datasets.export_training_sets(spark, folder, _views(spark, d))
+    back = read_csv(spark, f"{folder}/post-tags", "content_text string, labels string")
+    labels = F.array_join(F.from_json("labels", "array<string>"), "|")
+    return back.select(F.md5("content_text").alias("body"), labels.alias("labels"))
+
+
 def series_daily(spark, d):
     """One row per day of the whole order period, with that day's orders."""
     orders = table(spark, d, "orders")
@@ -143,6 +177,8 @@ QUERIES = {
     "regression_metrics": regression_metrics,
     "table_profile": profile_all,
     "series_daily": series_daily,
+    "mart_views": mart_views,
+    "training_export": training_export,
     "sql_text": sql_text,
 }
 
@@ -223,3 +259,9 @@ SQL = {
         SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events
         WHERE value >= 10.0 GROUP BY event_type""",
 }
+
+SQL["training_export"] = f"SELECT md5(content_text) AS body, replace(labels, ',', '|') AS labels FROM ({SQL['post_tags_mart']})"
+SQL["mart_views"] = f"""
+    SELECT title, CAST(word_count AS VARCHAR) AS value, 'post_length' AS view FROM ({SQL['post_length']})
+    UNION ALL
+    SELECT CAST(id AS VARCHAR), labels, 'post_tags' FROM ({SQL['post_tags_mart']})"""
