@@ -231,12 +231,14 @@ def _covering(docs: list[tuple[int, set[int]]]) -> list[int]:
     """Numbers of the units that explain the toxic documents: again and again the
     one with the most toxic documents not yet explained, less three times what the
     plain documents' share with it would make. Units that only go along with others
-    are not taken."""
+    are not taken, unless they have half as many documents as is usual for those
+    taken, which a group of copies does not reach."""
     toxic = [units for y, units in docs if y]
     plain = Counter(u for y, units in docs if not y for u in units)
     weight = 3 * len(toxic) / max(1, len(docs) - len(toxic))
+    gains = {u: n - weight * plain[u] for u, n in Counter(u for units in toxic for u in units).items()}
     chosen: list[int] = []
-    least = max(2, len(toxic) // 200)
+    least = max(2, len(toxic) // 500)
     while toxic:
         counts = Counter(u for units in toxic for u in units)
         gain, unit = max(((n - weight * plain[u], -u) for u, n in counts.items()), default=(0, 0))
@@ -244,6 +246,9 @@ def _covering(docs: list[tuple[int, set[int]]]) -> list[int]:
             break
         chosen.append(-unit)
         toxic = [units for units in toxic if -unit not in units]
+    if chosen:
+        usual = sorted(gains[u] for u in chosen)[len(chosen) // 2]
+        chosen += sorted(u for u, gain in gains.items() if u not in set(chosen) and gain >= max(usual / 2, 5))
     return chosen
 
 
