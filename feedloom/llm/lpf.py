@@ -486,7 +486,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     around = texts.join(_keys_by_document(shared, "h"), "id").mapInArrow(_surroundings, "h long, c long, id long, more binary")
     kinds = around.repartition("h").withColumn("first", F.min("id").over(by_kind)).withColumn(
         "kind", F.dense_rank().over(by_anchor.orderBy("c"))).withColumn("kinds", F.max("kind").over(by_anchor)).drop("kind")
-    kinds = materialize(kinds, "kinds")
+    kinds.write.parquet(at := scratch_path(spark, "kinds"))
+    kinds = spark.read.schema(kinds.schema).parquet(at)
     delete_path(spark, place)
     release(spark)
     whole = kinds.mapInArrow(_each_id, "id long, h long, c long, first long, kinds int").where("first < id").select("id", "c")
@@ -504,6 +505,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.collect_list(F.when(full, F.col("c"))).alias("whole"), F.collect_list(F.when(~full, F.struct("c", "starts"))).alias("part")).select(
         "id", "whole", F.col("part.c").alias("part"), F.col("part.starts").alias("starts"))
     decided = materialize(decided.mapInArrow(_packed_decisions, "id long, whole binary, part binary, starts array<binary>"), "decided")
+    delete_path(spark, at)
     release(spark)
     result = texts.join(decided, "id", "left").mapInArrow(_removed, _RESULT)
     return result.unionByName(copies).unionByName(short)

@@ -136,8 +136,9 @@ def near_duplicates(
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without later near-duplicates: of each group the
-    document with the smallest id stays, once if its row is repeated. Rows with a
-    null id stay only where their whole group has none."""
+    document with the smallest id stays. Rows of one id stay or go together; rows
+    with a null id cannot be told apart and stay."""
     groups = near_duplicates(docs, id_col, text_col)
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col(id_col) == F.col("_kept"), "left_semi")
+    kept = F.max(F.col("doc_id") == F.col("component_id"))
+    gone = groups.groupBy("doc_id").agg(kept.alias("kept")).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
+    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")

@@ -77,8 +77,10 @@ def test_near_duplicates_odd_rows(odd):
 
 def test_keep_one(docs):
     text = " ".join(f"w{i}" for i in range(400))
-    kept = simhash.keep_one(docs([(5, text), (3, text), (9, text), (4, "other words here"), (7, None), (6, "")])).collect()
-    assert sorted(r.doc_id for r in kept) == [3, 4, 6]
+    rows = [(5, text), (3, text), (9, text), (4, "other words here"), (7, None), (6, ""), (None, text), (3, text), (9, "its second text")]
+    kept = simhash.keep_one(docs(rows)).collect()
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [3, 3, 4, 6, 9, 9]
+    assert [r.text for r in kept if r.doc_id is None] == [text]
     assert kept[0].asDict().keys() == {"doc_id", "text", "lang", "source", "n_chars"}
     assert simhash.keep_one(docs([])).count() == 0
 
