@@ -52,7 +52,7 @@ def op9_token_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
-    return licenses.scan(table(spark, folder, "documents"))
+    return licenses.statements(table(spark, folder, "documents"))
 
 
 _QUERIES: dict[str, Query] = {

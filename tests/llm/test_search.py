@@ -167,3 +167,54 @@ def test_licenses(docs, odd):
     assert licenses.scan(docs([])).count() == 0 and licenses.scan(odd).count() == 0
     plan = licenses.scan(docs(rows))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def plain_statements(text):
+    """All windows of all sizes, without any pruning."""
+    words, line_of = [], []
+    for i, line in enumerate(text.split("\n")):
+        own = licenses.normalized_words(line)
+        words += own
+        line_of += [i] * len(own)
+    pairs, found = [f"{a} {b}" for a, b in zip(words, words[1:])], []
+    for place, (name, template) in enumerate(licenses.TEMPLATES + licenses.TEXTS):
+        length = len(licenses.normalized_words(template)) - 1
+        grams = set(licenses.bigrams(licenses.normalized_words(template)))
+        for start in range(len(pairs)):
+            seen, best = set(), (0, 0)
+            for end in range(start + 1, min(len(pairs), start + int(length * 1.5)) + 1):
+                seen.add(pairs[end - 1])
+                best = max(best, (2 * len(grams & seen) / (len(grams) + len(seen)), start - end))
+            if best[0] >= licenses.THRESHOLD:
+                found.append((-best[0], -len(grams), place, start, start - best[1], name))
+    taken = []
+    for w in sorted(found):
+        if all(o[3] > w[4] or w[3] > o[4] for o in taken):
+            taken.append(w)
+    lines = {(line, name) for _, line, name, _ in plain_licenses([(0, text)])}
+    return [(line_of[w[3]], w[5], round(-w[0], 9)) for w in taken
+            if not any((line, w[5]) in lines for line in range(line_of[w[3]], line_of[w[4]] + 1))]
+
+
+def test_licenses_over_several_lines_and_inside_lines(docs, odd):
+    rng = random.Random(3)
+    prose = lambda n: " ".join(rng.choice("of the and software in this is to a license under".split()) for _ in range(n))
+    wrap = lambda text, k: "\n".join("# " + " ".join(text.split()[i:i + k]) for i in range(0, len(text.split()), k))
+    mit, gpl = licenses.TEXTS[0][1], licenses.TEXTS[3][1]
+    rows = [(1, "Copyright 2024 A. Body\n\n" + wrap(mit, 9)), (2, wrap(gpl, 8) + "\nint main"), (3, "Released under the\nMIT License."),
+            (4, prose(40) + " Released under the MIT License. " + prose(30) + " Licensed under CC BY 4.0. " + prose(9)),
+            (None, "about it: " + " ".join(gpl.split())), (5, "Released under the MIT License."), (6, prose(200)), (7, "Released under the")]
+    for i, (_, text) in enumerate(licenses.TEMPLATES + licenses.TEXTS):
+        words = text.split()
+        for _ in range(rng.randint(0, len(words) // 9)):
+            words[rng.randrange(len(words))] = rng.choice(["x", "thing"])
+        rows.append((20 + i, prose(8) + "\n" + wrap(" ".join(words), rng.randint(3, 12)) + " " + prose(8)))
+    got = Counter((r.doc_id, r.line_no, r.license, round(r.dice, 9)) for r in licenses.statements(docs(rows)).collect())
+    want = plain_licenses(rows) + Counter((i, *w) for i, t in rows for w in plain_statements(t))
+    assert got == want
+    assert {(1, 2, "MIT", 1.0), (2, 0, "GPL-3.0-or-later", 1.0), (3, 0, "MIT", 1.0), (4, 0, "MIT", 1.0), (4, 0, "CC-BY-4.0", 1.0),
+            (None, 0, "GPL-3.0-or-later", 1.0), (5, 0, "MIT", 1.0)} <= set(got)
+    assert not {6, 7} & {r[0] for r in got} and sum(r[0] == 5 for r in got) == 1
+    assert licenses.statements(docs([])).count() == 0 and licenses.statements(odd).count() == 0
+    plan = licenses.statements(docs(rows))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
