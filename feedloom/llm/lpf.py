@@ -11,6 +11,7 @@ previous factors.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -376,7 +377,7 @@ def _keys_by_document(pairs: DataFrame, *columns: str) -> DataFrame:
     return grouped.mapInArrow(_group_keys, schema)
 
 
-_RESULT = "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
+_RESULT = "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary, changed string"
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
@@ -404,20 +405,23 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ends.append(first + LENGTH)
             marks = np.bincount(np.concatenate(begins), minlength=len(blob) + 1) - np.bincount(np.concatenate(ends), minlength=len(blob) + 1)
             gone = np.cumsum(marks[:-1]) > 0
-        spans, kept = [], []
+        spans, kept, changed = [], [], []
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
             mine = gone[a:b]
             if not mine.any():
                 spans.append([])
                 kept.append(blob[a:b])
+                changed.append(None)
                 continue
+            changed.append(hashlib.sha256(blob[a:b]).hexdigest())
             edges = np.flatnonzero(np.diff(np.concatenate([[False], mine, [False]]).astype(np.int8))).reshape(-1, 2)
             spans.append([{"start": s, "end": e} for s, e in edges.tolist()])
             kept.append(raw[a:b][~mine].tobytes())
         ids = [None if r["id"] == _LAST else r["id"] for r in rows]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(np.diff(bounds), pa.int64()), pa.array(spans, _SPANS), pa.array(kept, pa.binary())],
-            ["doc_id", "n_bytes", "spans", "kept"])
+            [pa.array(ids, pa.int64()), pa.array(np.diff(bounds), pa.int64()), pa.array(spans, _SPANS), pa.array(kept, pa.binary()),
+             pa.array(changed, pa.string())],
+            ["doc_id", "n_bytes", "spans", "kept", "changed"])
 
 
 def _packed_decisions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -427,7 +431,8 @@ def _packed_decisions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> DataFrame:
-    """(doc_id, n_bytes, spans, kept) for every row of ``docs``.
+    """(doc_id, n_bytes, spans, kept, changed) for every row of ``docs``; ``changed`` is
+    the SHA-256 of a text that has spans.
 
     ``spans`` are the maximal runs of bytes that lie in a string of ``LENGTH`` bytes
     which also begins in a document with a smaller id; ``kept`` are the other bytes.
@@ -458,11 +463,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     long = narrow.where(F.col("short").isNull()).select("id", "sha", "n").join(firsts, "sha")
     short = narrow.where(F.col("short").isNotNull()).select(
         F.when(F.col("id") != _LAST, F.col("id")).alias("doc_id"), F.col("n").cast("long").alias("n_bytes"),
-        F.expr("cast(array() as array<struct<start: bigint, end: bigint>>)").alias("spans"), F.col("short").cast("binary").alias("kept"))
+        F.expr("cast(array() as array<struct<start: bigint, end: bigint>>)").alias("spans"), F.col("short").cast("binary").alias("kept"),
+        F.lit(None).cast("string").alias("changed"))
     copies = long.where("first < id").select(
         F.when(F.col("id") != _LAST, F.col("id")).alias("doc_id"), F.col("n").cast("long").alias("n_bytes"),
         F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n").cast("long").alias("end"))).alias("spans"),
-        F.lit("").cast("binary").alias("kept"))
+        F.lit("").cast("binary").alias("kept"), F.col("sha").alias("changed"))
 
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The join is on the id alone, so that both sides are dealt as the table is.
@@ -523,18 +529,20 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """``docs`` with repeated passages taken out of its texts and ``length_col`` set to
     the new number of characters. Bytes of a character that was cut through go too;
-    a document of which nothing is left goes. Expects ids to be unique, as one row
-    per document after deduplication; rows with a null id stay as they are."""
+    a document of which nothing is left goes. Of rows with the same id each gets the
+    remainder of its own text; rows with a null id stay as they are."""
     found = remove_repeats(docs.where(F.col(id_col).isNotNull()), id_col, text_col)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t.decode("utf-8", "ignore") for t in batch.column("kept").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["_id", "_text"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("changed"), pa.array(texts, pa.string())], ["_id", "_sha", "_text"])
 
-    changed = found.where(F.size("spans") > 0).select("doc_id", "kept").mapInArrow(decode, "_id long, _text string")
-    changed = materialize(changed.groupBy("_id").agg(F.max("_text").alias("_text")), "changed")
-    out = docs.join(changed, F.col(id_col) == F.col("_id"), "left").where(F.col("_text").isNull() | (F.col("_text") != ""))
+    changed = found.where(F.size("spans") > 0).select("doc_id", "changed", "kept").mapInArrow(decode, "_id long, _sha string, _text string")
+    changed = materialize(changed.groupBy("_id", "_sha").agg(F.max("_text").alias("_text")), "changed")
+    sha = F.sha2(F.col(text_col).cast("string").cast("binary"), 256)
+    out = docs.join(changed, (F.col(id_col) == F.col("_id")) & (sha == F.col("_sha")), "left").where(F.col("_text").isNull() | (F.col("_text") != ""))
     now = F.coalesce("_text", F.col(text_col))
     columns = []
     for c in docs.columns:

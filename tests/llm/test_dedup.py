@@ -167,3 +167,11 @@ def test_cut_repeats_keeps_columns_and_characters(docs):
     assert out[1].text == passage and out[4].text == "short" and out[None].text == passage
     assert out[2].text == "begin  end" and out[2].n_chars == 10
     assert 3 not in out
+
+
+def test_cut_repeats_gives_rows_of_one_id_their_own_texts(docs):
+    passage, other = "".join(f"p{i} " for i in range(60)), "".join(f"other{i} " for i in range(30))
+    rows = [(1, passage), (9, "begin " + passage + "end"), (9, other), (9, "short"), (8, passage), (8, "own " + other[:40]), (7, "x" + passage), (7, passage + "y")]
+    out = Counter((r.doc_id, r.text, r.n_chars) for r in lpf.without_repeats(docs(rows)).collect())
+    want = [(1, passage), (9, "begin end"), (9, other), (9, "short"), (8, "own " + other[:40]), (7, "x"), (7, "y")]
+    assert out == Counter((i, t, len(t)) for i, t in want)
