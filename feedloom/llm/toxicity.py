@@ -7,6 +7,7 @@ each token's probability, the spans, and the document's score.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -336,7 +337,8 @@ _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64(
 
 
 def tag(docs: DataFrame, tagger: Tagger, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score, spans) for every row; spans are (start, end, p) in characters."""
+    """(doc_id, score, spans, unnamed) for every row; spans are (start, end, p) in
+    characters, ``unnamed`` is the SHA-256 of the text of a row without an id."""
     def tagged(doc_ids: list, texts: list[bytes]) -> pa.RecordBatch:
         parts = [tagger.numbers(tokens_of(t)) for t in texts]
         bounds = np.cumsum([0] + [len(p) for p in parts])
@@ -347,8 +349,9 @@ def tag(docs: DataFrame, tagger: Tagger, id_col: str = "doc_id", text_col: str =
         scores = tagger.scores(Tagger.evidence(p, bounds))
         spans = [_spans(t, p[a:b]) for t, a, b in zip(texts, bounds[:-1].tolist(), bounds[1:].tolist())]
         return pa.RecordBatch.from_arrays(
-            [pa.array(doc_ids, pa.int64()), pa.array(scores, pa.float64()), pa.array(spans, pa.list_(_SPAN))],
-            ["doc_id", "score", "spans"])
+            [pa.array(doc_ids, pa.int64()), pa.array(scores, pa.float64()), pa.array(spans, pa.list_(_SPAN)),
+             pa.array([hashlib.sha256(t).hexdigest() if i is None else None for i, t in zip(doc_ids, texts)], pa.string())],
+            ["doc_id", "score", "spans", "unnamed"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -364,7 +367,7 @@ def tag(docs: DataFrame, tagger: Tagger, id_col: str = "doc_id", text_col: str =
                 yield tagged(doc_ids, texts)
 
     return ids_and_texts(docs, id_col, text_col).mapInArrow(
-        run, "doc_id long, score double, spans array<struct<start: long, end: long, p: double>>")
+        run, "doc_id long, score double, spans array<struct<start: long, end: long, p: double>>, unnamed string")
 
 
 def toxicity_scores(
@@ -387,8 +390,11 @@ def toxicity_scores(
 
 def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose document is not predicted toxic. Rows with a null
-    id cannot be told apart and stay; of documents with the same id, one toxic text
+    id are judged by their text; of documents with the same id, one toxic text
     removes all."""
-    scores = toxicity_scores(docs, labels, id_col=id_col, text_col=text_col)
-    toxic = scores.where("predicted = 1").select(F.col("doc_id").alias("_toxic")).distinct()
-    return docs.join(toxic, F.col(id_col) == F.col("_toxic"), "left_anti")
+    scores = tag(docs, train(docs, labels, id_col=id_col, text_col=text_col), id_col, text_col)
+    toxic = scores.where(F.col("score") >= PREDICTED_FROM).select(
+        F.coalesce(F.col("doc_id").cast("string"), "unnamed").alias("_toxic")).distinct()
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
+    key = F.coalesce(F.col(id_col).cast("long").cast("string"), F.sha2(text, 256))  # a digest has 64 signs, an id 20 at most
+    return docs.join(toxic, key == F.col("_toxic"), "left_anti")

@@ -122,3 +122,14 @@ def test_gradient_finds_the_likelihood():
 def test_statistics_of_nothing():
     assert len(quality.statistics(b"")) == len(quality.FEATURES) == len(quality.statistics(b"a"))
     assert np.isfinite(quality.statistics(b"")).all()
+
+
+def test_toxic_rows_without_an_id_go(tables):
+    docs, labels = tables
+    found = toxicity.toxicity_scores(docs, labels).where("doc_id IS NOT NULL")
+    toxic, plain = (docs.join(found.where(f"predicted = {y}").select("doc_id"), "doc_id", "left_semi").select(docs.columns).limit(3).collect() for y in (1, 0))
+    unnamed = docs.sparkSession.createDataFrame([(None, *r[1:]) for r in [*toxic, *plain, plain[0]]], docs.schema)
+    left = toxicity.without_toxic(docs.unionByName(unnamed), labels).collect()
+    texts = sorted(r.text for r in left if r.doc_id is None)
+    assert toxic and texts == sorted([*(r.text for r in plain), plain[0].text])
+    assert {r.doc_id for r in left} - {None} == {r.doc_id for r in found.where("predicted = 0").collect()}
