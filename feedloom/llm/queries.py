@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from feedloom.llm import ann, decontaminate, licenses, lpf, packing, quality, rollup, simhash, simple8b, toxicity
+from feedloom.llm import (
+    ann, covertree, decontaminate, divergence, licenses, lpf, packing, pivots, quality, rollup, simhash, simple8b, toxicity,
+)
 from feedloom.llm.common import table
 from feedloom.session import scratch_path, ship_package
 
@@ -55,6 +57,18 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.statements(table(spark, folder, "documents"))
 
 
+def op11_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+def op12_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return pivots.compress(table(spark, folder, "embeddings"))
+
+
+def op13_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return covertree.near_duplicates(table(spark, folder, "embeddings"))
+
+
 _QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
@@ -66,6 +80,9 @@ _QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_token_ids": op9_token_ids,
     "op10_licenses": op10_licenses,
+    "op11_divergence": op11_divergence,
+    "op12_codes": op12_codes,
+    "op13_vectors": op13_vectors,
 }
 
 _NEAREST_SQL = """
@@ -79,7 +96,28 @@ _NEAREST_SQL = """
     FROM d QUALIFY rank <= 10
 """
 
-_SQL: dict[str, str] = {"op3_nearest": _NEAREST_SQL, "op10_licenses": licenses.scan_sql()}
+_LINKED_SQL = """
+    WITH RECURSIVE v AS MATERIALIZED (
+        SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e,
+               embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+               AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS good FROM embeddings),
+    link AS MATERIALIZED (
+        SELECT a.r AS a, b.r AS b FROM v a JOIN v b ON a.good AND b.good AND a.r <> b.r AND len(a.e) = len(b.e)
+        WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.95),
+    reached AS (SELECT r AS a, r AS b FROM v UNION SELECT reached.a, link.b FROM reached JOIN link ON reached.b = link.a),
+    least AS (SELECT reached.a, min(vec_id) AS component_id FROM reached JOIN v ON reached.b = v.r GROUP BY reached.a),
+    number AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+    FROM v JOIN least ON v.r = least.a LEFT JOIN number ON v.r = number.a
+"""
+
+_SQL: dict[str, str] = {
+    "op3_nearest": _NEAREST_SQL,
+    "op10_licenses": licenses.scan_sql(),
+    "op11_divergence": divergence.AUDIT_SQL,
+    "op12_codes": pivots.codes_sql(),
+    "op13_vectors": _LINKED_SQL,
+}
 
 
 def _shipped(query: Query) -> Query:
