@@ -30,9 +30,8 @@ ROOT_ROWS, PARTNERS = 1024, 64
 #: Nodes with so few points are not divided.
 LEAF_POINTS = 32
 _BLOCK = 1024
-#: Distances from products of unit vectors are this exact; pairs as near as
-#: ``_CLOSE`` to the threshold are computed again from the vectors as given.
-_SLACK, _CLOSE = 1e-6, 1e-9
+#: Distances from products of unit vectors are this exact.
+_SLACK = 1e-6
 
 
 def _distance(products: np.ndarray) -> np.ndarray:
@@ -129,15 +128,31 @@ class _Side:
         self.copies = np.frombuffer(row[side + "copies"], np.int64)
         self.data = np.frombuffer(row[side + "data"]).reshape(len(self.ids), -1)
         self.unit = unit(self.data)
+        self.single = self.unit.astype(np.float32)
         self.start, self.end, centre, self.first, self.last = np.frombuffer(row[side + "nodes"], np.int64).reshape(5, -1)
-        self.radius = np.frombuffer(row[side + "radii"])
-        self.centre = self.unit[centre]
+        self.radius, self.centre = np.frombuffer(row[side + "radii"]), centre
         self.weight = np.append(0, np.cumsum(self.copies))
         self.linked = np.zeros(len(self.ids) + 1, np.int64)  # as differences from point to point
 
-    def opened(self, node: int) -> np.ndarray:
-        """The children of a node, or the node itself where it has none."""
-        return np.arange(self.first[node], self.last[node]) if self.last[node] else np.array([node])
+    def opened(self, node: int, reach: float) -> tuple[np.ndarray, np.ndarray]:
+        """(points, nodes) below a node; point p alone is the node -1 - p. Leaves too wide
+        to be decided as a whole come as their points, so that many are compared at a time."""
+        if node < 0 or not self.last[node]:
+            return np.arange(*self.span(node)), np.zeros(0, np.int64)
+        children = np.arange(self.first[node], self.last[node])
+        size = self.end[children] - self.start[children]
+        loose = (self.last[children] == 0) & ((self.radius[children] > reach / 2) | (size == 1))
+        start, size = self.start[children[loose]], size[loose]
+        points = np.repeat(start - np.append(0, np.cumsum(size))[:-1], size) + np.arange(size.sum())
+        return points, children[~loose]
+
+    def span(self, node: int) -> tuple[int, int]:
+        return (-1 - node, -node) if node < 0 else (int(self.start[node]), int(self.end[node]))
+
+    def balls(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Centres and radii of nodes."""
+        node = np.maximum(nodes, 0)
+        return self.unit[np.where(nodes < 0, -1 - nodes, self.centre[node])], np.where(nodes < 0, 0.0, self.radius[node])
 
     def add(self, points: np.ndarray, number: np.ndarray | int) -> None:
         np.add.at(self.linked, points, number)
@@ -181,47 +196,45 @@ class Traversal:
             pending += self._open(*pending.pop())
 
     def _open(self, i: int, j: int) -> list[tuple[int, int]]:
-        a, b = self.a, self.b
-        if not a.last[i] and not b.last[j]:
-            self._points(np.arange(a.start[i], a.end[i]), np.arange(b.start[j], b.end[j]), self.same and i == j)
-            return []
-        rows, columns = a.opened(i), b.opened(j)
-        one_a, one_b = a.end[rows] - a.start[rows] == 1, b.end[columns] - b.start[columns] == 1
-        self._points(a.start[rows[one_a]], b.start[columns[one_b]], self.same and i == j)
-        found = self._nodes(rows[~one_a], columns, i == j)
-        if not (self.same and i == j):  # within one node the other half is the same
-            found += self._nodes(rows[one_a], columns[~one_b], False)
+        own = self.same and i == j
+        points, rows = self.a.opened(i, self.reach)
+        others, columns = self.b.opened(j, self.reach)
+        self._points(points, others, own)
+        found = self._nodes(rows, np.append(columns, -1 - others), own)
+        if not own:  # within one node this half is the same
+            found += self._nodes(-1 - points, columns, False)
         return found
 
     def _nodes(self, rows: np.ndarray, columns: np.ndarray, own: bool) -> list[tuple[int, int]]:
         """Pairs of nodes that bounds decide neither way; the others are dealt with."""
-        a, b, found = self.a, self.b, []
+        found = []
         for first in range(0, len(rows), _BLOCK):
+            r = rows[first:first + _BLOCK]
+            centre, radius = self.a.balls(r)
             for start in range(0, len(columns), _BLOCK):
-                r, c = rows[first:first + _BLOCK], columns[start:start + _BLOCK]
-                products = a.centre[r] @ b.centre[c].T
-                widest = a.radius[r].max() + b.radius[c].max() + self.reach + _SLACK
+                c = columns[start:start + _BLOCK]
+                other, radii = self.b.balls(c)
+                products = centre @ other.T
+                widest = radius.max() + radii.max() + self.reach + _SLACK
                 x, y = np.nonzero(products >= 1.0 - widest * widest / 2.0)
-                if self.same and own:
-                    single = b.end[c[y]] - b.start[c[y]] == 1
-                    above = (c[y] >= r[x]) | single
-                    x, y = x[above], y[above]
-                distance = _distance(products[x, y])
-                radii = a.radius[r[x]] + b.radius[c[y]]
-                close = distance - radii <= self.reach + _SLACK
-                whole = close & (distance + radii <= self.reach - _SLACK)
+                if own:  # each pair once; points of the same node are never among the rows
+                    once = (c[y] < 0) | (c[y] >= r[x])
+                    x, y = x[once], y[once]
+                distance, both = _distance(products[x, y]), radius[x] + radii[y]
+                close = distance - both <= self.reach + _SLACK
+                whole = close & (distance + both <= self.reach - _SLACK)
                 for k in np.flatnonzero(whole):
                     self._whole(int(r[x[k]]), int(c[y[k]]))
-                open_ = close & ~whole
-                found += list(zip(r[x[open_]].tolist(), c[y[open_]].tolist()))
+                undecided = close & ~whole
+                found += list(zip(r[x[undecided]].tolist(), c[y[undecided]].tolist()))
         return found
 
     def _whole(self, i: int, j: int) -> None:
         """All points of one node are linked with all of another."""
         a, b = self.a, self.b
-        points, others = np.arange(a.start[i], a.end[i]), np.arange(b.start[j], b.end[j])
+        points, others = np.arange(*a.span(i)), np.arange(*b.span(j))
         if self.same and i == j:
-            a.add(points, a.weight[a.end[i]] - a.weight[a.start[i]] - a.copies[points])
+            a.add(points, a.weight[points[-1] + 1] - a.weight[points[0]] - a.copies[points])
         else:
             for side, mine, other, theirs in ((a, points, b, others), (b, others, a, points)):
                 weight = other.weight[theirs[-1] + 1] - other.weight[theirs[0]]
@@ -231,17 +244,20 @@ class Traversal:
         self.sets.join(others + self.shift, np.full(len(others), points[0]))
 
     def _points(self, points: np.ndarray, others: np.ndarray, own: bool) -> None:
+        """Links between points by blocks of products in single precision; what these
+        cannot decide is computed from the vectors as given."""
         a, b = self.a, self.b
+        error = (a.data.shape[1] + 8) * 2.0 ** -22
         for first in range(0, len(points), _BLOCK):
             for start in range(0, len(others), _BLOCK):
                 p, q = points[first:first + _BLOCK], others[start:start + _BLOCK]
                 if own and first > start:
                     continue
-                products = a.unit[p] @ b.unit[q].T
-                near = products >= self.cosine - _CLOSE
+                products = a.single[p] @ b.single[q].T
+                near = products >= self.cosine - error
                 if not near.any():
                     continue
-                x, y = np.nonzero(near & (products <= self.cosine + _CLOSE))
+                x, y = np.nonzero(near & (products <= self.cosine + error))
                 near[x, y] = self._exact(a.data[p[x]], b.data[q[y]]) >= self.cosine
                 if own:  # each pair once
                     near &= p[:, None] < q[None, :]
