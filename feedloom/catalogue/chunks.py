@@ -9,7 +9,7 @@ from feedloom.functions.chunking import (
     RECURSIVE_SIZE, TOKENS_SIZE, explode_chunks, recursive_chunks, sentence_chunks,
 )
 from feedloom.functions.text import word_count
-from feedloom.operators import vectors
+from feedloom.operators import cosine, vectors
 from feedloom.session import materialize
 
 TOP_K = 10
@@ -53,7 +53,7 @@ def chunk_sentence_cover(spark, d):
 def _centroid_hits(spark, d, k):
     """One query per label: the mean of its vectors, against all vectors."""
     items = table(spark, d, "embeddings")
-    hits = vectors.cosine_topk(
+    hits = cosine.cosine_topk(
         vectors.centroids(items, "label", "embedding"), items, k, "label", "vector", "vec_id", "embedding"
     )
     return materialize(hits, "hits")
@@ -66,7 +66,7 @@ def cosine_topk(spark, d):
 def cosine_topk_all(spark, d):
     """Every vector as a query against all of them."""
     items = table(spark, d, "embeddings")
-    hits = vectors.cosine_topk(items, items, 3, "vec_id", "embedding", "vec_id", "embedding")
+    hits = cosine.cosine_topk(items, items, 3, "vec_id", "embedding", "vec_id", "embedding")
     return hits.withColumn("score", F.round("score", 6))
 
 
@@ -105,7 +105,7 @@ def text_search(spark, d):
     )
     index = materialize(embedder.transform(chunks, "chunk_text", "values").select("id", "values"), "index")
     asked = embedder.transform(table(spark, d, "benchmark"), "text", "vector")
-    return vectors.cosine_topk(asked, index, 3, "item_id")
+    return cosine.cosine_topk(asked, index, 3, "item_id")
 
 
 def doc_compare(spark, d):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from feedloom import catalog
 from feedloom.catalogue.base import table
 from feedloom.operators import upsert
+from feedloom.operators.versioned import VersionedFolder
 from feedloom.schemas import Table
 from feedloom.session import scratch_path
 
@@ -68,15 +69,26 @@ def upsert_last_wins(spark, d):
 
 
 def upsert_bucketed(spark, d):
-    """The same through a bucketed folder, in two commits."""
+    """The same through a folder of files, in two loads; each comes twice."""
     events, fixed = _corrections(spark, d)
-    folder = upsert.BucketedTable(
-        spark, scratch_path(spark, "bucketed"),
-        "event_id bigint, user_id bigint, event_type string, ts timestamp_ntz, value double",
-        ["user_id"], buckets=8,
+    folder = VersionedFolder(
+        spark, scratch_path(spark, "events"),
+        "event_id bigint, user_id bigint, event_type string, ts timestamp_ntz, value double", ["user_id"],
     )
-    for batch in (events, fixed):
-        folder.upsert(batch, ["user_id", "event_type"], ["ts", "event_id"])
+    for number, batch in enumerate((events, fixed)):
+        for _ in range(2):
+            folder.upsert(batch, ["user_id", "event_type"], ["ts", "event_id"], load=("corrections", number))
+    return folder.read()
+
+
+def replace_shrinking_posts(spark, d):
+    """Conversations as posts, turns as their chunks; then those with an even number of
+    turns come again with their user turns only, some with none."""
+    turns = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    folder = VersionedFolder(spark, scratch_path(spark, "posts"), "conv_id bigint, turn bigint, role string, text string", ["conv_id"])
+    folder.replace(turns)
+    again = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 0").select("conv_id")
+    folder.replace(turns.where("role = 'user'").join(again, "conv_id", "left_semi"), again)
     return folder.read()
 
 
@@ -98,6 +110,7 @@ QUERIES = {
     "insert_if_absent_table": insert_if_absent_table,
     "upsert_last_wins": upsert_last_wins,
     "upsert_bucketed": upsert_bucketed,
+    "replace_shrinking_posts": replace_shrinking_posts,
     "dedupe_keep_first": dedupe_keep_first,
     "dedupe_pages": dedupe_pages,
 }
@@ -140,6 +153,9 @@ SQL = {
     "insert_if_absent_table": _ABSENT,
     "upsert_last_wins": _LATEST,
     "upsert_bucketed": _LATEST,
+    "replace_shrinking_posts": """
+        SELECT conv_id, turn, role, text FROM conversations
+        QUALIFY role = 'user' OR count(*) OVER (PARTITION BY conv_id) % 2 = 1""",
     "dedupe_keep_first": """
         SELECT doc_id, text, source FROM documents
         QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1""",

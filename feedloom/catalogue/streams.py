@@ -52,7 +52,7 @@ def stream_embed(spark, d):
     layer = _new_layer(spark)
     ledger = catalog.create_table(spark, EMBEDDED_POSTS, f"{layer}.{EMBEDDED_POSTS.name}")
     embedder = HashingEmbedder.fit(table(spark, d, "documents"), "text")
-    index = vector_table(spark, scratch_path(spark, "vectors"), buckets=8)
+    index = vector_table(spark, scratch_path(spark, "vectors"))
     docs = landing.read_landing(spark, d, "doc_id bigint, text string", pathGlobFilter="documents.parquet")
     posts = docs.select(
         F.col("doc_id").cast("string").alias("id"), F.lit("/doc").alias("link"), first_line("text").alias("title"),

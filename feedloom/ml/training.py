@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
     CountVectorizer, NGram, OneHotEncoder, RegexTokenizer, SQLTransformer, StringIndexer, VectorAssembler,
 )
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.operators.profile import evaluate
-from feedloom.session import materialize
+from feedloom.session import materialize, scratch_path
 
 # Defaults of a training run.
 MAX_FEATURES = 5000
@@ -75,6 +75,14 @@ def predict(model: PipelineModel, texts: DataFrame, keep: list[str]) -> DataFram
     return done.select(*keep, F.col("length_pred").cast("float").alias("length_pred"))
 
 
+def without_summary(model: LogisticRegressionModel) -> LogisticRegressionModel:
+    """The model alone, as it was saved. The summary of a fresh fit refers to the session;
+    tasks would carry it along, which fails once the session holds more than tasks can take."""
+    path = scratch_path(SparkSession.active(), "classifier")
+    model.write().save(path)
+    return LogisticRegressionModel.load(path)
+
+
 def fit_classifier(
     data: DataFrame, key: str, label: str, numeric: list[str], categorical: list[str], seed: int = SPLIT_SEED
 ) -> tuple[PipelineModel, DataFrame]:
@@ -101,8 +109,7 @@ def fit_classifier(
     measure = MulticlassClassificationEvaluator(metricName="logLoss", labelCol=label)
     best, best_loss = None, float("inf")
     for reg in (0.0, 0.01, 0.1):
-        fitted = LogisticRegression(labelCol=label, regParam=reg).fit(ready)
-        candidate = PipelineModel(prepared.stages + [fitted])
+        candidate = PipelineModel(prepared.stages + [without_summary(LogisticRegression(labelCol=label, regParam=reg).fit(ready))])
         loss = measure.evaluate(candidate.transform(valid))
         if best is None or loss < best_loss:
             best, best_loss = candidate, loss

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.session import materialize
+
 
 def table_profile(df: DataFrame) -> DataFrame:
     """(column, type, non_null, rows) for every column, in one pass."""
@@ -23,10 +25,10 @@ def table_profile(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*lines)))
 
 
-def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """The same frame plus a row count that is filled by whatever action runs."""
-    seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+def counted(df: DataFrame, step: str) -> tuple[DataFrame, DataFrame]:
+    """(the rows, written once; one row ``step``, ``rows``), counted in what was written."""
+    written = materialize(df, step)
+    return written, written.agg(F.lit(step).alias("step"), F.count(F.lit(1)).alias("rows"))
 
 
 # Denominator floor of the percentage error.

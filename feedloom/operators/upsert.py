@@ -7,11 +7,10 @@ each task as a single row. Deltas move key columns only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from feedloom.session import delete_path, materialize, scratch_path
+from feedloom.session import materialize
 from feedloom.sources.tables import read_current
 
 
@@ -96,16 +95,11 @@ def insert_if_absent(
     """
     stage = read_current(spark, table)
     columns = stage.columns
-    seen = Observation()
-    null_key = F.lit(False)
-    for k in keys:
-        null_key = null_key | F.col(k).isNull()
-    observed = batch.select(*(F.col(f"`{c}`").cast(stage.schema[c].dataType).alias(c) for c in columns)).observe(seen, F.count_if(null_key).alias("bad"))
-    batch = materialize(observed, "batch")
-    if seen.get["bad"]:
+    batch = materialize(batch.select(*(F.col(f"`{c}`").cast(stage.schema[c].dataType).alias(c) for c in columns)), "batch")
+    bad = split_null_keys(batch, keys)[1].withColumn("_row", row_hash(batch))
+    if not bad.isEmpty():  # reads the key columns of what was written
         if not rejects:
             raise ValueError(f"{table}: NULL in key {keys}")
-        bad = split_null_keys(batch, keys)[1].withColumn("_row", row_hash(batch))
         kept = read_current(spark, rejects)
         known = kept.select(row_hash(kept.select(*columns)).alias("_row"))
         # insertInto leaves the target unchanged for an empty frame.
@@ -124,88 +118,3 @@ def replace_groups(current: DataFrame, batch: DataFrame, group: list[str]) -> Da
     """All rows of a group give way when the batch holds that group, so a group
     that shrinks leaves nothing stale behind."""
     return delta(current, batch.select(*group).distinct(), group).unionByName(batch)
-
-
-class BucketedTable:
-    """Parquet folder split by key hash, for loads that mostly add.
-
-    A load first looks, by key columns only, for buckets that already hold keys
-    of the batch. Those few are merged and rewritten; everything else is
-    appended. Merged rows pass through the shared folder, because a folder
-    cannot be overwritten while it is being read. A run that dies half way can
-    be repeated: what it wrote is then found and replaced. The rebalance hint
-    splits a hot bucket over many files.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, schema: str, group: list[str], buckets: int = 256):
-        self.spark, self.path, self.schema = spark, path, schema
-        self.group, self.buckets = group, buckets
-
-    def _bucketed(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("bucket", F.pmod(F.xxhash64(*self.group), F.lit(self.buckets)).cast("int"))
-
-    def _stored(self) -> DataFrame:
-        schema = StructType.fromDDL(f"{self.schema}, bucket int")
-        if not _exists(self.spark, self.path):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.path)
-
-    def read(self) -> DataFrame:
-        return self._stored().drop("bucket")
-
-    def _write(self, rows: DataFrame, mode: str) -> None:
-        (
-            rows.hint("rebalance", "bucket").write.mode(mode)
-            .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.path)
-        )
-
-    def _commit(self, batch: DataFrame, keys: DataFrame, merge, settle, written: bool = True) -> None:
-        """``batch`` rows by bucket; ``keys`` their key columns with the bucket.
-        A batch not ``written`` yet is, once it is needed more than once."""
-        stored = self._stored()
-        on = keys.columns
-        hit = stored.select(*on).join(keys.distinct(), on, "left_semi").select("bucket").distinct()
-        touched = [r.bucket for r in hit.collect()]  # at most one number per bucket
-        if touched:
-            batch = batch if written else materialize(batch, "incoming")
-            path = scratch_path(self.spark, "merged")
-            in_touched = F.col("bucket").isin(touched)
-            merge(stored.filter(in_touched), batch.filter(in_touched)).write.parquet(path)
-            merged = self.spark.read.schema(stored.schema).parquet(path)
-            left = {r.bucket for r in merged.select("bucket").distinct().collect()}
-            self._write(merged, "overwrite")
-            # A bucket that the merge left empty is not overwritten: it goes.
-            for bucket in set(touched) - left:
-                delete_path(self.spark, f"{self.path}/bucket={bucket}")
-            delete_path(self.spark, path)
-            batch = batch.filter(~in_touched)
-        self._write(settle(batch), "append")
-
-    def upsert(self, batch: DataFrame, keys: list[str], order: list[str] | None = None) -> None:
-        """Last write wins per key; ``keys`` include the group columns."""
-        staged = materialize(self._bucketed(batch), "incoming")
-        self._commit(
-            staged, staged.select(*keys, "bucket"),
-            lambda old, new: upsert_latest(old, new, keys, order),
-            lambda new: last_per_key(new, keys, order or []),
-        )
-
-    def replace(self, batch: DataFrame, groups: DataFrame | None = None) -> None:
-        """All rows of the batch's groups give way to the batch. ``groups`` lists
-        those groups when that is cheaper than computing the batch; a batch that
-        meets no stored group is then computed and written once."""
-        written = groups is None
-        if written:
-            groups = batch = materialize(batch, "incoming")
-        wanted = self._bucketed(groups.select(*self.group).distinct())
-        self._commit(
-            self._bucketed(batch), wanted,
-            lambda old, new: old.join(wanted.select(*self.group), self.group, "left_anti").unionByName(new),
-            lambda new: new, written,
-        )
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(hadoop_path)

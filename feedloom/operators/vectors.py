@@ -1,9 +1,7 @@
-"""Chunk vectors, exact cosine top-k and retrieval context."""
+"""Chunk vectors, retrieval context and comparison of texts."""
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
@@ -14,19 +12,9 @@ from feedloom.functions.chunking import explode_chunks
 from feedloom.functions.dates import epoch_micros
 from feedloom.functions.text import chunk_id, join_ranked, replace_nbsp
 from feedloom.operators.marts import post_detail
-from feedloom.operators.topk import top_per_group
-from feedloom.session import materialize
 
 DIMENSIONS = 768
 
-# Queries that one scan of the items takes at most; each tile of them is sent to the
-# tasks once, so what is sent is bounded whatever the number of queries.
-TILE_QUERIES = 2048
-TILE_BYTES = 64 << 20
-PACKED_ROWS = 256
-# Scores are compared at this many decimals, so copies of a vector tie.
-SCORE_DECIMALS = 9
-
 
 class HashingEmbedder:
     """Deterministic text vectors: hashed words, IDF weights, unit length.
@@ -74,127 +62,6 @@ def chunk_records(posts: DataFrame, embedder, **chunking) -> DataFrame:
     )
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    """List column to unit-length rows; a zero vector stays zero."""
-    flat = np.asarray(column.flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
-    rows = flat.reshape(len(column), -1)
-    norms = np.linalg.norm(rows, axis=1, keepdims=True)
-    return np.divide(rows, norms, out=np.zeros_like(rows), where=norms > 0)
-
-
-def _best(scores: np.ndarray, ids: np.ndarray, k: int):
-    """Positions of the k best scores, ties by id."""
-    if len(scores) > k:
-        floor = np.partition(scores, -k)[-k]
-        keep = np.flatnonzero(scores >= floor)
-    else:
-        keep = np.arange(len(scores))
-    return keep[np.lexsort((ids[keep], -scores[keep]))[:k]]
-
-
-def _hits_schema(queries: DataFrame, corpus: DataFrame, query_id: str, item_id: str) -> str:
-    types = dict(queries.dtypes)[query_id], dict(corpus.dtypes)[item_id]
-    return f"query_id {types[0]}, item_id {types[1]}, score double"
-
-
-def _arrow_schema(ddl: str) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    return to_arrow_schema(StructType.fromDDL(ddl))
-
-
-def cosine_topk(
-    queries: DataFrame,
-    corpus: DataFrame,
-    k: int,
-    query_id: str = "query_id",
-    query_vector: str = "vector",
-    item_id: str = "id",
-    item_vector: str = "values",
-) -> DataFrame:
-    """Exact k nearest items per query: (query_id, item_id, score, rank).
-
-    Queries are taken in tiles of bounded size, one scan of the items per tile.
-    Every task keeps k candidates per query of all it has read, ranked by
-    (score, id); only those are shuffled, never the pairs. A tile's candidates
-    are written before the next one starts, so one tile is held at a time.
-    """
-    ddl = _hits_schema(queries, corpus, query_id, item_id)
-    wanted = queries.select(F.col(query_id).alias("q"), F.col(query_vector).alias("v")).na.drop()
-    items = corpus.select(F.col(item_id).alias("id"), F.col(item_vector).alias("v")).na.drop()
-    candidates = items.sparkSession.createDataFrame([], ddl)
-    for ids, vectors in _query_tiles(wanted):
-        found = materialize(_topk_scan(ids, vectors, items, k, ddl), "hits")
-        candidates = candidates.unionByName(top_per_group(found, ["query_id"], "score", "item_id", k).drop("rank"))
-    return top_per_group(candidates, ["query_id"], "score", "item_id", k)
-
-
-def _query_tiles(wanted: DataFrame):
-    """(ids, unit vectors) of some queries at a time, read partition by partition."""
-    ids, vectors, size = [], [], 0
-    for row in _pack(wanted).toLocalIterator(prefetchPartitions=True):
-        matrix = np.frombuffer(row.vectors).reshape(len(row.ids), -1)
-        if ids and (len(ids) + len(row.ids) > TILE_QUERIES or size + matrix.nbytes > TILE_BYTES):
-            yield np.asarray(ids), np.concatenate(vectors)
-            ids, vectors, size = [], [], 0
-        ids += row.ids
-        vectors.append(matrix)
-        size += matrix.nbytes
-    if ids:
-        yield np.asarray(ids), np.concatenate(vectors)
-
-
-def _pack(df: DataFrame) -> DataFrame:
-    """Rows (q, v) to rows of up to PACKED_ROWS queries: ids, unit vectors."""
-    ddl = f"ids array<{dict(df.dtypes)['q']}>, vectors binary"
-    schema = _arrow_schema(ddl)
-
-    def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, PACKED_ROWS):
-                part = batch.slice(at, PACKED_ROWS)
-                cells = [part.column(0).to_pylist()], [_matrix(part.column(1)).tobytes()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, schema.types)], schema=schema)
-
-    return df.mapInArrow(run, ddl)
-
-
-def _topk_scan(ids: np.ndarray, vectors: np.ndarray, items: DataFrame, k: int, ddl: str) -> DataFrame:
-    """k candidates per query of one tile from every task."""
-    shared = items.sparkSession.sparkContext.broadcast((ids, vectors))
-    schema = _arrow_schema(ddl)
-
-    def run(batches):
-        query_ids, vectors = shared.value
-        slab = max(1, (4 << 20) // len(query_ids))
-        scores = [np.empty(0)] * len(query_ids)
-        names = [None] * len(query_ids)
-        worst = np.full(len(query_ids), -np.inf)
-        for batch in batches:
-            item_ids = np.asarray(batch.column(0).to_pylist())
-            matrix = _matrix(batch.column(1))
-            for at in range(0, len(item_ids), slab):
-                part = item_ids[at:at + slab]
-                sims = np.round(vectors @ matrix[at:at + slab].T, SCORE_DECIMALS)
-                # A query is touched only where an item reaches its k-th score.
-                for i in np.flatnonzero(sims.max(axis=1) >= worst):
-                    near = np.flatnonzero(sims[i] >= worst[i])
-                    found = np.concatenate((scores[i], sims[i, near]))
-                    who = part[near] if names[i] is None else np.concatenate((names[i], part[near]))
-                    best = _best(found, who, k)
-                    scores[i], names[i] = found[best], who[best]
-                    if len(best) == k:
-                        worst[i] = scores[i][-1]
-        done = [i for i, n in enumerate(names) if n is not None]
-        if done:
-            cells = (query_ids[done].repeat([len(names[i]) for i in done]), np.concatenate([names[i] for i in done]),
-                     np.concatenate([scores[i] for i in done]))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, schema.types)], schema=schema)
-
-    return items.mapInArrow(run, ddl)
-
-
 def centroids(items: DataFrame, group: str, vector: str) -> DataFrame:
     """Mean vector per group, by partial aggregation in the JVM."""
     from pyspark.ml.functions import array_to_vector

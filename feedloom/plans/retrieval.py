@@ -5,32 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.operators.upsert import BucketedTable, delta
-from feedloom.operators.vectors import (
-    chunk_records, cosine_topk, hits_with_metadata, retrieval_context, top_article,
-)
+from feedloom.operators.cosine import cosine_topk
+from feedloom.operators.upsert import delta
+from feedloom.operators.vectors import chunk_records, hits_with_metadata, retrieval_context, top_article
+from feedloom.operators.versioned import VersionedFolder
 from feedloom.schemas import CHUNK_RECORD, EMBEDDED_POSTS
 from feedloom.session import materialize
 from feedloom.sinks.tables import insert_select
 from feedloom.sources.tables import read_current
 
 
-def vector_table(spark: SparkSession, path: str, buckets: int = 256) -> BucketedTable:
-    """Chunk records in a folder bucketed by post."""
-    return BucketedTable(spark, path, f"{CHUNK_RECORD}, post_id string", ["post_id"], buckets)
+def vector_table(spark: SparkSession, path: str) -> VersionedFolder:
+    """Chunk records in a folder where a post's chunks lie together."""
+    return VersionedFolder(spark, path, f"{CHUNK_RECORD}, post_id string", ["post_id"])
 
 
-def write_chunks(posts: DataFrame, vectors: BucketedTable, embedder, **chunking) -> None:
+def write_chunks(posts: DataFrame, vectors: VersionedFolder, embedder, load: tuple[str, int] | None = None, **chunking) -> bool:
     """Replace all chunks of these posts. ``posts`` is read twice, for its ids
-    and for its texts, so it should be a table or a written batch."""
+    and for its texts, so it should be a table or a written batch. False, and
+    nothing is embedded, if the ``load`` is known."""
     records = chunk_records(posts, embedder, **chunking)
-    vectors.replace(
-        records.withColumn("post_id", F.col("metadata.post_id")), posts.select(F.col("id").alias("post_id"))
+    return vectors.replace(
+        records.withColumn("post_id", F.col("metadata.post_id")), posts.select(F.col("id").alias("post_id")), load
     )
 
 
 def embed_new_posts(
-    spark: SparkSession, posts: DataFrame, vectors: BucketedTable, embedder,
+    spark: SparkSession, posts: DataFrame, vectors: VersionedFolder, embedder,
     ledger: str = EMBEDDED_POSTS.full_name, **chunking,
 ) -> None:
     """Chunk and embed the posts that the ledger does not list, then list them.

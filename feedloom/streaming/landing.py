@@ -11,7 +11,8 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.operators.upsert import BucketedTable, first_per_key, insert_if_absent
+from feedloom.operators.upsert import first_per_key, insert_if_absent
+from feedloom.operators.versioned import VersionedFolder
 from feedloom.plans.feed_etl import stage_entries
 from feedloom.plans.retrieval import write_chunks
 from feedloom.schemas import EMBEDDED_POSTS, FEED_ENTRY, STAGE_TABLES
@@ -59,14 +60,17 @@ def stage_landed_entries(spark: SparkSession, path: str, checkpoint: str, once:
     return _run(stream, checkpoint, each, once, [f"{stage_layer}.{t.name}" for t in STAGE_TABLES])
 
 
-def embed_landed_posts(stream: DataFrame, vectors: BucketedTable, embedder, checkpoint: str,
+def embed_landed_posts(stream: DataFrame, vectors: VersionedFolder, embedder, checkpoint: str,
                        ledger: str = EMBEDDED_POSTS.full_name, once: bool = True, **chunking):
-    """Posts of every micro-batch to chunk vectors. The checkpoint knows what is
-    done; the ledger is kept for audit."""
+    """Posts of every micro-batch to chunk vectors, and their ids to the ledger.
 
-    def each(batch: DataFrame, _: int) -> None:
+    A batch's number is recorded with its vectors, under the name of the checkpoint:
+    a batch that is replayed after a failure embeds and writes nothing again, and only
+    the ledger is completed."""
+
+    def each(batch: DataFrame, number: int) -> None:
         posts = materialize(first_per_key(batch, ["id"]), "posts")
-        write_chunks(posts, vectors, embedder, **chunking)
+        write_chunks(posts, vectors, embedder, (checkpoint, number), **chunking)
         done = posts.select("id").distinct()
         insert_select(done.join(read_current(batch.sparkSession, ledger).select("id"), "id", "left_anti"), ledger)
 

@@ -103,7 +103,7 @@ def ledger(spark):
 
 def test_embed_and_answer(spark, posts, ledger, tmp_path, rows):
     embedder = HashingEmbedder.fit(posts, "content_text")
-    index = retrieval.vector_table(spark, str(tmp_path / "v"), buckets=4)
+    index = retrieval.vector_table(spark, str(tmp_path / "v"))
     retrieval.embed_new_posts(spark, posts.filter("id = 'p1'"), index, embedder, ledger)
     first = index.read().count()
     for _ in range(2):
@@ -124,7 +124,7 @@ def test_embed_and_answer(spark, posts, ledger, tmp_path, rows):
 
 def test_a_shorter_post_leaves_no_stale_chunks(spark, posts, tmp_path):
     embedder = HashingEmbedder.fit(posts, "content_text")
-    index = retrieval.vector_table(spark, str(tmp_path / "v"), buckets=4)
+    index = retrieval.vector_table(spark, str(tmp_path / "v"))
     retrieval.write_chunks(posts, index, embedder)
     others = index.read().filter("post_id <> 'p1'").count()
     short = posts.filter("id = 'p1'").withColumn("content_text", F.lit("just this"))
@@ -148,7 +148,7 @@ def test_stream_of_landed_entries(spark, layers, tmp_path):
 
 def test_stream_of_posts_to_vectors(spark, posts, ledger, tmp_path):
     embedder = HashingEmbedder.fit(posts, "content_text")
-    index = retrieval.vector_table(spark, str(tmp_path / "v"), buckets=4)
+    index = retrieval.vector_table(spark, str(tmp_path / "v"))
     for part in ("p1", "p2"):
         posts.filter(F.col("id") == part).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         shape = "id string, link string, title string, published timestamp_ntz, content_text string"

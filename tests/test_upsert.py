@@ -1,7 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
 from feedloom import catalog
 from feedloom.operators import upsert
+from feedloom.operators.versioned import VersionedFolder
 from feedloom.schemas import Table
 
 
@@ -76,32 +78,77 @@ def test_replace_groups_leaves_nothing_stale(spark, rows):
     assert rows(upsert.replace_groups(old, new, ["post"]), "post", "chunk") == [("p", 0), ("q", 0)]
 
 
-def test_bucketed_table(spark, rows, tmp_path):
-    table = upsert.BucketedTable(spark, str(tmp_path / "b"), "post string, chunk int, v string", ["post"], buckets=4)
+SHAPE = "post string, chunk int, v string"
+
+
+def posts(spark, *rows):
+    return spark.createDataFrame(list(rows), SHAPE)
+
+
+def test_versioned_folder(spark, rows, tmp_path):
+    table = VersionedFolder(spark, str(tmp_path / "b"), SHAPE, ["post"])
     assert rows(table.read()) == []
-    shape = "post string, chunk int, v string"
-    first = spark.createDataFrame([(f"p{i}", c, "old") for i in range(10) for c in range(3)], shape)
-    table.replace(first)
-    second = spark.createDataFrame([("p1", 0, "new"), ("p99", 0, "new")], shape)
+    table.replace(posts(spark, *((f"p{i}", c, "old") for i in range(10) for c in range(3))))
+    second = posts(spark, ("p1", 0, "new"), ("p99", 0, "new"))
     for _ in range(2):
         table.replace(second, second.select("post"))
         got = rows(table.read(), "post", "chunk")
         assert len(got) == 30 - 3 + 2
         assert [g for g in got if g[0] == "p1"] == [("p1", 0, "new")]
-    table.upsert(spark.createDataFrame([("p2", 1, "x"), ("p2", 1, "y"), ("p77", 0, "z")], shape), ["post", "chunk"], ["v"])
+    table.upsert(posts(spark, ("p2", 1, "x"), ("p2", 1, "y"), ("p77", 0, "z")), ["post", "chunk"], ["v"])
     got = rows(table.read(), "post", "chunk")
     assert ("p2", 1, "y") in got and ("p2", 0, "old") in got and ("p77", 0, "z") in got and len(got) == 30
 
 
 def test_group_replaced_by_nothing_leaves_nothing(spark, rows, tmp_path):
-    shape = "post string, chunk int, v string"
-    table = upsert.BucketedTable(spark, str(tmp_path / "b"), shape, ["post"], buckets=64)
-    table.replace(spark.createDataFrame([("p1", 0, "old"), ("p1", 1, "old"), ("p2", 0, "old")], shape))
+    table = VersionedFolder(spark, str(tmp_path / "b"), SHAPE, ["post"])
+    table.replace(posts(spark, ("p1", 0, "old"), ("p1", 1, "old"), ("p2", 0, "old")))
     for _ in range(2):
-        table.replace(spark.createDataFrame([], shape), spark.createDataFrame([("p1",)], "post string"))
+        table.replace(posts(spark), spark.createDataFrame([("p1",)], "post string"))
         assert rows(table.read()) == [("p2", 0, "old")]
 
 
+def files(table):
+    return set(table._listed(table.version())["files"])
+
+
+def test_only_files_with_the_post_are_rewritten(spark, rows, tmp_path):
+    table = VersionedFolder(spark, str(tmp_path / "b"), SHAPE, ["post"])
+    for i in range(4):
+        table.replace(posts(spark, *((f"p{i}", c, "old") for c in range(3)), (f"q{i}", 0, "old")))
+    before, reader = files(table), table.read()
+    table.replace(posts(spark, ("p2", 0, "new")))
+    after = files(table)
+    assert len(before - after) == 1 and len(after) == len(before)  # one file gave way to one
+    assert len(rows(table.read())) == 16 - 2 and ("q2", 0, "old") in rows(table.read())
+    assert len(rows(reader)) == 16  # who began to read before still sees the rows from before
+    assert table.drop_old_files() == 1 and len(rows(table.read())) == 14
+
+
+def test_a_known_load_computes_and_writes_nothing(spark, rows, tmp_path):
+    table = VersionedFolder(spark, str(tmp_path / "b"), SHAPE, ["post"])
+    assert table.replace(posts(spark, ("p1", 0, "a")), load=("job", 3))
+    version = table.version()
+    broken = posts(spark, ("p1", 0, "b")).withColumn("v", F.raise_error(F.lit("computed")).cast("string"))
+    for number in (2, 3):
+        assert not table.replace(broken, posts(spark, ("p1", 0, "b")), load=("job", number))
+        assert not table.upsert(broken, ["post"], load=("job", number))
+    assert table.version() == version and rows(table.read()) == [("p1", 0, "a")]
+    assert table.replace(posts(spark, ("p1", 0, "c")), load=("other", 0)) and rows(table.read()) == [("p1", 0, "c")]
+
+
+def test_a_load_that_fails_leaves_the_version(spark, rows, tmp_path):
+    table = VersionedFolder(spark, str(tmp_path / "b"), SHAPE, ["post"])
+    table.replace(posts(spark, ("p1", 0, "a")))
+    bad = posts(spark, ("p1", 0, "b")).withColumn("v", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception):
+        table.replace(bad, posts(spark, ("p1", 0, "b")))
+    assert rows(table.read()) == [("p1", 0, "a")]
+    late = table.version() - 1
+    with pytest.raises(RuntimeError):
+        table._commit(late, {"files": [], "loads": {}})  # another load was first
+
+
 def test_first_by_value(spark, rows):
     df = spark.createDataFrame([(3, "a"), (1, "a"), (2, None), (4, None), (5, "b")], "id int, text string")
     kept = upsert.first_by_value(df, "text", "id")

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from feedloom.operators import vectors
+from feedloom.operators import cosine, vectors
 
 
 def frame(spark, matrix, id_name, vec_name):
@@ -20,8 +20,15 @@ def brute(queries, items, k):
     }
 
 
+@pytest.fixture
+def shuffled(monkeypatch):
+    """Small tiles that meet in a shuffled join."""
+    for name, size in (("BROADCAST_BYTES", 0), ("TILE_BYTES", 320), ("GROUP_BYTES", 4000)):
+        monkeypatch.setattr(cosine, name, size)
+
+
 @pytest.mark.parametrize("tiled", [False, True])
-def test_topk_equals_brute_force(spark, monkeypatch, tiled):
+def test_topk_equals_brute_force(spark, request, tiled):
     """Copies of one vector hold a third of the items, so ties are common."""
     rng = np.random.default_rng(3)
     items = rng.integers(-3, 4, (900, 8)).astype(float)
@@ -29,9 +36,8 @@ def test_topk_equals_brute_force(spark, monkeypatch, tiled):
     items[5] = 0
     queries = np.vstack([items[:20], rng.normal(size=(10, 8))])
     if tiled:
-        monkeypatch.setattr(vectors, "TILE_QUERIES", 5)
-        monkeypatch.setattr(vectors, "PACKED_ROWS", 3)
-    got = vectors.cosine_topk(
+        request.getfixturevalue("shuffled")
+    got = cosine.cosine_topk(
         frame(spark, queries, "query_id", "vector"), frame(spark, items, "id", "values").repartition(7), 6
     )
     want = brute(np.float32(queries).astype(float), items, 6)
@@ -42,19 +48,45 @@ def test_topk_equals_brute_force(spark, monkeypatch, tiled):
 
 
 @pytest.mark.parametrize("tiled", [False, True])
-def test_fewer_items_than_k_and_string_ids(spark, monkeypatch, tiled):
+def test_fewer_items_than_k_and_string_ids(spark, request, tiled):
     if tiled:
-        monkeypatch.setattr(vectors, "TILE_QUERIES", 1)
+        request.getfixturevalue("shuffled")
     items = spark.createDataFrame([("b", [1.0, 0.0]), ("a", [1.0, 0.0]), ("c", None)], "id string, values array<float>")
     asked = spark.createDataFrame([("q", [2.0, 0.0])], "query_id string, vector array<double>")
-    got = vectors.cosine_topk(asked, items, 5).orderBy("rank").collect()
+    got = cosine.cosine_topk(asked, items, 5).orderBy("rank").collect()
     assert [(r.item_id, r.score, r.rank) for r in got] == [("a", 1.0, 1), ("b", 1.0, 2)]
 
 
+def test_lengths_and_zero_vectors(spark):
+    shape = "id long, v array<double>"
+    items = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0]), (3, [0.0, 0.0]), (4, []), (5, None), (6, [0.0, 2.0])], shape)
+    got = cosine.cosine_topk(items, items, 5, "id", "v", "id", "v").orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.item_id, r.score) for r in got] == [
+        (1, 1, 1.0), (1, 3, 0.0), (1, 6, 0.0), (2, 2, 1.0), (3, 1, 0.0), (3, 3, 0.0), (3, 6, 0.0), (6, 6, 1.0), (6, 1, 0.0), (6, 3, 0.0)]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_few_queries_leave_items_in_place(spark):
+    items = frame(spark, np.eye(4), "id", "values")
+    plan = plan_of(cosine.cosine_topk(frame(spark, np.eye(4), "query_id", "vector"), items, 2))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert plan.count("hashpartitioning") == plan.count("hashpartitioning(query_id")  # only candidates are shuffled
+
+
+def test_many_queries_are_shuffled(spark, shuffled):
+    items = frame(spark, np.random.default_rng(1).normal(size=(200, 8)), "id", "values")
+    plan = plan_of(cosine.cosine_topk(items.toDF("query_id", "vector"), items, 2))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert plan.count("Exchange") == 3  # tiles and blocks once each, then candidates
+
+
 def test_no_queries(spark):
     items = spark.createDataFrame([(1, [1.0])], "id long, values array<float>")
     asked = items.selectExpr("id AS query_id", "values AS vector").filter("query_id < 0")
-    assert vectors.cosine_topk(asked, items, 5).count() == 0
+    assert cosine.cosine_topk(asked, items, 5).count() == 0
 
 
 def test_embedder(spark, tmp_path):
