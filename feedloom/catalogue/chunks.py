@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from feedloom.catalogue.base import label_tags, posts, table
 from feedloom.functions.chunking import (
-    RECURSIVE_SIZE, TOKENS_SIZE, explode_chunks, recursive_chunks, sentence_chunks,
+    RECURSIVE_SIZE, TOKENS_OVERLAP, TOKENS_SIZE, explode_chunks, recursive_chunks, sentence_chunks,
 )
 from feedloom.functions.text import word_count
 from feedloom.operators import cosine, vectors
@@ -180,6 +180,35 @@ SQL = {
     "chunk_paragraph": """
         SELECT doc_id, CAST(generate_subscripts(p, 1) - 1 AS INTEGER) AS chunk_index, unnest(p) AS chunk_text
         FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents)""",
+    "chunk_sentence": rf"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS w,
+                   string_split(regexp_replace(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), '\n+', chr(1), 'g'), chr(1)) AS s
+            FROM documents),
+        n AS (
+            SELECT doc_id, unnest(list_transform(s, lambda x: len(list_filter(regexp_split_to_array(x, '\s+'), lambda y: y <> '')))) AS n,
+                   generate_subscripts(s, 1) AS k FROM w),
+        cut AS (SELECT doc_id, k, start, least({TOKENS_SIZE}, n - start) AS n FROM n, range(0, n, {TOKENS_SIZE}) t(start)),
+        u AS MATERIALIZED (
+            SELECT doc_id, n, row_number() OVER same AS i, CAST(sum(n) OVER same - n AS BIGINT) AS pos FROM cut
+            WINDOW same AS (PARTITION BY doc_id ORDER BY k, start)),
+        starts AS MATERIALIZED (SELECT doc_id, list(pos ORDER BY pos) AS p, CAST(sum(n) AS BIGINT) AS total FROM u GROUP BY doc_id),
+        fold AS (
+            SELECT doc_id, 0::BIGINT AS i, 0::BIGINT AS start, NULL::BIGINT AS a, NULL::BIGINT AS b FROM starts
+            UNION ALL
+            SELECT f.doc_id, u.i,
+                   CASE WHEN u.pos > f.start AND u.pos - f.start + u.n > {TOKENS_SIZE}
+                        THEN list_min(list_filter(p, lambda x: x >= greatest(f.start, u.pos - least({TOKENS_OVERLAP}, {TOKENS_SIZE} - u.n)))) ELSE f.start END,
+                   CASE WHEN u.pos > f.start AND u.pos - f.start + u.n > {TOKENS_SIZE} THEN f.start END, u.pos
+            FROM fold f JOIN u ON u.doc_id = f.doc_id AND u.i = f.i + 1 JOIN starts s ON s.doc_id = f.doc_id),
+        spans AS (
+            SELECT doc_id, i, a, b FROM fold WHERE a IS NOT NULL
+            UNION ALL
+            SELECT doc_id, i + 1, start, total FROM fold JOIN starts USING (doc_id)
+            QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY i DESC) = 1)
+        SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INTEGER) AS chunk_index,
+               array_to_string(w[a + 1 : b], ' ') AS chunk_text
+        FROM spans JOIN w USING (doc_id)""",
     "chunk_recursive_cover": _COVER,
     "chunk_sentence_cover": _COVER,
     "cosine_topk_all": """

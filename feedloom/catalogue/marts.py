@@ -10,37 +10,41 @@ from pyspark.sql import functions as F
 
 from feedloom import catalog
 from feedloom.catalogue.base import label_tags, posts, table, word_tags
+from feedloom.catalogue.pages import SQL as HTML_SQL
+from feedloom.functions import payloads
 from feedloom.functions.dates import day_text, on_day_before
+from feedloom.functions.tables import register
 from feedloom.operators import marts, topk
 from feedloom.operators.filters import lookup, lookup_many
 from feedloom.operators.profile import evaluate, table_profile
 from feedloom.plans import datasets
 from feedloom.session import scratch_path
+from feedloom.sinks.tables import append
 from feedloom.sources.files import read_csv
-from feedloom.sources.tables import daily_dates, query
+from feedloom.sources.tables import daily_dates, query, query_file
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"
 ).split()
 
-# Columns per table, for the profile SQL.
+# Columns per table with their types, for the profile SQL.
 COLUMNS = {
-    "region": "r_regionkey r_name",
-    "nation": "n_nationkey n_name n_regionkey",
-    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
-    "supplier": "s_suppkey s_name s_nationkey s_acctbal",
-    "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
-    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
-    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount "
-                "l_tax l_returnflag l_linestatus l_shipdate",
-    "events": "event_id ts user_id event_type value props",
-    "documents": "doc_id text lang source n_chars",
-    "embeddings": "vec_id embedding label",
-    "pages": "page_id url html",
-    "benchmark": "item_id text",
-    "labels": "doc_id quality toxic",
-    "conversations": "conv_id turn role text",
+    "region": "r_regionkey int r_name string",
+    "nation": "n_nationkey int n_name string n_regionkey int",
+    "customer": "c_custkey bigint c_name string c_nationkey int c_acctbal double c_mktsegment string",
+    "supplier": "s_suppkey bigint s_name string s_nationkey int s_acctbal double",
+    "part": "p_partkey bigint p_name string p_brand string p_type string p_size int p_retailprice double",
+    "orders": "o_orderkey bigint o_custkey bigint o_orderstatus string o_totalprice double o_orderdate timestamp_ntz o_orderpriority string",
+    "lineitem": "l_orderkey bigint l_partkey bigint l_suppkey bigint l_linenumber int l_quantity double l_extendedprice double "
+                "l_discount double l_tax double l_returnflag string l_linestatus string l_shipdate timestamp_ntz",
+    "events": "event_id bigint ts timestamp_ntz user_id bigint event_type string value double props string",
+    "documents": "doc_id bigint text string lang string source string n_chars bigint",
+    "embeddings": "vec_id bigint embedding array<float> label int",
+    "pages": "page_id bigint url string html string",
+    "benchmark": "item_id bigint text string",
+    "labels": "doc_id bigint quality int toxic int",
+    "conversations": "conv_id bigint turn bigint role string text string",
 }
 
 AS_OF = dt.date(2024, 1, 15)
@@ -108,7 +112,7 @@ def regression_metrics(spark, d):
 
 def profile_all(spark, d):
     parts = [
-        table_profile(table(spark, d, t)).select(F.lit(t).alias("table_name"), F.col("column").alias("column_name"), "non_null", "rows")
+        table_profile(table(spark, d, t)).select(F.lit(t).alias("table_name"), F.col("column").alias("column_name"), "type", "non_null", "rows")
         for t in TABLES
     ]
     return reduce(lambda a, b: a.unionByName(b), parts)
@@ -161,6 +165,43 @@ def sql_text(spark, d):
     )
 
 
+def sql_file(spark, d):
+    """SQL that a file in a shared folder holds, over a frame, with a bound parameter."""
+    path = scratch_path(spark, "sql")
+    text = "SELECT lang, source, count(*) AS n, max(n_chars) AS longest\nFROM {docs}\nWHERE n_chars >= :least\nGROUP BY lang, source"
+    spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.text(path)
+    return query_file(spark, path, {"least": 100}, docs=table(spark, d, "documents"))
+
+
+def table_copy(spark, d):
+    """A per-job table made twice, and an empty copy of its structure that gets some rows."""
+    layer = f"copy_{uuid.uuid4().hex[:12]}"
+    catalog.create_layer(spark, layer, scratch_path(spark, layer))
+    docs = table(spark, d, "documents").select("doc_id", "lang", "n_chars")
+    for rows in (docs.withColumn("n_chars", F.lit(0).cast("bigint")), docs):
+        catalog.replace_table(rows, f"{layer}.job")
+    catalog.clone_empty(spark, f"{layer}.job", f"{layer}.copy")
+    append(spark.table(f"{layer}.job").where("lang <> 'en'"), f"{layer}.copy")
+    tables = (spark.table(f"{layer}.{t}").withColumn("table_name", F.lit(t)) for t in ("job", "copy"))
+    return reduce(lambda a, b: a.unionByName(b), tables)
+
+
+def event_payloads(spark, d):
+    """Payloads whose shape drifts by event type, some of them broken."""
+    drifted = F.expr("""CASE event_type WHEN 'purchase' THEN concat('{"k": "x", "cart": {"total": ', value, ', "lines": [1, 2]}}')
+                        WHEN 'click' THEN concat('{', props) ELSE props END""")
+    events = table(spark, d, "events").select("event_id", payloads.parsed(drifted).alias("v"))
+    return events.select(
+        "event_id", F.col("v").isNull().alias("broken"), payloads.field("v", "$.k", "bigint").alias("k"),
+        payloads.field("v", "$.cart.total", "double").alias("total"), payloads.field("v", "$.cart.lines[1]", "int").alias("line"))
+
+
+def lateral_links(spark, d):
+    """Links by a table function in SQL."""
+    register(spark)
+    return query(spark, "SELECT page_id, l.* FROM {pages}, LATERAL html_links(html) AS l WHERE l.href IS NOT NULL", pages=table(spark, d, "pages"))
+
+
 QUERIES = {
     "post_length": post_length,
     "post_count": post_count,
@@ -180,6 +221,10 @@ QUERIES = {
     "mart_views": mart_views,
     "training_export": training_export,
     "sql_text": sql_text,
+    "sql_file": sql_file,
+    "table_copy": table_copy,
+    "event_payloads": event_payloads,
+    "lateral_links": lateral_links,
 }
 
 WORD_TAGS = """
@@ -247,14 +292,24 @@ SQL = {
                round(avg(abs(y - p) / greatest(abs(y), 2.220446049250313e-16)), 6) AS mape
         FROM l JOIN m USING (l_returnflag) GROUP BY l_returnflag""",
     "table_profile": "\nUNION ALL\n".join(
-        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS non_null, count(*) AS rows FROM {t}"
-        for t in TABLES for c in COLUMNS[t].split()
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{kind}' AS type, count({c}) AS non_null, count(*) AS rows FROM {t}"
+        for t in TABLES for c, kind in zip(COLUMNS[t].split()[::2], COLUMNS[t].split()[1::2])
     ),
     "series_daily": """
         WITH bounds AS (SELECT min(o_orderdate) AS lo, max(o_orderdate) AS hi FROM orders),
         days AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM bounds)
         SELECT days.date, count(o_orderkey) AS n FROM days
         LEFT JOIN orders ON CAST(o_orderdate AS DATE) = days.date GROUP BY days.date""",
+    "sql_file": "SELECT lang, source, count(*) AS n, max(n_chars) AS longest FROM documents WHERE n_chars >= 100 GROUP BY lang, source",
+    "table_copy": """
+        SELECT doc_id, lang, n_chars, 'job' AS table_name FROM documents
+        UNION ALL SELECT doc_id, lang, n_chars, 'copy' FROM documents WHERE lang <> 'en'""",
+    "event_payloads": """
+        SELECT event_id, event_type = 'click' AS broken,
+               CASE WHEN event_type NOT IN ('click', 'purchase') THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k,
+               CASE WHEN event_type = 'purchase' THEN value END AS total, CASE WHEN event_type = 'purchase' THEN 2 END AS line
+        FROM events""",
+    "lateral_links": HTML_SQL["html_links"],
     "sql_text": """
         SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events
         WHERE value >= 10.0 GROUP BY event_type""",

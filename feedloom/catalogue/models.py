@@ -13,7 +13,9 @@ from feedloom.operators.marts import post_length
 from feedloom.operators.profile import regression_metrics
 from feedloom.schemas import JOB_METRICS, JOB_PARAMETERS, MODEL_RUNS, PREDICTIONS
 from feedloom.session import scratch_path
+from feedloom.sinks.files import write_csv
 from feedloom.sinks.tables import insert_select
+from feedloom.sources.files import read_json_lines
 
 
 def _runs_wide(spark, d):
@@ -67,6 +69,32 @@ def split_parts(spark, d):
     return docs.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def vocabulary(spark, d):
+    """The most frequent words and word pairs of the titles."""
+    titles = post_length(posts(spark, d), keep=("id",)).select(F.coalesce("title", F.lit("")).alias("title"))
+    return training.vocabulary(training.gram_pipeline().fit(titles).transform(titles))
+
+
+def price_fit(spark, d):
+    """Prices by quantity, from sums of squares and products."""
+    fit = training.least_squares(table(spark, d, "lineitem"), ["l_quantity"], "l_extendedprice")
+    return fit.withColumn("value", F.round("value", 6))
+
+
+def predict_files(spark, d):
+    """A model trained, saved and used on a CSV file of titles, beside what it gives for
+    the table; results come back as JSON lines."""
+    docs = posts(spark, d).select("id", F.coalesce("title", F.lit("")).alias("title"))
+    model, _ = training.fit_length(post_length(posts(spark, d), keep=("id",)), "id", max_features=200, ngram_range=(1, 1))
+    path, source, target = (scratch_path(spark, n) for n in ("model", "instances", "predictions"))
+    model.write().save(path)
+    write_csv(docs, source)
+    registry.predict_files(spark, path, source, target, "id bigint, title string")
+    direct = training.predict(model, docs, ["id"]).withColumnRenamed("length_pred", "direct")
+    back = read_json_lines(spark, target, "id bigint, length_pred double")
+    return back.join(direct, "id", "full").select("id", (F.abs(F.col("length_pred") - F.col("direct")) < 0.01).alias("same"))
+
+
 def train_post_length(spark, d):
     """Held-out metrics of the title regression, long form."""
     data = post_length(posts(spark, d), keep=("id",))
@@ -104,15 +132,26 @@ def classify_quality(spark, d):
     return training.classify(model, data, ["doc_id"])
 
 
+def classifier_log_loss(spark, d):
+    """Whether the classifier is better than the base rate on rows that it has not seen."""
+    data = table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars").join(table(spark, d, "labels"), "doc_id")
+    _, report = training.fit_classifier(data, "doc_id", "quality", ["n_chars"], ["lang", "source"])
+    return report.select("n_rows", (F.col("test_log_loss") < F.col("base_log_loss")).alias("better"))
+
+
 QUERIES = {
     "metrics_long": metrics_long,
     "parameters_long": parameters_long,
     "best_model": best_model,
     "experiment_wide": experiment_wide,
     "split_parts": split_parts,
+    "vocabulary": vocabulary,
+    "price_fit": price_fit,
+    "predict_files": predict_files,
     "train_post_length": train_post_length,
     "batch_score": batch_score,
     "classify_quality": classify_quality,
+    "classifier_log_loss": classifier_log_loss,
 }
 
 _RUNS = """
@@ -128,6 +167,25 @@ _RUNS = """
     metrics AS (UNPIVOT wide ON r2, mae, mape INTO NAME metric_name VALUE metric_value)"""
 
 SQL = {
+    "split_parts": f"""
+        SELECT CASE WHEN CAST('0x' || substr(md5(doc_id || ':{training.SPLIT_SEED}'), 1, 8) AS BIGINT) % 10 < {training.TEST_TENTHS}
+                    THEN 'test' ELSE 'train' END AS part, count(*) AS n
+        FROM documents GROUP BY part""",
+    "vocabulary": rf"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(lower(string_split(text, chr(10))[1]), '[\p{{L}}\p{{M}}\p{{Nd}}\p{{Pc}}]{{2,}}') AS w FROM documents),
+        g AS (
+            SELECT unnest(w) AS term FROM w
+            UNION ALL
+            SELECT w[i] || ' ' || w[i + 1] FROM w, range(1, len(w)) t(i)),
+        c AS (SELECT term, count(*) AS total FROM g GROUP BY term ORDER BY total DESC, term LIMIT {training.MAX_FEATURES})
+        SELECT term, total, CAST(row_number() OVER (ORDER BY total DESC, term) AS INTEGER) AS rank FROM c""",
+    "price_fit": """
+        WITH f AS (
+            SELECT regr_slope(l_extendedprice, l_quantity) AS l_quantity, regr_intercept(l_extendedprice, l_quantity) AS intercept,
+                   regr_r2(l_extendedprice, l_quantity) AS r2, CAST(count(*) AS DOUBLE) AS rows FROM lineitem)
+        SELECT name, round(value, 6) AS value FROM (UNPIVOT f ON l_quantity, intercept, r2, rows INTO NAME name VALUE value)""",
+    "predict_files": "SELECT doc_id AS id, true AS same FROM documents",
+    "classifier_log_loss": "SELECT count(*) AS n_rows, true AS better FROM documents JOIN labels USING (doc_id)",
     "batch_score": """
         SELECT CAST(doc_id AS VARCHAR) AS id,
                CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'earlier' ELSE 'model' END AS scored_by,

@@ -1,8 +1,8 @@
 """Splitting a whole column of texts into chunks.
 
 Every strategy returns ``array<string>``; ``explode_chunks`` turns it into rows
-with a 0-based position. Fixed windows and paragraphs stay JVM-side; recursive
-and sentence packing run in Arrow batches, marked non-deterministic so that
+with a 0-based position. Fixed windows, sentences and paragraphs stay JVM-side;
+recursive packing runs in Arrow batches, marked non-deterministic so that
 Spark does not copy the call into a filter and run it twice.
 """
 
@@ -112,38 +112,60 @@ def recursive_chunks(
     return run.asNondeterministic()(_col(text))
 
 
-_SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n+")
+#: Ends of sentences: white space after a full stop or its like, line ends.
+SENTENCE_END = r"(?<=[.!?])\s+|\n+"
+_SPAN = "struct<start:int,end:int>"
 
 
-def pack_sentences(text: str, size: int, overlap: int) -> list[str]:
-    """Whole sentences up to ``size`` words; a longer sentence is cut in words."""
-    units: list[list[str]] = []
-    for sentence in _SENTENCE_END.split(text):
-        tokens = sentence.split()
-        units.extend(tokens[i:i + size] for i in range(0, len(tokens), size))
-    out: list[str] = []
-    window: deque[list[str]] = deque()
-    used = 0
-    for unit in units:
-        if window and used + len(unit) > size:
-            out.append(" ".join(" ".join(u) for u in window))
-            while window and (used > overlap or used + len(unit) > size):
-                used -= len(window.popleft())
-        window.append(unit)
-        used += len(unit)
-    if window:
-        out.append(" ".join(" ".join(u) for u in window))
-    return out
+def _spans(lengths: Column, size: int, overlap: int) -> Column:
+    """Greedy packing of units of ``lengths`` words: (start, end) in words of each chunk.
+
+    One fold over the units. It remembers the chunks so far, where the open one starts,
+    how many words came, and the lengths of the open chunk's units, of which there
+    are no more than ``size``.
+    """
+    start = F.struct(
+        F.array().cast(f"array<{_SPAN}>").alias("out"), F.lit(0).alias("start"), F.lit(0).alias("at"),
+        F.array().cast("array<int>").alias("window"))
+
+    def step(acc: Column, n: Column) -> Column:
+        full = (acc["at"] > acc["start"]) & (acc["at"] - acc["start"] + n > size)
+        # The longest tail of whole units that may open the next chunk.
+        room = F.least(F.lit(overlap), F.lit(size) - n)
+        tail = F.aggregate(
+            F.reverse(acc["window"]), F.struct(F.lit(0).alias("words"), F.lit(0).alias("units"), F.lit(True).alias("open")),
+            lambda t, m: F.struct(
+                F.when(t["open"] & (t["words"] + m <= room), t["words"] + m).otherwise(t["words"]).alias("words"),
+                F.when(t["open"] & (t["words"] + m <= room), t["units"] + 1).otherwise(t["units"]).alias("units"),
+                (t["open"] & (t["words"] + m <= room)).alias("open")))
+        unit = F.array(n)
+        kept = F.when(tail["units"] > 0, F.concat(F.slice(acc["window"], -tail["units"], tail["units"]), unit)).otherwise(unit)
+        span = F.array(F.struct(acc["start"].alias("start"), acc["at"].alias("end")))
+        return F.when(full, F.struct(
+            F.concat(acc["out"], span).alias("out"), (acc["at"] - tail["words"]).alias("start"), (acc["at"] + n).alias("at"), kept.alias("window"),
+        )).otherwise(F.struct(
+            acc["out"].alias("out"), acc["start"].alias("start"), (acc["at"] + n).alias("at"), F.concat(acc["window"], unit).alias("window")))
+
+    def finish(acc: Column) -> Column:
+        last = F.array(F.struct(acc["start"].alias("start"), acc["at"].alias("end")))
+        return F.when(acc["at"] > 0, F.concat(acc["out"], last)).otherwise(acc["out"])
+
+    return F.aggregate(lengths, start, step, finish)
 
 
 def sentence_chunks(text: Column | str, size: int = TOKENS_SIZE, overlap: int = TOKENS_OVERLAP) -> Column:
+    """Whole sentences up to ``size`` words, whole sentences of up to ``overlap`` words
+    repeated; a longer sentence is cut in words. All of it in the JVM."""
     _check(size, overlap)
+    number = F.transform(F.split(_col(text), SENTENCE_END), lambda s: F.size(words(s)))
+    units = F.flatten(F.transform(F.filter(number, lambda n: n > 0), lambda n: F.transform(
+        F.sequence(F.lit(0), n - 1, F.lit(size)), lambda i: F.least(F.lit(size), n - i))))
 
-    @F.pandas_udf("array<string>")
-    def run(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda t: None if t is None else pack_sentences(t, size, overlap))
+    def cut(tokens: Column) -> Column:
+        return F.transform(_spans(units, size, overlap), lambda s: F.array_join(F.slice(tokens, s["start"] + 1, s["end"] - s["start"]), " "))
 
-    return run.asNondeterministic()(_col(text))
+    # The one-element array binds the words, as for the windows.
+    return F.when(_col(text).isNotNull(), F.get(F.transform(F.array(words(text)), cut), F.lit(0)))
 
 
 STRATEGIES = {

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.session import materialize
-
 
 def table_profile(df: DataFrame) -> DataFrame:
     """(column, type, non_null, rows) for every column, in one pass."""
@@ -25,10 +23,9 @@ def table_profile(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*lines)))
 
 
-def counted(df: DataFrame, step: str) -> tuple[DataFrame, DataFrame]:
-    """(the rows, written once; one row ``step``, ``rows``), counted in what was written."""
-    written = materialize(df, step)
-    return written, written.agg(F.lit(step).alias("step"), F.count(F.lit(1)).alias("rows"))
+def step_count(written: DataFrame, step: str) -> DataFrame:
+    """One row (step, rows) of rows that a step has written."""
+    return written.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(step).alias("step"), "rows")
 
 
 # Denominator floor of the percentage error.

@@ -85,17 +85,20 @@ def insert_if_absent(
     keys: list[str],
     order: list[str] | None = None,
     rejects: str | None = None,
+    written: bool = False,
 ) -> None:
     """Append the batch rows whose key is new; stored rows never change.
 
     Safe to repeat: a second run of the same batch adds nothing, neither rows nor
     rejects. Rows with a NULL key go to the ``rejects`` table when one is named;
     without it they raise, as a keyed table would. The batch is written once and
-    read from there, whatever stands above it.
+    read from there, whatever stands above it, unless it is ``written`` already.
     """
     stage = read_current(spark, table)
     columns = stage.columns
-    batch = materialize(batch.select(*(F.col(f"`{c}`").cast(stage.schema[c].dataType).alias(c) for c in columns)), "batch")
+    batch = batch.select(*(F.col(f"`{c}`").cast(stage.schema[c].dataType).alias(c) for c in columns))
+    if not written:
+        batch = materialize(batch, "batch")
     bad = split_null_keys(batch, keys)[1].withColumn("_row", row_hash(batch))
     if not bad.isEmpty():  # reads the key columns of what was written
         if not rejects:

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from feedloom import catalog
 from feedloom.operators.entries import BUILDERS, flat_posts, parse_entries
 from feedloom.operators.filters import new_job_id
+from feedloom.operators.profile import step_count
 from feedloom.operators.upsert import first_per_key, insert_if_absent
 from feedloom.schemas import FLAT_POSTS, STAGE_TABLES
 from feedloom.session import materialize
+from feedloom.sinks.tables import append
 
 
 FEED_FIELDS = ("id", "link", "title", "summary", "published", "tags", "content")
@@ -50,22 +54,31 @@ def stage_entries(
     date_mode: str = "wall",
     reject_layer: str | None = None,
     root: str | None = None,
+    counts: str | None = None,
 ) -> str:
     """One run: parse every document once, refill the raw tables, then insert
     what is new into stage. Repeating a run changes nothing.
 
-    With a ``reject_layer`` rows without a complete key land in its tables;
-    otherwise they stop the run.
+    The raw tables are the run's own, in a layer named after ``raw_layer`` and the job,
+    so that runs at the same time do not meet; the layer goes when the run ends. With a
+    ``reject_layer`` rows without a complete key land in its tables; otherwise they stop
+    the run. A ``counts`` table gets the rows of every step.
     """
     job_id = job_id or new_job_id()
     now = ingest_timestamp or dt.datetime.now()
     parsed = materialize(parse_entries(entries, job_id, now, date_mode), "parsed")
+    raw_layer = f"{raw_layer}_{re.sub(r'[^0-9a-zA-Z]', '_', job_id)}"
     catalog.recreate_layer(spark, raw_layer, _place(root, raw_layer))
     if reject_layer:
         catalog.create_layer(spark, reject_layer, _place(root, reject_layer))
-    for table, build in BUILDERS:
-        raw, stage = f"{raw_layer}.{table.name}", f"{stage_layer}.{table.name}"
-        rejects = catalog.create_table(spark, table, f"{reject_layer}.{table.name}") if reject_layer else None
-        build(parsed).write.saveAsTable(raw)
-        insert_if_absent(spark, stage, spark.table(raw), list(table.key), ["ingest_timestamp"], rejects)
+    try:
+        for table, build in BUILDERS:
+            raw, stage = f"{raw_layer}.{table.name}", f"{stage_layer}.{table.name}"
+            rejects = catalog.create_table(spark, table, f"{reject_layer}.{table.name}") if reject_layer else None
+            build(parsed).write.saveAsTable(raw)
+            if counts:
+                append(step_count(spark.table(raw), table.name).withColumn("job_id", F.lit(job_id)), counts)
+            insert_if_absent(spark, stage, spark.table(raw), list(table.key), ["ingest_timestamp"], rejects, written=True)
+    finally:
+        catalog.drop_layer(spark, raw_layer)
     return job_id

@@ -99,6 +99,9 @@ FLAT_POSTS = Table("feeds", "post", {
     "job_id": "string", "raw_feed": "string",
 }, key=("id",))
 
+# Rows of every step of a load.
+LOAD_COUNTS = Table("stage", "load_counts", {"job_id": "string", "step": "string", "rows": "bigint"})
+
 # Sample table.
 USERS = Table("sandbox", "users", {
     "user_id": "int", "username": "string", "email": "string", "created_at": "timestamp_ntz",
@@ -106,7 +109,7 @@ USERS = Table("sandbox", "users", {
 
 STAGE_TABLES = (POSTS, TAGS, LINKS, IMAGES, AUTHORS)
 ALL_TABLES = STAGE_TABLES + (
-    MODEL_RUNS, JOB_METRICS, JOB_PARAMETERS, PREDICTIONS, EMBEDDED_POSTS, FLAT_POSTS, USERS,
+    MODEL_RUNS, JOB_METRICS, JOB_PARAMETERS, PREDICTIONS, EMBEDDED_POSTS, FLAT_POSTS, LOAD_COUNTS, USERS,
 )
 
 CHUNK_RECORD = """

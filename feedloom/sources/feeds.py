@@ -22,6 +22,17 @@ def read_feed_items(spark: SparkSession, paths: str | list[str], on_error: str =
     return reader.load(paths).withColumn("feed", F.col("_metadata.file_path"))
 
 
+def column_items(feeds: DataFrame, document: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """(items, names of broken feeds) of RSS documents that a column holds, as fetched
+    responses in a table are. A broken document has no items; a null one is broken."""
+    kept = F.from_xml(document, f"channel struct<title: string, item: array<struct<{FEED_ITEM}>>>, broken string",
+                      {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"})
+    read = feeds.select(F.col(name).alias("feed"), kept.alias("rss"))
+    good = F.col("rss").isNotNull() & F.col("rss.broken").isNull() & F.col("rss.channel").isNotNull()
+    items = read.where(good).select("feed", F.inline("rss.channel.item"))
+    return items, read.where(~good).select("feed")
+
+
 def feed_entries(items: DataFrame) -> DataFrame:
     """Items in the nested entry shape of ``schemas.FEED_ENTRY``, plus ``feed``."""
     none = F.lit(None).cast("string")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pathlib import Path
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,7 +26,8 @@ def query(spark: SparkSession, text: str, args: dict[str, Any] | None = None, **
 
 
 def query_file(spark: SparkSession, path: str, args: dict[str, Any] | None = None, **frames: DataFrame) -> DataFrame:
-    return query(spark, Path(path).read_text(), args, **frames)
+    """The query that a file holds, wherever Spark can read it."""
+    return query(spark, spark.read.text(path, wholetext=True).first()[0], args, **frames)
 
 
 def inline_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,16 +48,45 @@ def test_fixed_windows(spark, n):
     assert df.select(ch.fixed_windows("t").alias("c")).first().c == brute_windows(words, 300, 50)
 
 
-def test_sentences():
+def plain_sentences(text, size, overlap):
+    """Sentences packed one by one; whole sentences of up to ``overlap`` words are repeated."""
+    units = []
+    for sentence in re.split(r"(?<=[.!?])[ \t\n\r\f\v]+|\n+", text):
+        tokens = re.findall(r"[^ \t\n\r\f\v]+", sentence)
+        units += [tokens[i:i + size] for i in range(0, len(tokens), size)]
+    out, open_ = [], []
+    for unit in units:
+        if open_ and sum(map(len, open_)) + len(unit) > size:
+            out.append(open_)
+            while open_ and (sum(map(len, open_)) > overlap or sum(map(len, open_)) + len(unit) > size):
+                open_ = open_[1:]
+        open_ = open_ + [unit]
+    return [" ".join(" ".join(u) for u in chunk) for chunk in out + ([open_] if open_ else [])]
+
+
+def sentences(spark, text, size, overlap):
+    return spark.createDataFrame([(text,)], "t string").select(ch.sentence_chunks("t", size, overlap).alias("c")).first().c
+
+
+def test_sentences(spark):
     text = "One two three. Four five! Six? " + " ".join(f"w{i}" for i in range(12))
-    pieces = ch.pack_sentences(text, 6, 2)
-    assert pieces[0] == "One two three. Four five! Six?"
-    assert all(len(p.split()) <= 6 for p in pieces)
-    assert pieces[1].startswith("Six?") is False or len(pieces[1].split()) <= 6
+    assert sentences(spark, text, 6, 2) == ["One two three. Four five! Six?", "w0 w1 w2 w3 w4 w5", "w6 w7 w8 w9 w10 w11"]
+    assert sentences(spark, "A b. C d. E f. G h.", 4, 2) == ["A b. C d.", "C d. E f.", "E f. G h."]
+    assert sentences(spark, "", 4, 2) == [] and sentences(spark, " \n. ", 4, 2) == ["."] and sentences(spark, None, 4, 2) is None
+
+
+def test_sentences_equal_plain_packing(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice(["ab", "c", " ", ". ", "! ", "\n", "\n\n", ".", " \n "]) for _ in range(rng.randint(0, 300))) for _ in range(60)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for size, overlap in ((1, 0), (5, 0), (8, 3), (20, 19)):
+        got = df.select(ch.sentence_chunks("t", size, overlap).alias("c"), "t").collect()
+        assert [r.c for r in got] == [plain_sentences(r.t, size, overlap) for r in got]
 
 
-def test_sentence_overlap_repeats_whole_sentences():
-    assert ch.pack_sentences("A b. C d. E f. G h.", 4, 2) == ["A b. C d.", "C d. E f.", "E f. G h."]
+def test_sentences_stay_in_the_jvm(spark):
+    plan = spark.range(1).select(ch.sentence_chunks(F.col("id").cast("string")).alias("c"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
 
 
 def test_paragraphs_and_nulls(spark):

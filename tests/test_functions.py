@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from feedloom.functions import dates, text, values
+from feedloom.functions import dates, payloads, tables, text, values
 
 
 def one(spark, column, value, type_="string"):
@@ -86,3 +86,23 @@ def test_small_text_functions(spark):
     assert one(spark, text.prefix("x", 2), "abc") == "ab"
     assert one(spark, text.chunk_id("x", F.lit(3)), "p") == "p_3"
     assert one(spark, text.contains_text("x", "50%"), "at 50% off") is True
+
+
+def test_payloads(spark):
+    rows = [('{"k": 1}',), ('{"k": "x", "more": {"n": [1, 2.5]}}',), ("{bad",), (None,), ("7",)]
+    df = spark.createDataFrame(rows, "p string")
+    read = df.select(payloads.parsed("p").alias("v"))
+    got = read.select(payloads.field("v", "$.k", "int").alias("k"), payloads.field("v", "$.more.n[1]", "double").alias("n")).collect()
+    assert [tuple(r) for r in got] == [(1, None), (None, 2.5), (None, None), (None, None), (None, None)]
+    shape = payloads.shape(df.limit(4), "p").first()
+    assert (shape.rows, shape.broken) == (4, 1) and "more" in shape.schema and "k" in shape.schema
+
+
+def test_table_functions(spark):
+    tables.register(spark)
+    html = '<p>one</p><a href="/a">A</a><a name="n">N</a><img src="i.png" width="3"><p>two</p>'
+    df = spark.createDataFrame([(1, html), (2, None), (3, "plain")], "id int, html string")
+    links = spark.sql("SELECT id, l.* FROM {df}, LATERAL html_links(html) AS l ORDER BY id, index", df=df).collect()
+    assert [tuple(r) for r in links] == [(1, 0, "/a", "A"), (1, 1, None, "N")]
+    assert spark.sql("SELECT src, width FROM {df}, LATERAL html_images(html)", df=df).first() == ("i.png", "3")
+    assert [r.paragraph for r in spark.sql("SELECT * FROM {df}, LATERAL html_paragraphs(html) ORDER BY index", df=df).collect()] == ["one", "two"]

@@ -136,3 +136,15 @@ def test_series(spark):
     assert year.count() == 366 and year.filter("sales < 1000 OR sales >= 5000").isEmpty()
     assert year.exceptAll(src.year_series(spark, 2040)).isEmpty()
     assert not year.exceptAll(src.year_series(spark, 2040, seed=1)).isEmpty()
+
+
+def test_feeds_held_in_a_column(spark):
+    good = """<rss version="2.0" xmlns:content="http://purl.org/rss/1.0/modules/content/"><channel><title>t</title>
+        <item><guid isPermaLink="false">1</guid><link>/1</link><category>a</category><category>b</category><content:encoded><![CDATA[<p>x</p>]]></content:encoded></item>
+        <item><guid>2</guid></item></channel></rss>"""
+    rows = [("good", good), ("cut", good[:200]), ("none", None), ("text", "no feed"), ("empty", "<rss><channel><title>t</title></channel></rss>")]
+    items, broken = feeds.column_items(spark.createDataFrame(rows, "name string, doc string"), "doc", "name")
+    entries = {r.id: r for r in feeds.feed_entries(items).collect()}
+    assert set(entries) == {"1", "2"} and entries["1"].feed == "good" and entries["1"].content[0].value == "<p>x</p>"
+    assert [t.term for t in entries["1"].tags] == ["a", "b"] and entries["2"].content == []
+    assert {r.feed for r in broken.collect()} == {"cut", "none", "text"}

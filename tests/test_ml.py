@@ -1,12 +1,13 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from feedloom import catalog
 from feedloom.ml import registry, training
-from feedloom.operators.profile import counted, evaluate, table_profile
+from feedloom.operators.profile import evaluate, step_count, table_profile
 from feedloom.schemas import JOB_METRICS, JOB_PARAMETERS, MODEL_RUNS, PREDICTIONS
 
 
@@ -85,10 +86,41 @@ def test_train_record_select_score(spark, tables, tmp_path):
     assert spark.read.json(target).count() == 300
 
 
+def test_vocabulary_ties_and_partitioning(spark):
+    rows = [(["b", "a", "a b"],), (["a", "c"],), (["c", "b"],), ([],), (None,)]
+    grams = spark.createDataFrame(rows, "grams array<string>")
+    want = [("a", 2, 1), ("b", 2, 2), ("c", 2, 3)]
+    for parts in (1, 5):
+        assert [tuple(r) for r in training.vocabulary(grams.repartition(parts), 3).orderBy("rank").collect()] == want
+    assert training.vocabulary(grams.limit(0)).count() == 0
+
+
+def test_grams(spark):
+    df = spark.createDataFrame([("A big-city Tale, é été x",), ("",)], "title string")
+    got = training.gram_pipeline().fit(df).transform(df).collect()
+    assert got[0].grams == ["big", "city", "tale", "été", "big city", "city tale", "tale été"] and got[1].grams == []
+
+
+def test_least_squares(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(500, 3))
+    y = x @ [2.0, -1.0, 0.5] + 7 + 0.1 * rng.normal(size=500)
+    df = spark.createDataFrame([(*map(float, a), float(b)) for a, b in zip(x, y)] + [(None, 1.0, 1.0, 1.0)], "a double, b double, c double, y double")
+    got = {r.name: r.value for r in training.least_squares(df.repartition(7), ["a", "b", "c"], "y").collect()}
+    full = np.column_stack([x, np.ones(500)])
+    want, rest, *_ = np.linalg.lstsq(full, y, rcond=None)
+    assert [got[k] for k in ("a", "b", "c", "intercept")] == pytest.approx(want.tolist())
+    assert got["r2"] == pytest.approx(1 - rest[0] / ((y - y.mean()) ** 2).sum()) and got["rows"] == 500
+    flat = spark.createDataFrame([(1.0, 2.0)] * 3, "a double, y double")
+    got = {r.name: r.value for r in training.least_squares(flat, ["a"], "y").collect()}
+    assert got["a"] == 0 and got["intercept"] == 2 and got["r2"] is None
+    assert [tuple(r) for r in training.least_squares(flat.limit(0), ["a"], "y").collect()] == [("rows", 0.0)]
+
+
 def test_classifier(spark):
     df = spark.range(400).selectExpr("id", "id % 2 AS goal", "CASE WHEN id % 2 = 0 THEN 'in' ELSE 'out' END AS type", "id * 1.0 AS dist")
     model, report = training.fit_classifier(df, "id", "goal", ["dist"], ["type"])
-    assert report.first().test_log_loss < 0.2
+    assert report.first().test_log_loss < 0.2 < report.first().base_log_loss
     assert training.classify(model, df, ["id", "goal"]).filter("prediction = goal").count() > 390
 
 
@@ -103,5 +135,4 @@ def test_classifier_after_an_observation(spark):
 def test_profile_and_counts(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "a int, b string")
     assert {tuple(r) for r in table_profile(df).collect()} == {("a", "int", 2, 2), ("b", "string", 1, 2)}
-    written, number = counted(df, "seen")
-    assert written.count() == 2 and [tuple(r) for r in number.collect()] == [("seen", 2)]
+    assert [tuple(r) for r in step_count(df, "seen").collect()] == [("seen", 2)]

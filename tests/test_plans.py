@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from feedloom import catalog
 from feedloom.operators.vectors import HashingEmbedder
 from feedloom.plans import datasets, feed_etl, retrieval
-from feedloom.schemas import EMBEDDED_POSTS, FEED_ENTRY
+from feedloom.schemas import EMBEDDED_POSTS, FEED_ENTRY, LOAD_COUNTS
 from feedloom.sources.feeds import read_entries
 from feedloom.sources.files import read_csv
 from feedloom.streaming import landing
@@ -67,6 +67,20 @@ def test_rows_without_key(spark, layers, tmp_path):
     assert spark.table("s_test.posts").count() == 1 and spark.table("bad_test.posts").count() == 1
 
 
+def test_raw_layer_is_the_runs_own(spark, layers, tmp_path):
+    """The raw layer of another run stays, that of this run goes; steps are counted."""
+    land(tmp_path, "one.json", entry("a"), entry("b"))
+    catalog.recreate_layer(spark, "r_test_other")
+    counts = catalog.create_table(spark, LOAD_COUNTS, "s_test.load_counts")
+    try:
+        feed_etl.stage_entries(spark, read_entries(spark, str(tmp_path / "one.json")), "job 1", NOW, counts=counts, **layers)
+        names = {r.namespace for r in catalog.databases(spark).collect()}
+        assert "r_test_other" in names and "r_test_job_1" not in names
+        assert {(r.step, r.rows) for r in spark.table(counts).collect()} == {("posts", 2), ("tags", 4), ("links", 2), ("images", 4), ("authors", 2)}
+    finally:
+        catalog.drop_layer(spark, "r_test_other")
+
+
 def test_datasets(spark, layers, tmp_path, rows):
     land(tmp_path / "in", "one.json", *(entry(str(i)) for i in range(30)))
     feed_etl.stage_entries(spark, read_entries(spark, str(tmp_path / "in")), "j", NOW, **layers)
@@ -158,6 +172,21 @@ def test_stream_of_posts_to_vectors(spark, posts, ledger, tmp_path):
     assert spark.table(ledger).count() == 2
 
 
+def test_a_replayed_batch_embeds_nothing(spark, posts, ledger, tmp_path):
+    """The batch's number is in the version: the same batch again changes nothing, even if
+    the ledger was not reached before."""
+    embedder = HashingEmbedder.fit(posts, "content_text")
+    index = retrieval.vector_table(spark, str(tmp_path / "v"))
+    assert retrieval.write_chunks(posts, index, embedder, ("stream", 0))
+    version, rows = index.version(), index.read().count()
+
+    late = posts.withColumn("id", F.concat("id", F.lit("-late")))
+    assert not index.replace(posts, posts.select(F.col("id").alias("post_id")), ("stream", 0))
+    assert not retrieval.write_chunks(late, index, embedder, ("stream", 0))
+    assert index.version() == version and index.read().count() == rows
+    assert retrieval.write_chunks(late, index, embedder, ("stream", 1)) and index.read().count() == 2 * rows
+
+
 def test_distinct_stream_across_batches(spark, tmp_path):
     shape = "k int, ts timestamp"
     for watermark in (None, ("ts", "1 hour")):
