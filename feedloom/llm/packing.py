@@ -76,13 +76,13 @@ _SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, bin
 
 def _pack(path: str, blanks: bool, end_id: int, size: int, open_bins: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = word_tokenizer(path, blanks).encode, packed([end_id])
+        tokenizer, end = word_tokenizer(path, blanks), packed([end_id])
         part = TaskContext.get().partitionId()
         fit = BestFit(size, open_bins, part << 32)
         for batch in batches:
             pieces = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = encode(text) + end
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tokenizer.encode_many(batch.column("text"))):
+                ids += end
                 for number, (start, length) in enumerate(cut(len(ids) // 4, size)):
                     pieces.append((doc_id, number, start, length, zlib.crc32(ids[4 * start:4 * (start + length)])))
             pieces.sort(key=lambda p: -p[3])  # large pieces of a batch first leave small ones to fill up

@@ -128,7 +128,7 @@ def _encode_batches(path: str, blanks: bool, end_id: int, row_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokens, end = word_tokenizer(path, blanks).encode, packed([end_id])
+        tokenizer, end = word_tokenizer(path, blanks), packed([end_id])
         shard, row, start = TaskContext.get().partitionId(), 0, 0
         doc_ids, parts, size = [], [], 0
 
@@ -141,8 +141,8 @@ def _encode_batches(path: str, blanks: bool, end_id: int, row_ids: int):
                 [pa.array([c], t) for c, t in zip(cells, types)], [c.split()[0] for c in _FILE.split(", ")])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = tokens(text) + end
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tokenizer.encode_many(batch.column("text"))):
+                ids += end
                 if parts and size + len(ids) // 4 > row_ids:
                     yield stored()
                     row, start, doc_ids, parts, size = row + 1, start + size, [], [], 0

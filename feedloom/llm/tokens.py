@@ -4,14 +4,21 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 from operator import attrgetter
 from struct import pack
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Words that a worker keeps at most, in each of two generations.
 CACHE_WORDS = 250_000
+#: Texts that are cut into words at a time; one longer text is a piece of its own.
+PIECE_BYTES = 8 << 20
 
 
 #: Words of Latin letters with at most a run of marks behind, for which every
@@ -112,12 +119,57 @@ class WordTokenizer:
         return b"".join(map(self.cache.__getitem__, words))[len(self.line_end):]
 
 
+    def encode_many(self, texts: pa.Array) -> Iterator[bytes]:
+        """``encode`` of every text, in order. The words of many texts are cut and numbered
+        by Arrow, each distinct one is looked up once, and ids are put together by number."""
+        size = np.asarray(pc.fill_null(pc.binary_length(texts), 0))
+        piece = np.cumsum(size) // PIECE_BYTES
+        edges = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(texts)]
+        for first, last in zip(edges, edges[1:]):
+            yield from self._piece(texts.slice(first, last - first))
+
+    def _piece(self, texts: pa.Array) -> Iterator[bytes]:
+        texts = pc.fill_null(texts, "")
+        if self.blanks:
+            whole = pc.match_substring_regex(texts, _UNEVEN)
+        else:
+            whole = pc.or_(pc.match_substring_regex(texts, _SEPARATORS.pattern), pc.match_substring_regex(texts, _COMBINING.pattern))
+        whole = np.asarray(pc.or_(whole, pc.equal(texts, "")))
+        cut = texts.filter(pa.array(~whole))
+        if self.blanks:
+            # Every line, the first too, begins with a line end, of which the first is none.
+            words = pc.split_pattern(pc.binary_join_element_wise("\n", pc.replace_substring(cut, "\n", " \n"), ""), " ")
+        else:
+            words = pc.ascii_split_whitespace(cut)
+        numbered = pc.list_flatten(words).dictionary_encode()
+        ids = [self.cache[w] if w else b"" for w in numbered.dictionary.to_pylist()]
+        length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        start = np.cumsum(length) - length
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        number = np.asarray(numbered.indices)
+        each = length[number]
+        ends = np.append(0, np.cumsum(each))
+        all_ids = flat[np.repeat(start[number] - ends[:-1], each) + np.arange(ends[-1])]
+        of_text = ends[np.append(0, np.cumsum(np.asarray(pc.list_value_length(words), dtype=np.int64)))]
+        skip, at = len(self.line_end) // 4, 0
+        for i, alone in enumerate(whole.tolist()):
+            if alone:
+                yield self.encode(texts[i].as_py())
+            else:
+                yield all_ids[of_text[at] + skip:of_text[at + 1]].tobytes()
+                at += 1
+
+
 #: White space for Python other than blank, tab and line ends; tokenizers differ in it.
 _SEPARATORS = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: Combining marks after white space would compose across a cut under NFC.
 _COMBINING = re.compile(r"\s[̀-ͯ҃-֑҇-ًؚ-ٰٟ᪰-᫿᷀-᷿⃐-⃿゙゚︠-︯]")
 
 
+#: Anything but single blanks and line ends between words.
+_UNEVEN = r"^[ \n]|[ \n]$|[ \n][ \n]|[\t\r]|" + _SEPARATORS.pattern
+
+
 @lru_cache(maxsize=2)
 def word_tokenizer(path: str, blanks: bool) -> WordTokenizer:
     """One per Python worker and vocabulary file, so that its cache outlives a task."""

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -26,8 +27,21 @@ def test_cached_words_equal_the_library(vocabulary, texts):
     path, blanks = vocabulary()
     mine = tokens.WordTokenizer(path, blanks, limit=5)  # both generations turn over
     whole = Tokenizer.from_file(path)
-    for text in texts * 2:
-        assert mine.encode(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    want = [np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes() for text in texts * 2]
+    assert [mine.encode(text) for text in texts * 2] == want
+    assert list(mine.encode_many(pa.array(texts * 2, pa.string()))) == want
+
+
+def test_texts_in_pieces(monkeypatch):
+    """Nulls, slices of a batch, and texts that fill pieces."""
+    monkeypatch.setattr(tokens, "PIECE_BYTES", 40)
+    path, blanks = tokens.byte_bpe()
+    texts = ["the cat sat on the mat " * 5, None, "", "one\ntwo words", " uneven ", "x", "long " * 30 + "end"] * 3
+    mine = tokens.WordTokenizer(path, blanks)
+    want = [library(path, t or "") for t in texts]
+    assert list(mine.encode_many(pa.array(texts, pa.string()))) == want
+    assert list(mine.encode_many(pa.array(texts, pa.string()).slice(4, 9))) == want[4:13]
+    assert list(mine.encode_many(pa.array([], pa.string()))) == []
 
 
 @settings(max_examples=60, deadline=None)
