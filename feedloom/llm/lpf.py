@@ -33,7 +33,7 @@ _BLOB = 2 << 20
 #: Surroundings of one anchor that are sorted in memory at most. An anchor with more
 #: has its windows compared by a shuffled aggregation instead.
 GROUP = 50_000
-_CHUNK = 20_000
+_CHUNK = 4_000
 #: A null id stands after all others.
 _LAST = (1 << 63) - 1
 
