@@ -35,7 +35,7 @@ def test_stages_take_an_empty_table(spark):
 
 def test_every_number_has_one_query():
     names = [n.split("_")[0] for n in queries.queries()]
-    assert sorted(names) == sorted(f"op{n}" for n in range(1, 11))
+    assert sorted(names) == sorted(f"op{n}" for n in range(1, 14))
     assert set(queries.oracle_sql()) <= set(queries.queries())
 
 
