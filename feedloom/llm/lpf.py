@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import byte_texts, ids_and_texts, release
@@ -137,15 +137,6 @@ def _owners(bounds: np.ndarray, place: np.ndarray) -> np.ndarray:
     return np.searchsorted(bounds, place, side="right") - 1
 
 
-def _ids_per_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h, id, top, more): which documents have an anchor."""
-    for rows, blob, bounds in _blobs(batches):
-        place, h = anchors(blob, bounds)
-        ids = np.array([r["id"] for r in rows], np.int64)[_owners(bounds, place)]
-        (h,), columns = _per_key(ids, h.view(np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(h), *columns], ["h", "id", "top", "more"])
-
-
 def _each_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (id, more, …) to one row per document."""
     for batch in batches:
@@ -201,14 +192,13 @@ class _Places:
 
 
 def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h, c, id, more): which documents have a shared anchor with the surroundings c."""
+    """(h, c, id, top, more): which documents have an anchor with the surroundings c."""
     for rows, blob, bounds in _blobs(batches):
         found = _Places(blob, bounds)
-        found.only(np.isin(_tagged(found.h, found.row), _asked(rows, "keys")))
         found.measure()
         ids = np.array([r["id"] for r in rows], np.int64)[found.row]
-        (h, c), (first, _, more) = _per_key(ids, found.h, found.code)
-        yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(c), first, more], ["h", "c", "id", "more"])
+        (h, c), columns = _per_key(ids, found.h, found.code)
+        yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(c), *columns], ["h", "c", "id", "top", "more"])
 
 
 def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -439,8 +429,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     All strings are those of the input, and none crosses documents.
 
     Whole copies of an earlier text go without any search. Of the rest, the texts
-    are written once, bucketed by id, so that asking documents for their anchors
-    shuffles only the anchors. An anchor's surroundings that an earlier document has
+    are written once, bucketed by id, so that asking documents for surroundings
+    shuffles only what is asked for. An anchor's surroundings that an earlier document has
     in full are covered at once; only the first of each kind, where an anchor has
     several, are compared byte by byte in suffix order. Ids are combined before every
     shuffle to one row per anchor and some megabytes of text, so an anchor that a
@@ -478,40 +468,42 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "id", "text").write.option("compression", "zstd").bucketBy(buckets, "id").option("path", scratch_path(spark, "texts")).saveAsTable(name)
     texts = spark.table(name)
 
+    spark.sql(f"DROP TABLE {name}")  # the entry alone: the files are not the catalog's
+
+    # Anchors are looked for once. A hot one leaves a task as one row, and the joins
+    # meet written tables, so that Spark can split what one key has too much of.
     release(spark)
-    by_anchor, by_kind = Window.partitionBy("h"), Window.partitionBy("h", "c")
-    keyed = texts.mapInArrow(_ids_per_key, "h long, id long, top long, more binary")
-    shared = keyed.withColumn("least", F.min("id").over(by_anchor)).withColumn(
-        "most", F.max(F.coalesce("top", "id")).over(by_anchor)).where("least < most").select("h", "id", "more")
-    place = scratch_path(spark, "anchors")
-    shared.mapInArrow(_each_id, "id long, h long").write.parquet(place)
-    shared = spark.read.schema("id long, h long").parquet(place)
+    texts.mapInArrow(_surroundings, "h long, c long, id long, top long, more binary").write.parquet(at := scratch_path(spark, "keyed"))
+    keyed = spark.read.schema("h long, c long, id long, top long, more binary").parquet(at)
+    last = F.max(F.coalesce("top", "id"))
+    shared = materialize(keyed.groupBy("h").agg(F.min("id").alias("least"), last.alias("most"), (F.min("c") < F.max("c")).alias("mixed")).where(
+        "least < most").select("h", "least", "mixed"), "anchors")
+    around = materialize(keyed.join(shared, "h"), "kinds")
+    delete_path(spark, at)
     release(spark)
 
-    # One shuffle by anchor serves its kinds of surroundings and the anchor itself.
-    around = texts.join(_keys_by_document(shared, "h"), "id").mapInArrow(_surroundings, "h long, c long, id long, more binary")
-    kinds = around.repartition("h").withColumn("first", F.min("id").over(by_kind)).withColumn(
-        "kind", F.dense_rank().over(by_anchor.orderBy("c"))).withColumn("kinds", F.max("kind").over(by_anchor)).drop("kind")
-    kinds.write.parquet(at := scratch_path(spark, "kinds"))
-    kinds = spark.read.schema(kinds.schema).parquet(at)
-    delete_path(spark, place)
-    release(spark)
-    whole = kinds.mapInArrow(_each_id, "id long, h long, c long, first long, kinds int").where("first < id").select("id", "c")
-    several = kinds.where("kinds > 1 AND first = id").select("id", "h", "c", "kinds").distinct()
+    # Where an anchor has one kind of surroundings, its first document is theirs.
+    mixed = around.where("mixed")
+    kinds = materialize(mixed.groupBy("h", "c").agg(F.min("id").alias("first"), last.alias("last")), "mixed")
+    again = mixed.select("h", "c", "id", "more").join(kinds.where("first < last").select("h", "c", "first"), ["h", "c"])
+    whole = around.where("NOT mixed").select("c", "id", "more", F.col("least").alias("first")).unionByName(
+        again.select("c", "id", "more", "first")).mapInArrow(_each_id, "id long, c long, first long").where("first < id").select("id", "c")
+    several = kinds.select(F.col("first").alias("id"), "h", "c")
+    # At most one anchor per ``group`` kinds.
+    crowds = materialize(kinds.groupBy("h").count().where(F.col("count") > group).select("h"), "crowds")
 
     def contents(pairs: DataFrame) -> DataFrame:
         return texts.join(_keys_by_document(pairs, "h", "c"), "id").mapInArrow(
             _contents, "h long, c long, id long, low int, high int, around binary")
 
-    few = contents(several.where(F.col("kinds") <= group)).repartition("h").sortWithinPartitions("h").mapInArrow(_sorted_groups, _PART)
-    part = few.unionByName(_crowded(contents(several.where(F.col("kinds") > group))))
+    few = contents(several.join(crowds, "h", "left_anti")).repartition("h").sortWithinPartitions("h").mapInArrow(_sorted_groups, _PART)
+    part = few.unionByName(_crowded(contents(several.join(crowds, "h", "left_semi"))))
     decisions = whole.withColumn("starts", F.lit(None).cast("binary")).unionByName(part.select("id", "c", "starts"))
     full = F.col("starts").isNull()
     decided = decisions.groupBy("id").agg(
         F.collect_list(F.when(full, F.col("c"))).alias("whole"), F.collect_list(F.when(~full, F.struct("c", "starts"))).alias("part")).select(
         "id", "whole", F.col("part.c").alias("part"), F.col("part.starts").alias("starts"))
     decided = materialize(decided.mapInArrow(_packed_decisions, "id long, whole binary, part binary, starts array<binary>"), "decided")
-    delete_path(spark, at)
     release(spark)
     result = texts.join(decided, "id", "left").mapInArrow(_removed, _RESULT)
     return result.unionByName(copies).unionByName(short)
