@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import byte_texts, ids_and_texts
+from feedloom.session import materialize
 
 #: A passage counts if at most this share of the item's words is edited.
 EDITS = 0.2
@@ -300,4 +301,4 @@ def without_passages(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     """The rows of ``docs`` whose document has no passage of any item. Rows with a
     null id cannot be told apart and stay."""
     found = find_passages(docs, items, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias("_leaky")).distinct()
-    return docs.join(found, F.col(id_col) == F.col("_leaky"), "left_anti")
+    return docs.join(materialize(found, "leaky"), F.col(id_col) == F.col("_leaky"), "left_anti")

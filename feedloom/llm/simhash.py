@@ -141,4 +141,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     groups = near_duplicates(docs, id_col, text_col)
     kept = F.max(F.col("doc_id") == F.col("component_id"))
     gone = groups.groupBy("doc_id").agg(kept.alias("kept")).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    # Written first: Spark then knows their size, and texts need not move for a few ids.
+    return docs.join(materialize(gone, "gone"), F.col(id_col) == F.col("_gone"), "left_anti")

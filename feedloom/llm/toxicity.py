@@ -397,4 +397,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
         F.coalesce(F.col("doc_id").cast("string"), "unnamed").alias("_toxic")).distinct()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     key = F.coalesce(F.col(id_col).cast("long").cast("string"), F.sha2(text, 256))  # a digest has 64 signs, an id 20 at most
-    return docs.join(toxic, key == F.col("_toxic"), "left_anti")
+    return docs.join(materialize(toxic, "toxic"), key == F.col("_toxic"), "left_anti")
