@@ -449,8 +449,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # Short texts travel with their keys: nothing is ever removed from them.
     narrow = materialize(rows.select(
         "id", "sha", F.octet_length("text").alias("n"), F.when(F.octet_length("text") < LENGTH, F.col("text")).alias("short")), "copies")
-    firsts = narrow.groupBy("sha").agg(F.min("id").alias("first"))
-    long = narrow.where(F.col("short").isNull()).select("id", "sha", "n").join(firsts, "sha")
+    # One row per text that several rows have, written: a join with it can be split.
+    firsts = materialize(narrow.where(F.col("short").isNull()).groupBy("sha").agg(F.min("id").alias("least"), F.count("*").alias("rows")).where(
+        "rows > 1").select("sha", "least"), "firsts")
+    long = narrow.where(F.col("short").isNull()).select("id", "sha", "n").join(firsts, "sha", "left").withColumn(
+        "first", F.coalesce("least", "id")).drop("least")
     short = narrow.where(F.col("short").isNotNull()).select(
         F.when(F.col("id") != _LAST, F.col("id")).alias("doc_id"), F.col("n").cast("long").alias("n_bytes"),
         F.expr("cast(array() as array<struct<start: bigint, end: bigint>>)").alias("spans"), F.col("short").cast("binary").alias("kept"),
@@ -478,6 +481,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     last = F.max(F.coalesce("top", "id"))
     shared = materialize(keyed.groupBy("h").agg(F.min("id").alias("least"), last.alias("most"), (F.min("c") < F.max("c")).alias("mixed")).where(
         "least < most").select("h", "least", "mixed"), "anchors")
+    release(spark)
     around = materialize(keyed.join(shared, "h"), "kinds")
     delete_path(spark, at)
     release(spark)
@@ -491,13 +495,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     several = kinds.select(F.col("first").alias("id"), "h", "c")
     # At most one anchor per ``group`` kinds.
     crowds = materialize(kinds.groupBy("h").count().where(F.col("count") > group).select("h"), "crowds")
+    release(spark)
 
     def contents(pairs: DataFrame) -> DataFrame:
         return texts.join(_keys_by_document(pairs, "h", "c"), "id").mapInArrow(
             _contents, "h long, c long, id long, low int, high int, around binary")
 
     few = contents(several.join(crowds, "h", "left_anti")).repartition("h").sortWithinPartitions("h").mapInArrow(_sorted_groups, _PART)
-    part = few.unionByName(_crowded(contents(several.join(crowds, "h", "left_semi"))))
+    part = materialize(few.unionByName(_crowded(contents(several.join(crowds, "h", "left_semi")))), "part")
+    release(spark)
     decisions = whole.withColumn("starts", F.lit(None).cast("binary")).unionByName(part.select("id", "c", "starts"))
     full = F.col("starts").isNull()
     decided = decisions.groupBy("id").agg(
