@@ -34,6 +34,8 @@ _BLOB = 2 << 20
 #: has its windows compared by a shuffled aggregation instead.
 GROUP = 50_000
 _CHUNK = 4_000
+#: Anchors are counted in so many shares, so that the shuffles of one are on disk at a time.
+_SHARES = 4
 #: A null id stands after all others.
 _LAST = (1 << 63) - 1
 
@@ -479,12 +481,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts.mapInArrow(_surroundings, "h long, c long, id long, top long, more binary").write.parquet(at := scratch_path(spark, "keyed"))
     keyed = spark.read.schema("h long, c long, id long, top long, more binary").parquet(at)
     last = F.max(F.coalesce("top", "id"))
-    shared = materialize(keyed.groupBy("h").agg(F.min("id").alias("least"), last.alias("most"), (F.min("c") < F.max("c")).alias("mixed")).where(
-        "least < most").select("h", "least", "mixed"), "anchors")
-    release(spark)
-    around = materialize(keyed.join(shared, "h"), "kinds")
+    paths = []
+    for share in range(_SHARES):
+        mine = keyed.where(F.pmod(F.shiftright("h", 1), F.lit(_SHARES)) == share)
+        shared = materialize(mine.groupBy("h").agg(F.min("id").alias("least"), last.alias("most"), (F.min("c") < F.max("c")).alias("mixed")).where(
+            "least < most").select("h", "least", "mixed"), "anchors")
+        release(spark)
+        paths.append(scratch_path(spark, "kinds"))
+        mine.join(shared, "h").select("h", "c", "id", "top", "more", "least", "mixed").write.parquet(paths[-1])
+        release(spark)
+    around = spark.read.schema("h long, c long, id long, top long, more binary, least long, mixed boolean").parquet(*paths)
     delete_path(spark, at)
-    release(spark)
 
     # Where an anchor has one kind of surroundings, its first document is theirs.
     mixed = around.where("mixed")
