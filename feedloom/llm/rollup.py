@@ -81,10 +81,13 @@ class TokenRollup:
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/commits")
         return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()), folder
 
-    def current(self) -> DataFrame:
-        """The ledger's rows that stand: those whose signs do not cancel out. A row
-        that was inserted twice stands twice."""
-        net = self._read("ledger", _LEDGER).groupBy("doc_id", *_KEYS, "tokens").agg(F.sum("sign").alias("times"))
+    def current(self, ids: DataFrame | None = None) -> DataFrame:
+        """The ledger's rows that stand, of ``ids`` if given: those whose signs do not
+        cancel out. A row that was inserted twice stands twice."""
+        ledger = self._read("ledger", _LEDGER)
+        if ids is not None:
+            ledger = ledger.join(ids, "doc_id", "left_semi")
+        net = ledger.groupBy("doc_id", *_KEYS, "tokens").agg(F.sum("sign").alias("times"))
         return net.where("times > 0").withColumn("times", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).drop("times")
 
     def commit(
@@ -109,8 +112,9 @@ class TokenRollup:
         gone = [frame.select("doc_id") for frame in (deletes, revisions) if frame is not None]
         if gone:
             ids = gone[0] if len(gone) == 1 else gone[0].unionByName(gone[1])
-            parts.append(self.current().join(ids.distinct(), "doc_id", "left_semi").select(
-                "doc_id", *_KEYS, "tokens", F.lit(-1).alias("sign")))
+            # Written, so that Spark knows how small the batch is beside the ledger.
+            ids = materialize(ids.distinct(), "gone")
+            parts.append(self.current(ids).select("doc_id", *_KEYS, "tokens", F.lit(-1).alias("sign")))
         rows = self.spark.createDataFrame([], _LEDGER)
         for part in parts:
             rows = rows.unionByName(part)
