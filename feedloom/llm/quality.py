@@ -140,6 +140,16 @@ def train(stats: DataFrame, labels: DataFrame, label_col: str, parts: int, part:
     both labels the model is their share alone (none: 0.5)."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
     known = known.where(F.col("y").isin(0, 1) & ~held_out("doc_id", parts, part))
+    # Statistics of chosen rows alone come together: hashes are counted by their upper 16
+    # bits, and what lies beyond the rows asked for is left out before anything is sorted.
+    upper = F.shiftright(F.xxhash64("doc_id"), 48)
+    counts = known.join(stats.select("doc_id"), "doc_id").groupBy(upper.alias("upper")).count().collect()
+    total = 0
+    for last, count in sorted(map(tuple, counts)):
+        total += count
+        if total >= rows:
+            known = known.where(upper <= last)
+            break
     sample = stats.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(rows).select("x", "y").toPandas()
     x = np.stack(sample["x"].to_list()) if len(sample) else np.empty((0, len(FEATURES)))
     return BoostedTrees.fit(x, sample["y"].to_numpy(np.float64))
