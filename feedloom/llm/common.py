@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import hashlib
 import time
 
 import pyarrow as pa
@@ -24,6 +25,18 @@ def ids_and_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
+def name_of(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """The id of a row as text; without an id the SHA-256 of its text, which has 64
+    signs, where an id has 20 at most. A null text counts as empty."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
+    return F.coalesce(F.col(id_col).cast("long").cast("string"), F.sha2(text, 256))
+
+
+def unnamed(doc_ids: list, texts: list[bytes]) -> pa.Array:
+    """What ``name_of`` says of rows without an id; null for the others."""
+    return pa.array([hashlib.sha256(t).hexdigest() if i is None else None for i, t in zip(doc_ids, texts)], pa.string())
+
+
 def held_out(id_col: str, parts: int, part: int) -> Column:
     """Whether a row belongs to the held-out fold; a null id does not."""
     fold = F.crc32(F.col(id_col).cast("string").cast("binary")) % parts

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import byte_texts, ids_and_texts
+from feedloom.llm.common import byte_texts, ids_and_texts, name_of, unnamed
 from feedloom.session import materialize
 
 #: A passage counts if at most this share of the item's words is edited.
@@ -233,7 +233,7 @@ class Items:
         return out
 
 
-_SCHEMA = "doc_id long, item_id long, distance int, item_words int, start long, end long"
+_SCHEMA = "doc_id long, item_id long, distance int, item_words int, start long, end long, unnamed string"
 
 
 def _scan(items: Items):
@@ -242,11 +242,13 @@ def _scan(items: Items):
         parts = [np.fromiter(map(get, words, repeat(0)), np.int64, len(words)) for words in map(words_of, texts)]
         doc = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
         rows = items.matches(np.concatenate(parts) if parts else np.empty(0, np.int64), doc)
-        columns = [[doc_ids[r[0]] for r in rows], [items.ids[r[1]] for r in rows], [r[2] for r in rows],
+        ids = [doc_ids[r[0]] for r in rows]
+        columns = [ids, [items.ids[r[1]] for r in rows], [r[2] for r in rows],
                    [len(items.words[r[1]]) for r in rows], [r[3] for r in rows], [r[4] for r in rows]]
         types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types)], ["doc_id", "item_id", "distance", "item_words", "start", "end"])
+            [*(pa.array(c, t) for c, t in zip(columns, types)), unnamed(ids, [texts[r[0]] for r in rows])],
+            ["doc_id", "item_id", "distance", "item_words", "start", "end", "unnamed"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -267,10 +269,11 @@ def find_passages(
     docs: DataFrame, items: DataFrame, edits: float = EDITS, recall: float = RECALL, group_bytes: int = GROUP_BYTES,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
-    """(doc_id, item_id, distance, item_words, start, end) per document row and item
-    of which the document has a passage within ``edits`` times the item's words;
+    """(doc_id, item_id, distance, item_words, start, end, unnamed) per document row and
+    item of which the document has a passage within ``edits`` times the item's words;
     ``start`` and ``end`` count the document's words, ``distance`` is the exact
-    least word edit distance there.
+    least word edit distance there, ``unnamed`` the SHA-256 of the text of a row
+    without an id.
 
     Words are lower-cased and lose marks at their ends. An exact count filter on
     q-grams leaves the windows that can match at all; CGK walks then find those
@@ -299,6 +302,8 @@ def find_passages(
 
 def without_passages(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose document has no passage of any item. Rows with a
-    null id cannot be told apart and stay."""
-    found = find_passages(docs, items, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias("_leaky")).distinct()
-    return docs.join(materialize(found, "leaky"), F.col(id_col) == F.col("_leaky"), "left_anti")
+    null id are judged by their text; of documents with the same id, one passage
+    removes all."""
+    found = find_passages(docs, items, id_col=id_col, text_col=text_col).select(
+        F.coalesce(F.col("doc_id").cast("string"), "unnamed").alias("_leaky")).distinct()
+    return docs.join(materialize(found, "leaky"), name_of(id_col, text_col) == F.col("_leaky"), "left_anti")

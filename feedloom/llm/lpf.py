@@ -535,8 +535,12 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``docs`` with repeated passages taken out of its texts and ``length_col`` set to
     the new number of characters. Bytes of a character that was cut through go too;
     a document of which nothing is left goes. Of rows with the same id each gets the
-    remainder of its own text; rows with a null id stay as they are."""
-    found = remove_repeats(docs.where(F.col(id_col).isNotNull()), id_col, text_col)
+    remainder of its own text. Rows with a null id are documents named by a hash of
+    their text, which comes after all ids below 2 to the 62nd."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    number = F.shiftrightunsigned(F.xxhash64(text), 2) + F.lit(1 << 62)
+    key = F.coalesce(F.col(id_col).cast("long"), number)
+    found = remove_repeats(docs.select(key.alias("doc_id"), text.alias("text")))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -547,7 +551,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     changed = found.where(F.size("spans") > 0).select("doc_id", "changed", "kept").mapInArrow(decode, "_id long, _sha string, _text string")
     changed = materialize(changed.groupBy("_id", "_sha").agg(F.max("_text").alias("_text")), "changed")
     sha = F.sha2(F.col(text_col).cast("string").cast("binary"), 256)
-    out = docs.join(changed, (F.col(id_col) == F.col("_id")) & (sha == F.col("_sha")), "left").where(F.col("_text").isNull() | (F.col("_text") != ""))
+    out = docs.join(changed, (key == F.col("_id")) & (sha == F.col("_sha")), "left").where(F.col("_text").isNull() | (F.col("_text") != ""))
     now = F.coalesce("_text", F.col(text_col))
     columns = []
     for c in docs.columns:

@@ -18,7 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, folder, "documents"))
+    return simhash.near_duplicates(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
@@ -38,7 +38,7 @@ def op5_repeats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return decontaminate.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return decontaminate.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("unnamed")
 
 
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import byte_texts, ids_and_texts
+from feedloom.llm.common import byte_texts, ids_and_texts, name_of, unnamed
 from feedloom.llm.components import connected_components
 from feedloom.session import materialize
 
@@ -54,13 +54,16 @@ def fingerprint(text: bytes, size: int = SHINGLE, seed: int = SEED) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        codes = np.array([fingerprint(t) for t in byte_texts(batch)], dtype=np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(codes)], ["doc_id", "code"])
+        texts = byte_texts(batch)
+        codes = np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64)
+        names = unnamed(batch.column("doc_id").to_pylist(), texts)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(codes), names], ["doc_id", "code", "unnamed"])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, code) per row of ``docs``; ``code`` holds the 64 bits as a long."""
-    return ids_and_texts(docs, id_col, text_col).mapInArrow(_fingerprints, "doc_id long, code long")
+    """(doc_id, code, unnamed) per row of ``docs``; ``code`` holds the 64 bits as a long,
+    ``unnamed`` is the SHA-256 of the text of a row without an id."""
+    return ids_and_texts(docs, id_col, text_col).mapInArrow(_fingerprints, "doc_id long, code long, unnamed string")
 
 
 def _octet(code: Column, place: int) -> Column:
@@ -113,33 +116,37 @@ def links(codes: DataFrame, list_length: int = LIST_LENGTH) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", list_length: int = LIST_LENGTH
 ) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row of ``docs``.
+    """(doc_id, fingerprint, component_id, unnamed, first_unnamed) for every row of ``docs``.
 
     ``component_id`` is the smallest id among the documents that can be reached by
     links. Null and empty texts and texts without words have fingerprint 0 and
     link like any other; repeated rows stay repeated and share a component; a null
-    id keeps its row and is never the smallest id (all ids null: null). Only one
-    row per fingerprint takes part in the search, so large groups of copies cost
+    id keeps its row and is never the smallest id (all ids null: null). ``unnamed``
+    is the SHA-256 of the text of a row without an id, ``first_unnamed`` the least of
+    the component. Only one row per fingerprint takes part in the search, so large groups of copies cost
     nothing there. An empty table gives an empty result; further columns of
     ``docs`` are not looked at.
     """
     codes = materialize(fingerprints(docs, id_col, text_col), "codes")
-    distinct = materialize(codes.groupBy("code").agg(F.min("doc_id").alias("first_id")), "distinct")
+    least = codes.groupBy("code").agg(F.min("doc_id").alias("first_id"), F.min("unnamed").alias("first_unnamed"))
+    distinct = materialize(least, "distinct")
     groups = connected_components(links(distinct.select("code"), list_length))
     labelled = distinct.join(groups, distinct.code == groups.node, "left").select(
-        "code", "first_id", F.coalesce("component", "code").alias("component"))
-    firsts = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = labelled.join(firsts, "component").select("code", "component_id")
+        "code", "first_id", "first_unnamed", F.coalesce("component", "code").alias("component"))
+    firsts = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"), F.min("first_unnamed").alias("first_unnamed"))
+    named = labelled.select("code", "component").join(firsts, "component").select("code", "component_id", "first_unnamed")
     return codes.join(named, "code").select(
-        "doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id", "unnamed", "first_unnamed")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without later near-duplicates: of each group the
-    document with the smallest id stays. Rows of one id stay or go together; rows
-    with a null id cannot be told apart and stay."""
+    document with the smallest id stays. Rows of one id stay or go together. Rows
+    with a null id come after all ids and are told apart by their text: of a group
+    without any id the rows with the text of least SHA-256 stay."""
     groups = near_duplicates(docs, id_col, text_col)
-    kept = F.max(F.col("doc_id") == F.col("component_id"))
-    gone = groups.groupBy("doc_id").agg(kept.alias("kept")).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
+    first = F.coalesce(F.col("component_id").cast("string"), "first_unnamed")
+    name = F.coalesce(F.col("doc_id").cast("string"), "unnamed")
+    gone = groups.groupBy(name.alias("_gone")).agg(F.max(name == first).alias("kept")).where(~F.col("kept")).select("_gone")
     # Written first: Spark then knows their size, and texts need not move for a few ids.
-    return docs.join(materialize(gone, "gone"), F.col(id_col) == F.col("_gone"), "left_anti")
+    return docs.join(materialize(gone, "gone"), name_of(id_col, text_col) == F.col("_gone"), "left_anti")

@@ -7,7 +7,6 @@ each token's probability, the spans, and the document's score.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -17,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import byte_texts, held_out, ids_and_texts
+from feedloom.llm.common import byte_texts, held_out, ids_and_texts, name_of, unnamed
 from feedloom.session import materialize
 
 #: Labelled documents of each label that the model is fitted on at most: those with
@@ -350,7 +349,7 @@ def tag(docs: DataFrame, tagger: Tagger, id_col: str = "doc_id", text_col: str =
         spans = [_spans(t, p[a:b]) for t, a, b in zip(texts, bounds[:-1].tolist(), bounds[1:].tolist())]
         return pa.RecordBatch.from_arrays(
             [pa.array(doc_ids, pa.int64()), pa.array(scores, pa.float64()), pa.array(spans, pa.list_(_SPAN)),
-             pa.array([hashlib.sha256(t).hexdigest() if i is None else None for i, t in zip(doc_ids, texts)], pa.string())],
+             unnamed(doc_ids, texts)],
             ["doc_id", "score", "spans", "unnamed"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -395,6 +394,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     scores = tag(docs, train(docs, labels, id_col=id_col, text_col=text_col), id_col, text_col)
     toxic = scores.where(F.col("score") >= PREDICTED_FROM).select(
         F.coalesce(F.col("doc_id").cast("string"), "unnamed").alias("_toxic")).distinct()
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    key = F.coalesce(F.col(id_col).cast("long").cast("string"), F.sha2(text, 256))  # a digest has 64 signs, an id 20 at most
-    return docs.join(materialize(toxic, "toxic"), key == F.col("_toxic"), "left_anti")
+    return docs.join(materialize(toxic, "toxic"), name_of(id_col, text_col) == F.col("_toxic"), "left_anti")

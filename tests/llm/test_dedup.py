@@ -79,12 +79,24 @@ def test_keep_one(docs):
     text = " ".join(f"w{i}" for i in range(400))
     rows = [(5, text), (3, text), (9, text), (4, "other words here"), (7, None), (6, ""), (None, text), (3, text), (9, "its second text")]
     kept = simhash.keep_one(docs(rows)).collect()
-    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [3, 3, 4, 6, 9, 9]
-    assert [r.text for r in kept if r.doc_id is None] == [text]
+    assert sorted(r.doc_id for r in kept) == [3, 3, 4, 6, 9, 9]
     assert kept[0].asDict().keys() == {"doc_id", "text", "lang", "source", "n_chars"}
     assert simhash.keep_one(docs([])).count() == 0
 
 
+def test_keep_one_without_ids(docs):
+    """Rows without an id go for those with one; among themselves one text stays."""
+    words = [f"w{i}" for i in range(4000)]
+    near = " ".join(words), " ".join(words[:-1] + ["end"])
+    assert bin(simhash.fingerprint(near[0].encode()) ^ simhash.fingerprint(near[1].encode())).count("1") <= simhash.MAX_BITS
+    least = min(near, key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    lone = "a text of its own"
+    kept = simhash.keep_one(docs([(None, near[0]), (None, near[1]), (None, near[1]), (None, near[0]), (None, lone)])).collect()
+    assert Counter(r.text for r in kept) == {least: 2, lone: 1}
+    kept = simhash.keep_one(docs([(None, near[0]), (8, near[1]), (None, lone), (None, ""), (None, None)])).collect()
+    assert Counter((r.doc_id, r.text or "") for r in kept) == {(8, near[1]): 1, (None, lone): 1, (None, ""): 2}
+
+
 def plain_repeats(rows):
     last = lpf._LAST
     texts = [(last if i is None else i, (t or "").encode()) for i, t in rows]
@@ -164,11 +176,22 @@ def test_cut_repeats_keeps_columns_and_characters(docs):
     passage = "".join(chr(233 + i % 9) + "q" for i in range(60))
     rows = [(1, passage), (2, "begin " + passage + " end"), (3, passage), (4, "short"), (None, passage)]
     out = {r.doc_id: r for r in lpf.without_repeats(docs(rows)).collect()}
-    assert out[1].text == passage and out[4].text == "short" and out[None].text == passage
+    assert out[1].text == passage and out[4].text == "short" and None not in out
     assert out[2].text == "begin  end" and out[2].n_chars == 10
     assert 3 not in out
 
 
+def test_cut_repeats_without_ids(docs):
+    """Rows without an id come after all ids and after one another by their texts."""
+    passage, other = "".join(f"p{i} " for i in range(60)), "".join(f"other{i} " for i in range(30))
+    rows = [(None, "A" + other), (None, other + "B"), (None, passage + "C"), (5, passage), (None, "plain"), (None, "plain"), (None, None)]
+    out = [(r.doc_id, r.text) for r in lpf.without_repeats(docs(rows)).collect()]
+    rest = [t for i, t in out if i is None]
+    assert Counter(rest) - Counter(["A" + other, other + "B", "A", "B"]) == Counter(["C", "plain", "plain", None])
+    assert (5, passage) in out and sorted(t for t in rest if t and t not in ("C", "plain")) in (["A", other + "B"], ["A" + other, "B"])
+    assert len(out) == 7
+
+
 def test_cut_repeats_gives_rows_of_one_id_their_own_texts(docs):
     passage, other = "".join(f"p{i} " for i in range(60)), "".join(f"other{i} " for i in range(30))
     rows = [(1, passage), (9, "begin " + passage + "end"), (9, other), (9, "short"), (8, passage), (8, "own " + other[:40]), (7, "x" + passage), (7, passage + "y")]
