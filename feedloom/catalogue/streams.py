@@ -17,8 +17,14 @@ from feedloom.streaming import landing
 _EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
 
 
+def _table_stream(spark, d, name, schema):
+    """A table as a landing place, be it one file or a folder of files: a pattern may
+    name either, the plain path of a stream only a folder."""
+    return landing.read_landing(spark, f"{d}/{name}.parque[t]", schema)
+
+
 def _event_stream(spark, d):
-    return landing.read_landing(spark, d, _EVENTS, pathGlobFilter="events.parquet")
+    return _table_stream(spark, d, "events", _EVENTS)
 
 
 def _new_layer(spark):
@@ -53,7 +59,7 @@ def stream_embed(spark, d):
     ledger = catalog.create_table(spark, EMBEDDED_POSTS, f"{layer}.{EMBEDDED_POSTS.name}")
     embedder = HashingEmbedder.fit(table(spark, d, "documents"), "text")
     index = vector_table(spark, scratch_path(spark, "vectors"))
-    docs = landing.read_landing(spark, d, "doc_id bigint, text string", pathGlobFilter="documents.parquet")
+    docs = _table_stream(spark, d, "documents", "doc_id bigint, text string")
     posts = docs.select(
         F.col("doc_id").cast("string").alias("id"), F.lit("/doc").alias("link"), first_line("text").alias("title"),
         F.lit("2024-01-01").cast("timestamp_ntz").alias("published"), F.col("text").alias("content_text"),

@@ -23,3 +23,11 @@ def test_query(spark, con, name):
 
 def test_every_sql_has_a_query():
     assert set(catalogue.oracle_sql()) <= set(catalogue.queries())
+
+
+@pytest.mark.parametrize("name", ["stream_stage", "stream_dedupe", "stream_embed"])
+def test_streams_over_table_folders(spark, con, tmp_path, name):
+    for table in ("events", "documents"):
+        spark.read.parquet(f"{FOLDER}/{table}.parquet").repartition(3).write.parquet(str(tmp_path / f"{table}.parquet"))
+    ok, note = compare(spark, con, str(tmp_path), name)
+    assert ok, note
