@@ -6,12 +6,14 @@ import datetime as dt
 import uuid
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from feedloom import catalog
 from feedloom.catalogue.base import table
 from feedloom.catalogue.pages import VISIBLE, unescaped
+from feedloom.functions.html import pieces
 from feedloom.operators import entries as ent
 from feedloom.plans import feed_etl
 from feedloom.schemas import FLAT_POSTS, LOAD_COUNTS
@@ -59,16 +61,20 @@ def _item_text():
     )
 
 
+def _line(text):
+    return pa.RecordBatch.from_pydict({"value": pa.array([text], pa.string())})
+
+
 def _as_feed(items):
     """Lines of feed documents, one document per partition, bodies in CDATA."""
     lines = items.select(_item_text().alias("value"))
 
     def wrap(batches):
-        yield pd.DataFrame({"value": [f'<rss version="2.0" xmlns:content="{CONTENT}"><channel><title>all</title>']})
+        yield _line(f'<rss version="2.0" xmlns:content="{CONTENT}"><channel><title>all</title>')
         yield from batches
-        yield pd.DataFrame({"value": ["</channel></rss>"]})
+        yield _line("</channel></rss>")
 
-    return lines.mapInPandas(wrap, "value string")
+    return lines.mapInArrow(wrap, "value string")
 
 
 def feed_xml(spark, d):
@@ -240,12 +246,13 @@ def _json_arrays(df, folder, mode="errorifexists"):
     def wrap(batches):
         opening = "["
         for batch in batches:
-            if len(batch):
-                yield pd.DataFrame({"value": [opening + batch["value"].iloc[0], *("," + batch["value"].iloc[1:])]})
+            for some in pieces(batch.column(0)):
+                marks = pa.array([opening] + [","] * (len(some) - 1))
+                yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(marks, some, "")], ["value"])
                 opening = ","
-        yield pd.DataFrame({"value": ["]" if opening == "," else "[]"]})
+        yield _line("]" if opening == "," else "[]")
 
-    lines.mapInPandas(wrap, "value string").write.mode(mode).text(folder)
+    lines.mapInArrow(wrap, "value string").write.mode(mode).text(folder)
 
 
 def entries_array(spark, d):
