@@ -30,12 +30,19 @@ def html_page_paragraphs(spark, d):
     return parsed.select("page_id", F.array_join("p.paragraphs", "\n\n").alias("content"))
 
 
+def _dealt(rows):
+    """Short rows of which long pages are made: a small file is read by one task, and the
+    parsing of its pages goes to all of them."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def html_images(spark, d):
     """Every part as a small product page: a sized image, one without source,
     one with a relative width."""
     page = F.expr("""concat('<div><p>', p_name, '</p><img src="/img/', p_partkey, '.png" width="', p_size,
         '" height="', p_retailprice, '"><img alt="none"><img src="/b/', p_partkey, '" width="100%"></div>')""")
-    parsed = table(spark, d, "part").select("p_partkey", parts_of_html(page, "images").alias("p"))
+    parts = _dealt(table(spark, d, "part").select("p_partkey", "p_name", "p_size", "p_retailprice"))
+    parsed = parts.select("p_partkey", parts_of_html(page, "images").alias("p"))
     rows = parsed.select("p_partkey", F.inline("p.images")).na.drop(subset=["src"])
     return rows.withColumns({"width": lenient_int("width"), "height": lenient_int("height")})
 
@@ -46,7 +53,8 @@ def html_authors(spark, d):
     page = F.expr("""concat('<p>Intro</p><h3>About the Authors</h3><p><img src="/a/', c_custkey, '.png"><strong>',
         c_name, '</strong> works in <b>', c_mktsegment, '</b> &amp; likes ', c_name, '.</p><p>No name</p><div><p><strong>x</strong>',
         '<img src="y"></p></div><p><strong>No image</strong> here</p><p><img src="/z.png"><strong> Z </strong>end</p>')""")
-    parsed = table(spark, d, "customer").select("c_custkey", parts_of_html(page, "authors").alias("p"))
+    people = _dealt(table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment"))
+    parsed = people.select("c_custkey", parts_of_html(page, "authors").alias("p"))
     rows = parsed.select("c_custkey", F.inline("p.authors")).na.drop(subset=["name", "image"])
     return rows.withColumn("bio", author_bio())
 
