@@ -78,3 +78,20 @@ def test_many_triples(spark, repeat):
     text = json.dumps({"knowledge_graph": [dict(entity1=a, relationship=r, entity2=b) for a, r, b in triples]})
     df = spark.createDataFrame([("p", text)], "post_id string, kg_json string")
     assert {(r.src, r.dst): r.label for r in graph.knowledge_edges(df).collect()} == {(a, b): r for a, r, b in triples}
+
+
+def test_edges_of_many_wide_posts_are_counted_in_a_matrix(spark, monkeypatch):
+    """Wide posts with more pairs than their terms have, beside small ones with terms of
+    the wide ones, with others and with both; pairs are joined nowhere."""
+    monkeypatch.setattr(graph, "MATRIX_TERMS", 30)
+    monkeypatch.setattr(graph, "MATRIX_ROWS", 64)
+    monkeypatch.setattr(graph, "_large_pairs", None)
+    rng = random.Random(2)
+    pairs = [(p, f"t{i:03d}") for p in range(9) for i in range(100) if rng.random() < 0.8]
+    pairs += [(p, f"t{rng.randrange(130):03d}") for p in range(100, 300) for _ in range(rng.randrange(1, 6))]
+    pairs += [(p, t) for p in (400, 401, 402) for t in ("é", "t001", "\U0001f600", "￿")]
+    for pairs in (pairs, [p for p in pairs if p[0] < 9]):
+        edges = graph.cooccurrence(tags_of(spark, pairs))
+        got = edges.collect()
+        assert {(r.src, r.dst): r.weight for r in got} == dict(brute_edges(pairs)) and len(got) == len(brute_edges(pairs))
+        assert dict(edges.dtypes) == {"src": "string", "dst": "string", "weight": "bigint"}
