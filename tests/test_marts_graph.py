@@ -95,3 +95,12 @@ def test_edges_of_many_wide_posts_are_counted_in_a_matrix(spark, monkeypatch):
         got = edges.collect()
         assert {(r.src, r.dst): r.weight for r in got} == dict(brute_edges(pairs)) and len(got) == len(brute_edges(pairs))
         assert dict(edges.dtypes) == {"src": "string", "dst": "string", "weight": "bigint"}
+
+
+def test_sets_are_not_coalesced_before_their_pairs_are_made(spark):
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sets = spark.createDataFrame([(["a", "b"], 2), (["a", "c", "d"], 1)], "s array<string>, w bigint")
+    pairs = graph._set_pairs(sets.groupBy("s").agg({"w": "sum"}).withColumnRenamed("sum(w)", "w"))
+    assert pairs.rdd.getNumPartitions() == width
+    assert sorted(tuple(r) for r in pairs.select("src", "dst", "w").collect()) == [
+        ("a", "b", 2), ("a", "c", 1), ("a", "d", 1), ("c", "d", 1)]
