@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import byte_texts, ids_and_texts, name_of, unnamed
+from feedloom.llm.common import byte_texts, ids_and_texts, lean, name_of, unnamed
 from feedloom.session import materialize
 
 #: A passage counts if at most this share of the item's words is edited.
@@ -291,13 +292,14 @@ def find_passages(
     total = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     groups = max(1, -(-total // group_bytes))
     group = F.pmod(F.xxhash64("item_id", "text"), F.lit(groups))
-    result = spark.createDataFrame([], _SCHEMA)
+    scans = []
     for number in range(groups):
         rows = [(r.item_id, r.text.encode()) for r in texts.where(group == number).toLocalIterator()]
         index = Items(rows, edits, recall)
         if index.words:
-            result = result.unionByName(ids_and_texts(docs, id_col, text_col).mapInArrow(_scan(index), _SCHEMA))
-    return result
+            scans.append(ids_and_texts(docs, id_col, text_col).mapInArrow(lean(_scan(index)), _SCHEMA))
+    # An empty list as a frame would start further Python workers, so it is no part of the union.
+    return reduce(DataFrame.unionByName, scans) if scans else spark.createDataFrame([], _SCHEMA)
 
 
 def without_passages(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

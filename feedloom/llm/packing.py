@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import ids_and_texts
+from feedloom.llm.common import ids_and_texts, lean
 from feedloom.llm.tokens import byte_bpe, packed, word_tokenizer
 from feedloom.session import materialize
 
@@ -125,7 +125,7 @@ def pack(
     rows are packed like any other row; an empty table gives an empty result.
     """
     path, blanks = byte_bpe(path)
-    first = ids_and_texts(docs, id_col, text_col).mapInArrow(_pack(path, blanks, end_id, size, open_bins), _SCHEMA)
+    first = ids_and_texts(docs, id_col, text_col).mapInArrow(lean(_pack(path, blanks, end_id, size, open_bins)), _SCHEMA)
     first = materialize(first, "pieces")
     bins = first.groupBy("bin", "part").agg(F.sum("length").alias("used")).where(F.col("used") < size)
     group = F.floor(F.col("part") / merged)

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import byte_texts, ids_and_texts, name_of, unnamed
+from feedloom.llm.common import byte_texts, ids_and_texts, lean, name_of, unnamed
 from feedloom.llm.components import connected_components
 from feedloom.session import materialize
 
@@ -63,7 +63,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, code, unnamed) per row of ``docs``; ``code`` holds the 64 bits as a long,
     ``unnamed`` is the SHA-256 of the text of a row without an id."""
-    return ids_and_texts(docs, id_col, text_col).mapInArrow(_fingerprints, "doc_id long, code long, unnamed string")
+    return ids_and_texts(docs, id_col, text_col).mapInArrow(lean(_fingerprints), "doc_id long, code long, unnamed string")
 
 
 def _octet(code: Column, place: int) -> Column:

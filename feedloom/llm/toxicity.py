@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import byte_texts, held_out, ids_and_texts, name_of, unnamed
+from feedloom.llm.common import byte_texts, held_out, ids_and_texts, lean, name_of, unnamed
 from feedloom.session import materialize
 
 #: Labelled documents of each label that the model is fitted on at most: those with
@@ -278,7 +278,7 @@ def train(
     tagger.scale = np.array([-30.0, 0.0, 0.0])
     if len(totals) < 2:
         return tagger
-    counts = sample.select("y", "text").mapInArrow(_unit_counts, "unit binary, plain long, toxic long").groupBy("unit").agg(
+    counts = sample.select("y", "text").mapInArrow(lean(_unit_counts), "unit binary, plain long, toxic long").groupBy("unit").agg(
         F.sum("plain").alias("plain"), F.sum("toxic").alias("toxic"))
     rate = (F.col("toxic") + 0.5) / (totals[1] + 1.0)
     gain = F.col("toxic") * F.log(rate / ((F.col("plain") + 0.5) / (totals[0] + 1.0)))
@@ -366,7 +366,7 @@ def tag(docs: DataFrame, tagger: Tagger, id_col: str = "doc_id", text_col: str =
                 yield tagged(doc_ids, texts)
 
     return ids_and_texts(docs, id_col, text_col).mapInArrow(
-        run, "doc_id long, score double, spans array<struct<start: long, end: long, p: double>>, unnamed string")
+        lean(run), "doc_id long, score double, spans array<struct<start: long, end: long, p: double>>, unnamed string")
 
 
 def toxicity_scores(

@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 import xxhash
 
-from feedloom.llm import components, lpf, simhash
+from feedloom import session
+from feedloom.llm import common, components, lpf, simhash
 
 
 def plain_fingerprint(text):
@@ -198,3 +199,29 @@ def test_cut_repeats_gives_rows_of_one_id_their_own_texts(docs):
     out = Counter((r.doc_id, r.text, r.n_chars) for r in lpf.without_repeats(docs(rows)).collect())
     want = [(1, passage), (9, "begin end"), (9, other), (9, "short"), (8, "own " + other[:40]), (7, "x"), (7, "y")]
     assert out == Counter((i, t, len(t)) for i, t in want)
+
+
+def test_cut_repeats_leaves_no_surroundings_or_texts_on_disk(spark, docs, monkeypatch, tmp_path):
+    """What the decisions were made from goes before the documents are joined."""
+    made = []
+
+    def path(spark, name):
+        made.append((name, tmp_path / f"{name}-{len(made)}"))
+        return str(made[-1][1])
+
+    for module in (lpf, session):
+        monkeypatch.setattr(module, "scratch_path", path)
+    passage = "".join(f"p{i} " for i in range(60))
+    out = lpf.without_repeats(docs([(1, passage), (2, "begin " + passage + "end"), (3, "x" + passage)]))
+    assert {name for name, at in made if at.exists()} == {"copies", "firsts", "decided", "changed"}
+    assert {(r.doc_id, r.text) for r in out.collect()} == {(1, passage), (2, "begin end"), (3, "x")}
+
+
+def test_arrow_memory_is_given_back_after_a_task(monkeypatch):
+    calls = []
+    pool = type("Pool", (), {"release_unused": lambda self: calls.append(1)})()
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: pool)
+    run = common.lean(lambda batches: (b + 1 for b in batches))
+    some = run(iter([1, 2]))
+    assert next(some) == 2 and not calls
+    assert list(some) == [3] and calls == [1]

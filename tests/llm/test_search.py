@@ -219,3 +219,11 @@ def test_licenses_over_several_lines_and_inside_lines(docs, odd):
     assert licenses.statements(docs([])).count() == 0 and licenses.statements(odd).count() == 0
     plan = licenses.statements(docs(rows))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_passages_are_found_without_a_frame_of_an_empty_list(spark):
+    """Such a frame would start Python workers of its own."""
+    texts = spark.range(3).selectExpr("id AS doc_id", "id AS item_id", "'one two three four five six seven' AS text")
+    found = decontaminate.find_passages(texts, texts.limit(1))
+    assert "ExistingRDD" not in found._jdf.queryExecution().toString()
+    assert found.count() == 3 and decontaminate.find_passages(texts, texts.limit(0)).count() == 0
