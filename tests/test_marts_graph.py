@@ -5,6 +5,7 @@ from collections import Counter
 
 import pytest
 
+from feedloom.catalogue import graphs
 from feedloom.operators import graph, marts, topk
 
 
@@ -104,3 +105,14 @@ def test_sets_are_not_coalesced_before_their_pairs_are_made(spark):
     assert pairs.rdd.getNumPartitions() == width
     assert sorted(tuple(r) for r in pairs.select("src", "dst", "w").collect()) == [
         ("a", "b", 2), ("a", "c", 1), ("a", "d", 1), ("c", "d", 1)]
+
+
+def test_articles_are_dealt_to_all_tasks_and_split_once(spark, rows, tmp_path):
+    texts = [(1, None), (2, ""), (3, "a b"), (4, "a b c"), (5, " x y x z\tx "), (6, "p q p w p")]
+    spark.createDataFrame(texts, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    edges = graphs.kg_edges(spark, str(tmp_path))
+    plan = edges._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning(8)" in plan and plan.count("split(text") == 1
+    # x y x, y x z and x z x: of the pair named twice the later label stays.
+    want = [(4, "a", "c", "b"), (5, "x", "x", "z"), (5, "y", "z", "x"), (6, "p", "p", "w"), (6, "q", "w", "p")]
+    assert sorted(rows(edges)) == want
