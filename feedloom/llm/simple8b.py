@@ -47,15 +47,21 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]
     padded[:n] = ids
     grid = padded.reshape(blocks, block)
     left = in_block[:, None] - np.arange(block)
+    # The first width that holds an id, and the widest of ever longer runs of ids.
+    least = np.searchsorted(np.uint64(1) << WIDTHS.astype(np.uint64), grid.reshape(-1), side="right").astype(np.int8)
+    most = least = least.reshape(blocks, block)
     for selector in range(len(COUNTS) - 1, -1, -1):
-        count, width = int(COUNTS[selector]), int(WIDTHS[selector])
+        count = int(COUNTS[selector])
         if count > block:
-            continue
-        wide = np.zeros((blocks, block + 1), np.int32)
-        np.cumsum(grid >> np.uint64(width) != 0, axis=1, out=wide[:, 1:])
-        fits = np.zeros((blocks, block), bool)
-        fits[:, :block - count + 1] = wide[:, count:] == wide[:, :block - count + 1]
-        choice[fits & (left >= count)] = selector
+            break
+        # Two runs of the last length, one of which ends where the new one does.
+        last = block - most.shape[1] + 1
+        while last < count:
+            step = min(last, count - last)
+            most = np.maximum(most[:, :most.shape[1] - step], most[:, step:])
+            last += step
+        fits = (most <= selector) & (left[:, :block - count + 1] >= count)
+        choice[:, :block - count + 1][fits] = selector
     # Walk all blocks at once from word to word.
     steps = np.append(COUNTS, 1)
     at, rows, starts, owners = np.zeros(blocks, np.int64), np.arange(blocks), [], []

@@ -44,6 +44,19 @@ def test_texts_in_pieces(monkeypatch):
     assert list(mine.encode_many(pa.array([], pa.string()))) == []
 
 
+@pytest.mark.parametrize("vocabulary, merged", [(tokens.byte_bpe, 3), (tokens.word_bpe, 1)])
+def test_words_share_their_letters(vocabulary, merged):
+    """Words that differ in marks behind them, or in case where the tokenizer has none, are merged once."""
+    path, blanks = vocabulary()
+    mine = tokens.WordTokenizer(path, blanks)
+    calls, merge = [], mine.cache.merge
+    mine.cache.merge = lambda word: calls.append(word) or merge(word)
+    texts = ["Größer größer, größer. größer!? GRÖSSER GRÖßER;;", "größer--- größer) -- größer"]
+    assert list(mine.encode_many(pa.array(texts[:1]).cast(pa.string()))) == [library(path, texts[0])]
+    assert list(mine.encode_many(pa.array(texts[1:]).cast(pa.string()))) == [library(path, texts[1])]
+    assert len(calls) == len(set(calls)) == merged + 1 + blanks  # and GRÖSSER; with blanks the first word has none
+
+
 @settings(max_examples=60, deadline=None)
 @given(sizes=st.lists(st.integers(1, 64), max_size=120), bins=st.integers(1, 6))
 def test_best_fit(sizes, bins):
