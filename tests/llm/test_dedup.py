@@ -1,10 +1,12 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import DataFrameWriter
 
 from feedloom import session
 from feedloom.llm import common, components, lpf, simhash
@@ -217,6 +219,42 @@ def test_cut_repeats_leaves_no_surroundings_or_texts_on_disk(spark, docs, monkey
     assert {(r.doc_id, r.text) for r in out.collect()} == {(1, passage), (2, "begin end"), (3, "x")}
 
 
+def test_cutting_repeats_takes_one_python_worker_per_task(docs, monkeypatch):
+    """No stage feeds one Python function from another: every worker more stays in memory."""
+    plans, write = [], DataFrameWriter.parquet
+
+    def written(self, path, *args, **kwargs):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", written)
+    passage = "".join(f"p{i} é" for i in range(60))
+    out = lpf.without_repeats(docs([(1, passage), (2, "begin " + passage + "end"), (3, "x" + passage[1:]), (4, "y" + passage[40:])]))
+    out.collect()
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    depth = []
+    for plan in plans:
+        above = []  # (indent, whether it is a Python node) of the nodes above in the same stage
+        for line in plan.split("== Initial Plan ==")[0].splitlines():
+            node = re.search(r"\w", line)
+            if not node:
+                continue
+            indent = node.start()
+            while above and above[-1][0] >= indent:
+                above.pop()
+            if "Exchange" in line:
+                above.append((indent, None))
+                continue
+            above.append((indent, "MapInArrow" in line))
+            stage = []
+            for _, python in reversed(above):
+                if python is None:
+                    break
+                stage.append(python)
+            depth.append(sum(stage))
+    assert max(depth) == 1
+
+
 def test_arrow_memory_is_given_back_after_a_task(monkeypatch):
     calls = []
     pool = type("Pool", (), {"release_unused": lambda self: calls.append(1)})()
