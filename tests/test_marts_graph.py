@@ -98,6 +98,25 @@ def test_edges_of_many_wide_posts_are_counted_in_a_matrix(spark, monkeypatch):
         assert dict(edges.dtypes) == {"src": "string", "dst": "string", "weight": "bigint"}
 
 
+@pytest.mark.parametrize("posts, limits", [(9, {}), (64, {}), (130, {}), (130, {"BIT_POSTS": 129}), (9, {"BIT_BYTES": 1000})])
+def test_edges_of_few_wide_posts_are_made_from_bits(spark, monkeypatch, posts, limits):
+    """Posts in one and in several words of bits beside small ones, terms in one tile and in
+    several; without a process of Python, unless there are too many posts or terms."""
+    rng = random.Random(posts)
+    for name, value in limits.items():
+        monkeypatch.setattr(graph, name, value)
+    pairs = [(p, f"t{i:03d}") for p in range(posts) for i in range(100) if rng.random() < 0.8]
+    pairs += [(p, t) for p in (400, 401) for t in ("é", "t001", "\U0001f600", "\uffff", "\uffff")] + [(402, "alone"), (403, None), (None, "t001")]
+    for terms in (30, 2048):
+        monkeypatch.setattr(graph, "MATRIX_TERMS", terms)
+        edges = graph.cooccurrence(tags_of(spark, pairs))
+        assert ("MapInArrow" in edges._jdf.queryExecution().executedPlan().toString()) == bool(limits)
+        got = edges.collect()
+        want = brute_edges([p for p in pairs if None not in p])
+        assert {(r.src, r.dst): r.weight for r in got} == dict(want) and len(got) == len(want)
+        assert dict(edges.dtypes) == {"src": "string", "dst": "string", "weight": "bigint"}
+
+
 def test_sets_are_not_coalesced_before_their_pairs_are_made(spark):
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sets = spark.createDataFrame([(["a", "b"], 2), (["a", "c", "d"], 1)], "s array<string>, w bigint")
