@@ -81,6 +81,25 @@ def test_many_triples(spark, repeat):
     assert {(r.src, r.dst): r.label for r in graph.knowledge_edges(df).collect()} == {(a, b): r for a, r, b in triples}
 
 
+def test_edges_of_odd_articles_without_interpreted_lambdas(spark, rows):
+    """No JSON, broken JSON, no list, null triples, names and labels; repeated rows stay repeated."""
+    texts = [
+        None, "{", '{"knowledge_graph": null}', '{"knowledge_graph": []}', '{"knowledge_graph": [null]}',
+        '{"knowledge_graph": [{"entity1": "a", "relationship": "r"}, {"entity1": "a", "entity2": null, "relationship": "s"}]}',
+        '{"knowledge_graph": [{"entity1": "a", "entity2": "b", "relationship": "r"}, null, {"entity1": "a", "entity2": "b"}, {}]}',
+    ]
+    df = spark.createDataFrame([*enumerate(texts), (6, texts[6]), (None, texts[5])], "post_id int, kg_json string")
+    edges = graph.knowledge_edges(df)
+    assert "lambda" not in edges._jdf.queryExecution().executedPlan().toString()
+    twice = [(6, None, None, None), (6, "a", "b", None)] * 2
+    want = [(4, None, None, None), (5, "a", None, "s"), (None, "a", None, "s"), *twice]
+    assert sorted(rows(edges), key=repr) == sorted(want, key=repr)
+    first = graph.knowledge_edges(df, max_triples=2)
+    want = [(4, None, None, None), (5, "a", None, "s"), (None, "a", None, "s"), *[(6, None, None, None), (6, "a", "b", "r")] * 2]
+    assert sorted(rows(first), key=repr) == sorted(want, key=repr)
+    assert dict(edges.dtypes) == {"article": "int", "src": "string", "dst": "string", "label": "string"}
+
+
 def test_edges_of_many_wide_posts_are_counted_in_a_matrix(spark, monkeypatch):
     """Wide posts with more pairs than their terms have, beside small ones with terms of
     the wide ones, with others and with both; pairs are joined nowhere."""
