@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import DataFrameWriter
@@ -149,6 +150,31 @@ def test_repeats_equal_brute_force(docs, monkeypatch, seed, group):
     assert Counter(tuple(r) for r in found.collect()) == plain_repeats(rows)
 
 
+@pytest.mark.parametrize("often", [0, 1, 3])
+def test_hot_anchors_are_counted_apart_with_equal_results(docs, often):
+    """All, many and some anchors count as hot, with ids that are null or come twice."""
+    rows = mixed_rows(7)
+    found = lpf.remove_repeats(docs(rows), often=often).selectExpr(
+        "doc_id", "n_bytes", "aggregate(spans, 0L, (s, x) -> s + x.end - x.start)", "size(spans)", "sha2(kept, 256)")
+    assert Counter(tuple(r) for r in found.collect()) == plain_repeats(rows)
+
+
+def test_anchors_are_dealt_once_and_hot_ones_are_known(spark):
+    keyed = spark.createDataFrame(
+        [(1, 5, 7, None, None), (1, 6, 3, None, None), (2, 5, 7, None, None), (2, 6, 7, None, None), (3, 5, 4, 9, b"x"), (4, 5, 4, None, None)],
+        "h long, c long, id long, top long, more binary")
+    found = lpf._shared(keyed)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert sorted(tuple(r) for r in found.select("h", "c", "id", "top", "least", "mixed").collect()) == [
+        (1, 5, 7, None, 3, True), (1, 6, 3, None, 3, True), (3, 5, 4, 9, 4, False)]
+    text = b"".join(b"the same sixteen bytes and more %d, " % i for i in range(400)) + np.random.default_rng(3).bytes(20_000)
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text], pa.binary())], ["id", "text"])
+    some, none, wide = (pa.Table.from_batches(lpf._surroundings([batch], often, tasks)) for often, tasks in ((64, 50), (1 << 20, 50), (64, 2)))
+    hot = Counter(some["h"].to_pylist())
+    assert any(some["often"].to_pylist()) and not any(none["often"].to_pylist()) and not any(wide["often"].to_pylist())
+    assert some["often"].to_pylist() == [hot[h] > max(64, len(some) // 50) for h in some["h"].to_pylist()]
+
+
 def test_repeats_odd_rows(odd, docs):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     assert Counter(tuple(r) for r in lpf.digests(odd).collect()) == plain_repeats(rows)
