@@ -66,8 +66,9 @@ class VersionedFolder:
     def has_load(self, load: tuple[str, int]) -> bool:
         return self._listed(self.version())["loads"].get(load[0], -1) >= load[1]
 
-    def _rewrite(self, keys: DataFrame, merged, load: tuple[str, int] | None) -> bool:
-        """Files with rows of ``keys`` give way to ``merged(their rows, or None)``."""
+    def _rewrite(self, keys: DataFrame, merged, load: tuple[str, int] | None, together: bool = False) -> bool:
+        """Files with rows of ``keys`` give way to ``merged(their rows, or None)``. New rows
+        that are ``together`` by group already are written where they are made."""
         version = self.version()
         listed = self._listed(version)
         if load and listed["loads"].get(load[0], -1) >= load[1]:
@@ -80,7 +81,9 @@ class VersionedFolder:
             touched = ["/".join(r["_file"].split("/")[-2:]) for r in hits]
         folder = uuid.uuid4().hex
         rows = merged(self._read(touched) if touched else None)
-        rows.hint("rebalance", *self.group).write.parquet(f"{self.path}/{folder}")
+        if touched or not together:
+            rows = rows.hint("rebalance", *self.group)
+        rows.write.parquet(f"{self.path}/{folder}")
         fresh = [n for n in self._names(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")) if n.endswith(".parquet")]
         files = sorted(set(listed["files"]) - set(touched)) + [f"{folder}/{n}" for n in fresh]
         self._commit(version, {"files": files, "loads": listed["loads"] | ({load[0]: load[1]} if load else {})})
@@ -95,17 +98,20 @@ class VersionedFolder:
             staged.select(*keys),
             lambda old: last_per_key(staged, keys, order or []) if old is None else upsert_latest(old, staged, keys, order), load)
 
-    def replace(self, batch: DataFrame, groups: DataFrame | None = None, load: tuple[str, int] | None = None) -> bool:
+    def replace(self, batch: DataFrame, groups: DataFrame | None = None, load: tuple[str, int] | None = None,
+                together: bool = False) -> bool:
         """All rows of the batch's groups give way to the batch; False if the load is
         known. ``groups`` lists those groups when that is cheaper than computing the
-        batch, which is then computed once, and may name groups that keep no row."""
+        batch, which is then computed once, and may name groups that keep no row.
+        ``together``: the rows of a group are made by one task, and need no shuffle to lie
+        together unless older rows join them."""
         if load and self.has_load(load):
             return False
         if groups is None:
             groups = batch = materialize(batch, "incoming")
         wanted = groups.select(*self.group).distinct()
         return self._rewrite(
-            wanted, lambda old: batch if old is None else old.join(wanted, self.group, "left_anti").unionByName(batch), load)
+            wanted, lambda old: batch if old is None else old.join(wanted, self.group, "left_anti").unionByName(batch), load, together)
 
     def drop_old_files(self) -> int:
         """Delete what the newest version does not name; for times without loads or

@@ -23,10 +23,11 @@ def vector_table(spark: SparkSession, path: str) -> VersionedFolder:
 def write_chunks(posts: DataFrame, vectors: VersionedFolder, embedder, load: tuple[str, int] | None = None, **chunking) -> bool:
     """Replace all chunks of these posts. ``posts`` is read twice, for its ids
     and for its texts, so it should be a table or a written batch. False, and
-    nothing is embedded, if the ``load`` is known."""
+    nothing is embedded, if the ``load`` is known. The chunks of a post are made from
+    its row, so that new ones are written without shuffling their vectors."""
     records = chunk_records(posts, embedder, **chunking)
     return vectors.replace(
-        records.withColumn("post_id", F.col("metadata.post_id")), posts.select(F.col("id").alias("post_id")), load
+        records.withColumn("post_id", F.col("metadata.post_id")), posts.select(F.col("id").alias("post_id")), load, together=True
     )
 
 

@@ -16,7 +16,7 @@ from feedloom.operators.versioned import VersionedFolder
 from feedloom.plans.feed_etl import stage_entries
 from feedloom.plans.retrieval import write_chunks
 from feedloom.schemas import EMBEDDED_POSTS, FEED_ENTRY, STAGE_TABLES
-from feedloom.session import materialize
+from feedloom.session import delete_path, materialize, release, scratch_path
 from feedloom.sinks.tables import insert_select
 from feedloom.sources.tables import read_current
 
@@ -66,13 +66,19 @@ def embed_landed_posts(stream: DataFrame, vectors: VersionedFolder, embedder, ch
 
     A batch's number is recorded with its vectors, under the name of the checkpoint:
     a batch that is replayed after a failure embeds and writes nothing again, and only
-    the ledger is completed."""
+    the ledger is completed. The copy of its posts goes when the batch is done, so that
+    a stream that keeps running does not fill the shared folder."""
 
     def each(batch: DataFrame, number: int) -> None:
-        posts = materialize(first_per_key(batch, ["id"]), "posts")
-        write_chunks(posts, vectors, embedder, (checkpoint, number), **chunking)
-        done = posts.select("id").distinct()
-        insert_select(done.join(read_current(batch.sparkSession, ledger).select("id"), "id", "left_anti"), ledger)
+        copy = scratch_path(batch.sparkSession, "posts")
+        try:
+            posts = materialize(first_per_key(batch, ["id"]), "posts", copy)
+            release(batch.sparkSession)  # the texts' shuffle, before the vectors need the disk
+            write_chunks(posts, vectors, embedder, (checkpoint, number), **chunking)
+            done = posts.select("id")
+            insert_select(done.join(read_current(batch.sparkSession, ledger).select("id"), "id", "left_anti"), ledger)
+        finally:
+            delete_path(batch.sparkSession, copy)
 
     return _run(stream, checkpoint, each, once, [ledger])
 

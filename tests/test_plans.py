@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from feedloom import catalog
+from feedloom import catalog, session
 from feedloom.operators.vectors import HashingEmbedder
 from feedloom.plans import datasets, feed_etl, retrieval
 from feedloom.schemas import EMBEDDED_POSTS, FEED_ENTRY, LOAD_COUNTS
@@ -172,6 +172,36 @@ def test_stream_of_posts_to_vectors(spark, posts, ledger, tmp_path):
     assert spark.table(ledger).count() == 2
 
 
+def test_new_vectors_are_written_without_a_shuffle(spark, posts, ledger, tmp_path, monkeypatch, rows):
+    """Vectors are dealt only where older rows join them; ids that are null or come twice and
+    texts that are null or empty are listed once each, chunks are those of one row, and
+    no copy of a batch stays."""
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path / "shared"))
+    kind, hints = type(posts), []
+    monkeypatch.setattr(kind, "hint", lambda self, name, *a, run=kind.hint: hints.append(name) or run(self, name, *a))
+    embedder = HashingEmbedder.fit(posts, "content_text")
+    index = retrieval.vector_table(spark, session.scratch_path(spark, "index"))
+    shape = "id string, link string, title string, published timestamp_ntz, content_text string"
+    day, long = dt.datetime(2024, 1, 1), " ".join(f"word{i}" for i in range(700))
+    loads = [
+        [("a", long), ("a", long), ("b", None), ("c", ""), (None, "no id"), (None, "no id")],
+        [("d", "new text"), (None, None)],
+        [("a", "shorter"), ("e", None)],
+    ]
+    for number, load in enumerate(loads):
+        batch = spark.createDataFrame([(i, "/x", "t", day, t) for i, t in load], shape)
+        batch.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = landing.read_landing(spark, str(tmp_path / "in"), shape)
+        landing.embed_landed_posts(stream, index, embedder, str(tmp_path / "cp"), ledger, strategy="fixed")
+        assert hints.count("rebalance") == (number == 2)
+    got = sorted(rows(index.read().selectExpr("id", "post_id", "metadata.chunk_index", "size(values)")), key=repr)
+    assert got == sorted([("a_0", "a", 0, 768), ("d_0", "d", 0, 768), ("0", None, 0, 768)], key=repr)
+    assert [r[0] for r in rows(index.read().where("post_id = 'a'").select("metadata.chunk_text"))] == ["shorter"]
+    ids = [r.id for r in spark.table(ledger).collect()]
+    assert sorted(i for i in ids if i) == ["a", "b", "c", "d", "e"] and ids.count(None) == 2
+    assert list(tmp_path.glob("shared/**/index-*")) and not list(tmp_path.glob("shared/**/posts-*"))
+
+
 def test_a_replayed_batch_embeds_nothing(spark, posts, ledger, tmp_path):
     """The batch's number is in the version: the same batch again changes nothing, even if
     the ledger was not reached before."""
